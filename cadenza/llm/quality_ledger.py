@@ -4,8 +4,8 @@ Every rule is evaluated once per document.  The ledger keeps the measurements an
 rule; a policy is a mask of rules, so applying or comparing policies never touches the texts again.
 
 Edge cases: a null text counts as the empty text (no words: fails `few_words`); a null doc_id is kept as
-null; repeated rows are judged row by row; extra columns are carried only by `keep`, names starting with
-`__` are reserved; an empty table gives an empty ledger.
+null; repeated rows are judged row by row; columns of `docs` named like a measurement are replaced in the ledger
+and kept by `keep`; names starting with `__` are reserved; an empty table gives an empty ledger.
 """
 
 from __future__ import annotations
@@ -24,6 +24,9 @@ POLICIES = {
 SYMBOLS = "#*$%&|<>"
 
 
+MEASURES = ("n_words", "word_chars", "n_lines", "n_dup_lines", "n_symbols", "n_bang", "n_upper", "n_repeat_words")
+
+
 def mask(policy: str) -> int:
     return sum(1 << RULES[r] for r in POLICIES[policy])
 
@@ -77,7 +80,11 @@ def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     bits = F.lit(0).cast("long")
     for name, fails in rules().items():
         bits = bits + F.when(fails, F.lit(1 << RULES[name]).cast("long")).otherwise(F.lit(0).cast("long"))
-    return measure(docs, text).withColumn("fail_bits", bits)
+    led = measure(docs, text).withColumn("fail_bits", bits)
+    # the generator keeps a later filter from being pushed down and evaluated as one huge expression
+    made = [c for c in led.columns if c in MEASURES or c == "fail_bits"]
+    rest = [c for c in docs.columns if c not in made]
+    return led.select(*rest, F.explode(F.array(F.struct(*made))).alias("__made")).select(*rest, "__made.*")
 
 
 def passes(policy: str) -> Column:
@@ -86,7 +93,8 @@ def passes(policy: str) -> Column:
 
 def keep(docs: DataFrame, policy: str = "v2", text: str = "text") -> DataFrame:
     """The rows of `docs` that `policy` accepts, with their columns."""
-    return ledger(docs, text).where(passes(policy)).select(*docs.columns)
+    own = docs.select(F.struct(*docs.columns).alias("__row"), F.col(text).alias("__text"))
+    return ledger(own, "__text").where(passes(policy)).select("__row.*")
 
 
 def ablation(led: DataFrame) -> DataFrame:
