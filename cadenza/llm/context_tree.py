@@ -31,7 +31,7 @@ from .common import Table, mix, pack, partitions, summed, texts, unpack, written
 
 DEPTH, SPLIT = 5, 3
 END = b"\n"
-_CHUNK = 2 << 20
+_CHUNK = 1 << 20
 _SCHEMA = "block int, bucket int, kind int, payload binary"
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -130,7 +130,7 @@ class _Counter:
                 self.keys.append(some[start])
                 self.counts.append(np.diff(np.append(start, len(some))) * value)
                 self.pending += len(start)
-        if self.pending > 3_000_000 and len(self.keys) > 6:
+        if self.pending > 1_500_000 and len(self.keys) > 4:
             self.done()
 
     def done(self):
@@ -221,7 +221,6 @@ def _subtree(keys: np.ndarray, counts: np.ndarray):
             to_level = inverse[to_level]
         levels.append((level_keys, np.asarray(level_counts, np.float64)))
         maps.append(to_level)
-    out = []
     for k in range(8):
         below, bits = None, []
         for (lk, lc), to in zip(levels, maps):
@@ -244,8 +243,7 @@ def _subtree(keys: np.ndarray, counts: np.ndarray):
         lk = levels[-1][0]
         start = np.flatnonzero(np.append(True, (lk >> np.uint64(8 - k))[1:] != (lk >> np.uint64(8 - k))[:-1]))
         context, decision = lk[start] >> np.uint64(8), (np.uint64(1 << k) | ((lk[start] & np.uint64(255)) >> np.uint64(8 - k)))
-        out.append((bits, (context << np.uint64(8)) | decision, zeros, ones, value))
-    return out
+        yield bits, (context << np.uint64(8)) | decision, zeros, ones, value
 
 
 def _gathered(batches):
@@ -311,7 +309,7 @@ def _values(batches, shared):
             bit = ((keys >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
             total += np.log10(np.where(bit, p, 1 - p))
         for block, mine, _ in pairs:
-            yield _row(block, -1, 1, pack(mine, total[np.searchsorted(keys, mine)]))
+            yield _row(block, -1, 1, pack(mine, total[np.searchsorted(keys, mine)].astype(np.float32)))
     if words:
         keys, counts = summed(np.concatenate([w[1] for w in words]), np.concatenate([w[2] for w in words]))
         base = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
