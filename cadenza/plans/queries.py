@@ -1,4 +1,344 @@
-"""Registered queries of the engine."""
+"""Registered queries of the engine, each over whole tables, with the same query in SQL.
+
+The driver tables hold no subtitles, so cues, words, turns and lines are derived from `events`, `documents`
+and `conversations`, with the same arithmetic on both sides.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..functions import stamps
+from ..functions import text as T
+from ..operators import corrections, cues, intervals, repair, review
 
 QUERIES: dict = {}
-ORACLES: dict = {}
+ORACLES: dict[str, str] = {}
+GAP_MS = 600_000
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def v_cues(spark, sf_dir) -> DataFrame:
+    start = F.unix_millis(F.col("ts").cast("timestamp"))
+    x = _t(spark, sf_dir, "events").select((F.col("user_id") % 8).alias("film_id"), F.col("event_type").alias("source"), F.col("event_id").alias("seq"), F.col("event_id").alias("cue_id"), start.alias("start_ms"), F.floor(F.col("value") * 1000 + 0.5).cast("long").alias("d"))
+    return x.withColumn("end_ms", F.col("start_ms") + F.col("d")).withColumn("text", F.concat(F.col("source"), F.lit(" "), F.col("cue_id").cast("string"))).drop("d")
+
+
+def v_words(spark, sf_dir) -> DataFrame:
+    x = _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("film_id"), F.posexplode(F.array_remove(F.split("text", r"[ \x09-\x0D]+"), "")).alias("pos", "word"))
+    d = (F.length("word") * 60).cast("long")
+    gap = F.when(F.col("word").rlike("[.!?]$"), 900).otherwise(50).cast("long")
+    w = Window.partitionBy("film_id").orderBy("pos")
+    x = x.withColumn("d", d).withColumn("g", gap).withColumn("end_ms", F.sum(F.col("d") + F.col("g")).over(w) - F.col("g"))
+    return x.withColumn("start_ms", F.col("end_ms") - F.col("d")).select("film_id", "pos", "word", "start_ms", "end_ms")
+
+
+def v_turns(spark, sf_dir) -> DataFrame:
+    return _t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("film_id"), F.col("turn").alias("seq"), "role", "text")
+
+
+def v_lines(spark, sf_dir) -> DataFrame:
+    return _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("film_id"), "lang", F.posexplode(F.split("text", "\n", -1)).alias("seq", "text"))
+
+
+_CUES = "v_cues AS (SELECT film_id, source, seq, cue_id, start_ms, start_ms + d AS end_ms, source || ' ' || cue_id AS text FROM (SELECT user_id % 8 AS film_id, event_type AS source, event_id AS seq, event_id AS cue_id, epoch_us(ts) // 1000 AS start_ms, floor(value * 1000 + 0.5)::BIGINT AS d FROM events))"
+_WORDS = r"v_words AS (SELECT film_id, pos, word, e - d AS start_ms, e AS end_ms FROM (SELECT *, (sum(d + g) OVER (PARTITION BY film_id ORDER BY pos) - g)::BIGINT AS e FROM (SELECT film_id, pos, word, 60 * length(word) AS d, CASE WHEN regexp_matches(word, '[.!?]$') THEN 900 ELSE 50 END AS g FROM (SELECT doc_id AS film_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM (SELECT doc_id, list_filter(regexp_split_to_array(text, '[ \x09-\x0D]+'), lambda x: x <> '') AS w FROM documents)))))"
+_LINES = "v_lines AS (SELECT film_id, lang, unnest(l) AS text, generate_subscripts(l, 1) - 1 AS seq FROM (SELECT doc_id AS film_id, lang, string_split(text, chr(10)) AS l FROM documents))"
+_TURNS = "v_turns AS (SELECT conv_id AS film_id, turn AS seq, role, text FROM conversations)"
+_MISSED = "missed AS (SELECT * FROM v_cues r WHERE source = 'view' AND NOT EXISTS (SELECT 1 FROM v_cues c WHERE c.source = 'click' AND c.film_id = r.film_id AND c.end_ms >= c.start_ms AND c.end_ms > r.start_ms - 500 AND c.start_ms < r.end_ms + 500))"
+_RUNS = f"runs AS (SELECT film_id, run, min(start_ms) AS start_ms, arg_max(end_ms, (start_ms, cue_id)) AS end_ms, count(*) AS n_cues FROM (SELECT *, sum(new) OVER (PARTITION BY film_id ORDER BY start_ms, cue_id) AS run FROM (SELECT *, CASE WHEN start_ms - lag(end_ms) OVER (PARTITION BY film_id ORDER BY start_ms, cue_id) < {GAP_MS} THEN 0 ELSE 1 END AS new FROM missed)) GROUP BY film_id, run)"
+
+
+def query(sql: str = "", *views: str):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = (f"WITH {', '.join(views)} " if views else "") + sql
+        return f
+
+    return add
+
+
+def _missed(spark, sf_dir) -> DataFrame:
+    c = v_cues(spark, sf_dir)
+    return intervals.uncovered(c.where("source = 'view'"), c.where("source = 'click'"))
+
+
+def flagship(spark, sf_dir) -> DataFrame:
+    return cues.runs(_missed(spark, sf_dir), GAP_MS).orderBy("film_id", "start_ms")
+
+
+@query("SELECT film_id, count(*) AS n_cues, count(*) FILTER (end_ms > nxt) AS n_overlaps, count(*) FILTER (start_ms > nxt) AS n_backward, count(*) FILTER (cue_id <> n) AS n_misnumbered, count(*) FILTER (end_ms <= start_ms) AS n_empty, median(end_ms - start_ms)::DOUBLE AS median_ms, max(end_ms - start_ms) AS longest_ms, arg_max(end_ms, seq) - arg_min(start_ms, seq) AS span_ms, (count(*) FILTER (end_ms > nxt) + count(*) FILTER (start_ms > nxt) + count(*) FILTER (cue_id <> n) + count(*) FILTER (end_ms <= start_ms)) = 0 AS passed FROM (SELECT *, lead(start_ms) OVER w AS nxt, row_number() OVER w AS n FROM v_cues WINDOW w AS (PARTITION BY film_id ORDER BY seq)) GROUP BY film_id", _CUES)
+def qa_structure(spark, sf_dir):
+    return cues.structure(v_cues(spark, sf_dir))
+
+
+@query("SELECT film_id, seq, round(CASE WHEN d > 0 THEN length(text) * 1000.0 / d END, 6)::DOUBLE AS cps, coalesce(d > 0 AND length(text) * 1000.0 / d > 25, false) AS too_fast, false AS too_many_lines, length(text) > 45 AS too_long FROM (SELECT *, end_ms - start_ms AS d FROM v_cues)", _CUES)
+def cue_cps_flags(spark, sf_dir):
+    x = cues.reading_speed(v_cues(spark, sf_dir).withColumn("lines", F.array("text")))
+    return x.select("film_id", "seq", F.round("cps", 6).alias("cps"), "too_fast", "too_many_lines", "too_long")
+
+
+@query("SELECT l.film_id, l.cue_id, coalesce((SELECT string_agg(r.text, ' / ' ORDER BY r.seq) FROM v_cues r WHERE r.source = 'click' AND r.film_id = l.film_id AND r.end_ms >= r.start_ms AND r.end_ms > l.start_ms - 1200 AND r.start_ms < l.end_ms + 1200), '') AS window_text FROM v_cues l WHERE l.source = 'view'", _CUES)
+def overlap_window(spark, sf_dir):
+    c = v_cues(spark, sf_dir)
+    return intervals.windows(c.where("source = 'view'"), c.where("source = 'click'"), 1200).select("film_id", "cue_id", F.col("window").alias("window_text"))
+
+
+@query("SELECT l.film_id, l.cue_id, r.cue_id AS other_id FROM v_cues l JOIN v_cues r ON r.film_id = l.film_id AND r.end_ms >= l.start_ms - 10000 AND r.start_ms <= l.end_ms + 10000 AND r.end_ms >= r.start_ms WHERE l.source = 'purchase' AND r.source = 'click'", _CUES)
+def overlap_inclusive(spark, sf_dir):
+    c = v_cues(spark, sf_dir)
+    pairs = intervals.overlaps(c.where("source = 'purchase'"), c.where("source = 'click'"), 10_000, inclusive=True)
+    return pairs.select("film_id", F.col("l_cue_id").alias("cue_id"), F.col("r_cue_id").alias("other_id"))
+
+
+@query("SELECT film_id, cue_id, start_ms, end_ms FROM missed", _CUES, _MISSED)
+def coverage_anti(spark, sf_dir):
+    return _missed(spark, sf_dir).select("film_id", "cue_id", "start_ms", "end_ms")
+
+
+@query("SELECT film_id, start_ms, end_ms, n_cues FROM runs", _CUES, _MISSED, _RUNS)
+def missed_runs(spark, sf_dir):
+    return cues.runs(_missed(spark, sf_dir), GAP_MS).drop("run")
+
+
+@query("SELECT film_id, start_ms, end_ms, n_cues FROM runs WHERE n_cues >= 3 ORDER BY end_ms - start_ms DESC, start_ms, film_id LIMIT 6", _CUES, _MISSED, _RUNS)
+def top_gaps(spark, sf_dir):
+    return cues.top_gaps(cues.runs(_missed(spark, sf_dir), GAP_MS).drop("run"))
+
+
+@query("SELECT l.film_id, l.cue_id, l.own_chars, l.other_chars, (l.other_chars > 2 * l.own_chars) AND l.other_chars > 40 AS swallowed FROM (SELECT l.film_id, l.cue_id, length(l.text) AS own_chars, coalesce((SELECT sum(length(r.text)) FROM v_cues r WHERE r.source = 'click' AND r.film_id = l.film_id AND r.end_ms >= r.start_ms AND r.end_ms >= l.start_ms - 600000 AND r.start_ms <= l.end_ms + 600000), 0)::BIGINT AS other_chars FROM v_cues l WHERE l.source = 'purchase') l", _CUES)
+def swallowed_flag(spark, sf_dir):
+    c = v_cues(spark, sf_dir)
+    spans = c.where("source = 'purchase'")
+    pairs = intervals.overlaps(spans.select("film_id", "cue_id", "start_ms", "end_ms"), c.where("source = 'click'").select("film_id", "start_ms", "end_ms", "text"), 600_000, inclusive=True, bucket_ms=600_000)
+    other = pairs.groupBy("film_id", F.col("l_cue_id").alias("cue_id")).agg(F.sum(F.length("r_text")).cast("long").alias("other_chars"))
+    x = spans.select("film_id", "cue_id", F.length("text").cast("long").alias("own_chars")).join(other, ["film_id", "cue_id"], "left").withColumn("other_chars", F.coalesce("other_chars", F.lit(0)).cast("long"))
+    return review.swallowed(x)
+
+
+@query("SELECT film_id, pos, start_ms - lag(end_ms) OVER (PARTITION BY film_id ORDER BY pos) AS gap_ms FROM v_words", _WORDS)
+def word_gaps(spark, sf_dir):
+    return cues.word_gaps(v_words(spark, sf_dir)).select("film_id", "pos", "gap_ms")
+
+
+@query()
+def greedy_cues(spark, sf_dir):
+    return cues.group_words(v_words(spark, sf_dir))
+
+
+@query("SELECT film_id, cue_id, start_ms, CASE WHEN e2 <= start_ms THEN start_ms + 900 ELSE e2 END AS end_ms FROM (SELECT *, coalesce(least(e1, nxt - 40), e1) AS e2 FROM (SELECT *, CASE WHEN f - start_ms < need THEN least(start_ms + need, greatest(f, coalesce(nxt - 80, end_ms + 2500))) ELSE f END AS e1 FROM (SELECT *, greatest(end_ms, start_ms + 900) AS f, length(text) * 50 AS need, lead(start_ms) OVER (PARTITION BY film_id ORDER BY start_ms, cue_id) AS nxt FROM v_cues)))", _CUES)
+def cue_extend(spark, sf_dir):
+    return cues.extend(v_cues(spark, sf_dir)).select("film_id", "cue_id", "start_ms", "end_ms")
+
+
+@query("SELECT film_id, pos, raw_ms, raw_ms > 1500 AS suspect, start_ms + least(raw_ms, least(4500, greatest(1200, 120 * length(trim(word))))) AS end_ms FROM (SELECT *, 3 * (end_ms - start_ms) AS raw_ms FROM v_words)", _WORDS)
+def clamp_words(spark, sf_dir):
+    slow = v_words(spark, sf_dir).withColumn("end_ms", F.col("start_ms") + 3 * (F.col("end_ms") - F.col("start_ms")))
+    return cues.clamp(slow, 1500).select("film_id", "pos", "raw_ms", "suspect", "end_ms")
+
+
+@query("SELECT film_id, cue_id, gap_ms, m AS middle_ms FROM (SELECT film_id, cue_id, gap_ms, end_ms + gap_ms / 2 AS m, row_number() OVER (PARTITION BY film_id, cue_id ORDER BY gap_ms DESC, pos) AS n FROM (SELECT w.film_id, w.start_ms // 30000 AS cue_id, w.pos, w.end_ms, lead(w.start_ms) OVER (PARTITION BY w.film_id, w.start_ms // 30000 ORDER BY w.pos) - w.end_ms AS gap_ms FROM v_words w) WHERE gap_ms > 0) WHERE n = 1", _WORDS)
+def max_inner_gap(spark, sf_dir):
+    w = v_words(spark, sf_dir)
+    k = F.floor(F.col("start_ms") / 30_000).cast("long")
+    spans = w.select("film_id", k.alias("cue_id")).distinct().select("film_id", "cue_id", (F.col("cue_id") * 30_000).alias("start_ms"), (F.col("cue_id") * 30_000 + 29_999).alias("end_ms"))
+    return cues.inner_silence(spans, w)
+
+
+_NB = "[ \\x{09}-\\x{0D}\\x{A0}\\x{202F}]"
+
+
+def _spaced_sql(mid: str) -> str:
+    first = f"regexp_replace(text, '{_NB}+([,.])', '\\1', 'g')"
+    return f"SELECT film_id, seq, md5(regexp_replace(regexp_replace(regexp_replace({first}, {mid}, 'g'), '{_NB}{{2,}}', ' ', 'g'), '^{_NB}+|{_NB}+$', '', 'g')) AS text_md5 FROM v_lines"
+
+
+@query(_spaced_sql(f"'{_NB}*([!?;:])', ' \\1'"), _LINES)
+def punct_spacing_fr(spark, sf_dir):
+    return v_lines(spark, sf_dir).select("film_id", "seq", F.md5(T.spacing(F.col("text"), "fr")).alias("text_md5"))
+
+
+@query(_spaced_sql(f"'{_NB}+([!?;:])', '\\1'"), _LINES)
+def punct_spacing_en(spark, sf_dir):
+    return v_lines(spark, sf_dir).select("film_id", "seq", F.md5(T.spacing(F.col("text"), "en")).alias("text_md5"))
+
+
+@query("SELECT film_id, seq, md5(translate(regexp_replace(replace(replace(replace(text, 'I!', '!'), '{', ''), '|', 'l'), 'ï[ií]', 'î', 'g'), '’‘“”', '''''\"\"')) AS text_md5 FROM v_lines", _LINES)
+def ocr_fix_subset(spark, sf_dir):
+    """The rules of the OCR repair that need no look-around."""
+    x = F.replace(F.replace(F.replace(F.col("text"), F.lit("I!"), F.lit("!")), F.lit("{"), F.lit("")), F.lit("|"), F.lit("l"))
+    return v_lines(spark, sf_dir).select("film_id", "seq", F.md5(F.translate(F.regexp_replace(x, "ï[ií]", "î"), "’‘“”", "''\"\"")).alias("text_md5"))
+
+
+@query()
+def ocr_repair(spark, sf_dir):
+    x = v_lines(spark, sf_dir).withColumn("fixed", T.ocr_line(F.col("text"), "fr"))
+    return x.select("film_id", "seq", "fixed", (F.col("fixed") != F.col("text")).alias("changed")).where("fixed <> ''")
+
+
+@query("SELECT film_id, pos, regexp_replace(lower(word), '[^a-zà-ÿ0-9'']', '', 'g') AS token FROM v_words", _WORDS)
+def token_norm(spark, sf_dir):
+    return v_words(spark, sf_dir).select("film_id", "pos", T.normal(F.col("word")).alias("token"))
+
+
+_TOK = "tok AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+(?:''[A-Za-zÀ-ÿ]+)?')) AS word FROM documents)"
+
+
+def _tokens(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id", F.explode(T.tokens(F.col("text"))).alias("word"))
+
+
+@query("SELECT word, count(*) AS n FROM tok GROUP BY word", _TOK)
+def word_freq(spark, sf_dir):
+    return _tokens(spark, sf_dir).groupBy("word").agg(F.count("*").alias("n"))
+
+
+@query("SELECT word, array_to_string(list_sort(list(doc_id))[1:2], ',') AS first_docs FROM (SELECT DISTINCT word, doc_id FROM tok) GROUP BY word", _TOK)
+def word_index_top2(spark, sf_dir):
+    two = _tokens(spark, sf_dir).distinct().withColumn("n", F.row_number().over(Window.partitionBy("word").orderBy("doc_id"))).where("n <= 2")
+    return two.groupBy("word").agg(F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")), lambda x: x.cast("string")), ",").alias("first_docs"))
+
+
+@query("SELECT DISTINCT word, regexp_matches(word, '^[A-ZÀ-ÖØ-Þ]') AS capitalised FROM tok WHERE lower(word) NOT IN (SELECT lower(w) FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+(?:''[A-Za-zÀ-ÿ]+)?')) AS w FROM benchmark))", _TOK)
+def dict_anti(spark, sf_dir):
+    known = _t(spark, sf_dir, "benchmark").select(F.explode(T.tokens(F.col("text"))).alias("w")).select(F.lower("w").alias("low")).distinct()
+    return _tokens(spark, sf_dir).select("word").distinct().withColumn("low", F.lower("word")).join(known, "low", "left_anti").select("word", F.col("word").rlike("^[A-ZÀ-ÖØ-Þ]").alias("capitalised"))
+
+
+_FOREIGN = ", ".join("'" + w.replace("'", "''") + "'" for w in T.FOREIGN)
+
+
+@query(f"SELECT film_id, seq, round(CASE WHEN len(w) > 0 THEN len(list_filter(w, lambda x: x IN ({_FOREIGN})))::DOUBLE / len(w) ELSE 0 END, 6) AS share FROM (SELECT film_id, seq, regexp_extract_all(lower(text), '[A-Za-zÀ-ÿ'']+') AS w FROM v_lines)", _LINES)
+def foreign_share(spark, sf_dir):
+    return v_lines(spark, sf_dir).select("film_id", "seq", F.round(T.foreign_share(F.col("text")), 6).alias("share"))
+
+
+@query("SELECT film_id, seq FROM v_lines WHERE length(regexp_replace(text, '[^\\p{L}]', '', 'g')) > 0 AND 100 * length(regexp_replace(text, '[^\\p{Lu}]', '', 'g')) > 85 * length(regexp_replace(text, '[^\\p{L}]', '', 'g'))", _LINES)
+def sign_lines(spark, sf_dir):
+    return v_lines(spark, sf_dir).where(T.is_sign(F.col("text"))).select("film_id", "seq")
+
+
+@query("SELECT text AS line, count(*) AS n FROM v_lines GROUP BY text HAVING count(*) > 1", _LINES)
+def repeat_lines(spark, sf_dir):
+    return v_lines(spark, sf_dir).groupBy(F.col("text").alias("line")).agg(F.count("*").alias("n")).where("n > 1")
+
+
+@query("SELECT film_id, seq FROM v_lines WHERE regexp_matches(lower(text), 'sous-titrage|subtitle|amara|merci d''avoir regardé|thanks for watching|abonnez-vous')", _LINES)
+def boilerplate_lines(spark, sf_dir):
+    return v_lines(spark, sf_dir).where(T.is_boilerplate(F.col("text"))).select("film_id", "seq")
+
+
+@query("SELECT film_id, min(seq) AS first_seq, max(seq) AS last_seq, sum(n)::BIGINT AS n_words FROM (SELECT *, sum(CASE WHEN bare THEN 0 ELSE 1 END) OVER (PARTITION BY film_id ORDER BY seq) AS run FROM (SELECT *, n > 0 AND NOT regexp_matches(text, '[.!?,:;]') AS bare FROM (SELECT *, len(list_filter(regexp_split_to_array(text, '[ \\x09-\\x0D]+'), lambda x: x <> '')) AS n FROM v_lines))) WHERE bare GROUP BY film_id, run HAVING sum(n) >= 2", _LINES)
+def bare_runs(spark, sf_dir):
+    return cues.bare_runs(v_lines(spark, sf_dir), 2).select("film_id", "first_seq", "last_seq", F.col("n_words").cast("long").alias("n_words"))
+
+
+@query("SELECT film_id, seq, row_number() OVER (PARTITION BY film_id ORDER BY seq)::INTEGER AS cue_id FROM v_turns WHERE role <> 'system'", _TURNS)
+def renumber(spark, sf_dir):
+    return cues.renumber(v_turns(spark, sf_dir).where("role <> 'system'"), order=("seq",)).select("film_id", "seq", "cue_id")
+
+
+@query("SELECT film_id, lo, hi, CASE WHEN hi < n THEN hi + 1 END AS next_lo, CASE WHEN hi < n THEN least(hi + 1 + hi - lo, n) END AS next_hi FROM (SELECT film_id, n, lo, least(lo + 149, n) AS hi FROM (SELECT film_id, n, unnest(range(1, n + 1, 150)) AS lo FROM (SELECT film_id, max(cue_id) AS n FROM v_cues GROUP BY film_id)))", _CUES)
+def batch_tiles(spark, sf_dir):
+    return cues.tiles(v_cues(spark, sf_dir)).select("film_id", "lo", "hi", "next_lo", "next_hi")
+
+
+_RULES = [(r"the\s+the", "the"), (r"([a-z]+)ing ", r"\1in' "), (r"on the", "upon the")]
+
+
+@query("SELECT film_id, seq, md5(t) AS text_md5, t <> text AS changed FROM (SELECT *, regexp_replace(regexp_replace(regexp_replace(text, 'the[ \\x09-\\x0D]+the', 'the', 'g'), '([a-z]+)ing ', '\\1in'' ', 'g'), 'on the', 'upon the', 'g') AS t FROM v_lines) WHERE length(trim(t)) > 0", _LINES)
+def rule_rewrite(spark, sf_dir):
+    return corrections.apply_rules(v_lines(spark, sf_dir), _RULES).select("film_id", "seq", F.md5("text").alias("text_md5"), "changed")
+
+
+@query("SELECT pattern, count(*) AS n_cues FROM (SELECT CASE WHEN regexp_matches(trim(regexp_replace(text, '[ \\x09-\\x0D]+', ' ', 'g')), 'the[ \\x09-\\x0D]+the') THEN 'the the' END AS pattern FROM v_lines UNION ALL SELECT CASE WHEN regexp_matches(trim(regexp_replace(text, '[ \\x09-\\x0D]+', ' ', 'g')), 'on[ \\x09-\\x0D]+the') THEN 'on the' END FROM v_lines) WHERE pattern IS NOT NULL GROUP BY pattern", _LINES)
+def rule_residual(spark, sf_dir):
+    return corrections.residual(v_lines(spark, sf_dir), ["the the", "on the"])
+
+
+@query("SELECT film_id, seq FROM v_lines WHERE NOT regexp_matches(lower(text), '(copyright|all rights)') AND length(trim(text)) > 0", _LINES)
+def drop_matching(spark, sf_dir):
+    return corrections.apply_rules(v_lines(spark, sf_dir), [], drop=["copyright", "all rights"]).select("film_id", "seq")
+
+
+_TERMS = ["the", "of", "is"]
+
+
+_TERM_SQL = " UNION ALL ".join(f"SELECT film_id, '{t}' AS term, min(seq) AS cue_id FROM v_lines WHERE regexp_matches(lower(text), '(^|[^\\p{{L}}\\p{{N}}\\p{{M}}_]){t}($|[^\\p{{L}}\\p{{N}}\\p{{M}}_])') GROUP BY film_id" for t in _TERMS)
+
+
+@query(_TERM_SQL, _LINES)
+def first_match_per_term(spark, sf_dir):
+    x = v_lines(spark, sf_dir).withColumn("cue_id", F.col("seq")).withColumn("start_ms", F.col("seq"))
+    return review.first_match(x, _TERMS).select("film_id", "term", "cue_id")
+
+
+@query("SELECT film_id, cue_id, tier, n FROM (SELECT film_id, cue_id, CASE WHEN cue_id % 3 = 0 THEN 'both' WHEN cue_id % 3 = 1 THEN 'one' ELSE 'none' END AS tier, (cue_id % 5)::INTEGER AS n, start_ms FROM v_cues)", _CUES)
+def rank_review(spark, sf_dir):
+    tier = F.when(F.col("cue_id") % 3 == 0, "both").when(F.col("cue_id") % 3 == 1, "one").otherwise("none")
+    x = v_cues(spark, sf_dir).withColumn("tier", tier).withColumn("agreed", F.expr("slice(array(1, 2, 3, 4), 1, cast(cue_id % 5 as int))"))
+    return review.ranked(x).select("film_id", "cue_id", "tier", F.size("agreed").alias("n"))
+
+
+@query("SELECT film_id, bucket, median(delta)::DOUBLE AS median_ms, count(*) AS n FROM (SELECT film_id, delta, least(9, coalesce(floor((start_ms - lo) * 10 / nullif(hi - lo, 0)), 0))::INTEGER AS bucket FROM (SELECT film_id, start_ms, end_ms - start_ms AS delta, min(start_ms) OVER (PARTITION BY film_id) AS lo, max(start_ms) OVER (PARTITION BY film_id) AS hi FROM v_cues)) GROUP BY film_id, bucket", _CUES)
+def drift_buckets(spark, sf_dir):
+    return review.drift(v_cues(spark, sf_dir).withColumn("delta_ms", F.col("end_ms") - F.col("start_ms")))
+
+
+@query("SELECT c.film_id, c.cue_id FROM v_cues c WHERE EXISTS (SELECT 1 FROM v_cues s WHERE s.source = 'purchase' AND s.film_id = c.film_id AND c.start_ms BETWEEN s.start_ms AND s.end_ms)", _CUES)
+def song_ranges(spark, sf_dir):
+    c = v_cues(spark, sf_dir)
+    return intervals.starts_within(c, c.where("source = 'purchase'").select("film_id", "start_ms", "end_ms")).select("film_id", F.col("l_cue_id").alias("cue_id")).distinct()
+
+
+@query("SELECT film_id, at_ms FROM (SELECT film_id, start_ms AS at_ms FROM v_cues UNION SELECT film_id, end_ms FROM v_cues) EXCEPT SELECT film_id, at_ms FROM (SELECT film_id, start_ms AS at_ms FROM v_cues WHERE source <> 'view' UNION SELECT film_id, end_ms FROM v_cues WHERE source <> 'view')", _CUES)
+def set_lost_stamps(spark, sf_dir):
+    c = v_cues(spark, sf_dir)
+    return corrections.stamps_survive(c, c.where("source <> 'view'"))
+
+
+@query()
+def cut_plan(spark, sf_dir):
+    w = v_words(spark, sf_dir)
+    films = w.groupBy("film_id").agg(F.max("end_ms").alias("duration_ms"))
+    silences = cues.word_gaps(w).where("gap_ms >= 400").select("film_id", (F.col("start_ms") - F.col("gap_ms")).alias("at_ms"))
+    return cues.cut_points(films, silences, 8000)
+
+
+@query("SELECT film_id, cue_id, printf('%02d:%02d:%02d,%03d', d // 3600000, d // 60000 % 60, d // 1000 % 60, d % 1000) AS stamp, printf('%02d:%02d', d // 60000, d // 1000 % 60) AS short, d AS ms FROM (SELECT film_id, cue_id, start_ms % 86400000 AS d FROM v_cues)", _CUES)
+def stamp_round_trip(spark, sf_dir):
+    x = v_cues(spark, sf_dir).withColumn("d", F.col("start_ms") % 86_400_000).withColumn("stamp", stamps.from_ms(F.col("d")))
+    return x.select("film_id", "cue_id", "stamp", stamps.minutes(F.col("d")).alias("short"), stamps.to_ms(F.col("stamp")).alias("ms"))
+
+
+def _pairs(spark, sf_dir) -> DataFrame:
+    """Each turn with the turns before and after it as two other readings."""
+    w = Window.partitionBy("film_id").orderBy("seq")
+    return v_turns(spark, sf_dir).withColumn("can", F.lag("text").over(w)).withColumn("qwn", F.lead("text").over(w))
+
+
+@query()
+def review_tiers(spark, sf_dir):
+    return review.tiers(_pairs(spark, sf_dir), ["can", "qwn"]).select("film_id", "seq", "tier", "n_dissent", "marked")
+
+
+@query()
+def sentence_boundaries(spark, sf_dir):
+    return repair.boundary_report(v_lines(spark, sf_dir)).select("film_id", "seq", F.array_join("missing", " ").alias("missing"), "n_missing", "n_spurious")
+
+
+@query()
+def cue_repair(spark, sf_dir):
+    x = v_lines(spark, sf_dir).where("trim(text) <> ''").select("film_id", "seq", (F.col("seq") * 10_000).cast("long").alias("start_ms"), (F.col("seq") * 10_000 + 9000).cast("long").alias("end_ms"), "text")
+    return repair.repaired(x)
+
+
+@query()
+def wrap_two_lines(spark, sf_dir):
+    return cues.group_words(v_words(spark, sf_dir)).select("film_id", "cue_id", cues.wrapped(F.col("text")).alias("text"))
