@@ -228,7 +228,7 @@ def _assemble(table: pa.Table, ranks, ids_too: bool) -> pa.Table:
             out["decoded_sha256"].append(text_hash.hexdigest())
             out["n_bytes"].append(length)
             out["ids"].append(np.concatenate(all_ids) if all_ids else np.zeros(0, np.int32))
-    cols = [pa.array(out["doc_id"], pa.int64()), pa.array(out["n_tokens"], pa.int64()), pa.array(out["ids_sha256"]), pa.array(out["decoded_sha256"]), pa.array(out["n_bytes"], pa.int64())]
+    cols = [pa.array(out["doc_id"], pa.int64()), pa.array(out["n_tokens"], pa.int64()), pa.array(out["ids_sha256"], pa.string()), pa.array(out["decoded_sha256"], pa.string()), pa.array(out["n_bytes"], pa.int64())]
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes"]
     if ids_too:
         cols, names = cols + [pa.array(out["ids"], pa.list_(pa.int32()))], names + ["ids"]
