@@ -3,9 +3,15 @@
 Every line gets an ID (XXH64).  Round by round each position's rank by its first h lines is joined with the
 rank h lines further on, and the distinct pairs are sorted over the cluster to give ranks by 2h lines;
 positions whose rank is unique drop out.  The positions of equal rank by h lines form an interval of the
-suffix array whose longest common prefix is at least h: a repeated run.  In each such interval the copy that
-starts first (least doc_id, then line number) stays, and the run is marked in all later copies if it has at
-least `min_words` words.  Runs never cross documents.
+suffix array whose longest common prefix is at least h.
+
+A line is deleted if it lies in a run of lines that holds at least `min_words` words and also starts earlier
+(lesser doc_id, then line number); runs never cross documents.  Such a run is the union of its least windows:
+those that reach `min_words` from a line forward, and those that reach it from a line backward.  Which windows
+are least depends on their own lines only, so every copy of one is compared.  A window of h to 2h - 1 lines is
+named exactly by its length and two ranks by h lines: that of its start and that of the place h lines before
+its end.  Windows of one name form an interval; its first member stays, the others are marked.  The rounds end
+with the longest window, and the marked windows of a document join into its maximal repeated runs.
 
 Edge cases: a null text is one empty line; a null doc_id sorts first; a row that repeats a doc_id is told
 apart by its text's hash, and a row equal in both is treated as the same document (every copy gets the same
@@ -15,60 +21,100 @@ table gives an empty result.  A document whose lines are all marked keeps none:
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
-
-#: Runs are told apart up to 2^MAX_ROUNDS lines; longer ones are covered by their parts.
-MAX_ROUNDS = 20
-
-
-def lines(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(d, h, pos, line, words): one row per line of each distinct (doc_id, text)."""
+from .common import texts, written
+
+_CHUNK = 1 << 22
+_PLACE = ["d", "h", "pos"]
+
+
+def least_windows(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths (in lines) of all least windows of one document, in order, each once."""
+    n, before = len(words), np.concatenate([[0], np.cumsum(words)])
+    ends = np.searchsorted(before, before[:-1] + min_words)
+    starts = np.searchsorted(before, before[1:] - min_words, side="right") - 1
+    ahead, back = np.flatnonzero(ends <= n), np.flatnonzero(starts >= 0)
+    spans = np.concatenate([ahead * (n + 1) + ends[ahead], starts[back] * (n + 1) + back + 1])
+    start, end = np.divmod(np.unique(spans), n + 1)
+    return start, end - start
+
+
+def _cut(batches, min_words: int):
+    names = [*_PLACE, "line", "windows"]
+    for batch in batches:
+        out, held = [], 0
+        for d, h, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2))):
+            cut = raw.split(b"\n")
+            ids = np.fromiter(map(xxhash.xxh64_intdigest, cut), np.uint64, len(cut)).view(np.int64)
+            start, length = least_windows(np.fromiter((len(x.split()) for x in cut), np.int64, len(cut)), min_words)
+            offsets = np.searchsorted(start, np.arange(len(cut) + 1)).astype(np.int32)
+            windows = pa.ListArray.from_arrays(pa.array(offsets), pa.array(length.astype(np.int32)))
+            out.append(pa.RecordBatch.from_arrays([pa.array(np.full(len(cut), d)), pa.array(np.full(len(cut), h)), pa.array(np.arange(len(cut), dtype=np.int32)), pa.array(ids), windows], names=names))
+            held += len(raw)
+            if held > _CHUNK:
+                yield from pa.Table.from_batches(out).combine_chunks().to_batches(20_000)
+                out, held = [], 0
+        if out:
+            yield from pa.Table.from_batches(out).combine_chunks().to_batches(20_000)
+
+
+def lines(docs: DataFrame, min_words: int, text: str = "text") -> DataFrame:
+    """(d, h, pos, line, windows array<int>): the lines of each row, with the lengths of least windows that start there."""
     t = F.coalesce(F.col(text), F.lit(""))
-    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("d"), F.xxhash64(t).alias("h"), F.posexplode(F.split(t, "\n", -1)).alias("pos", "l"))
-    return base.select("d", "h", "pos", F.xxhash64("l").alias("line"), F.size(F.array_remove(F.split("l", r"[ \x09-\x0D]+"), "")).alias("words"))
+    slim = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("d"), F.xxhash64(t).alias("h"), t.alias("t"))
+    return slim.mapInArrow(lambda it: _cut(it, min_words), "d long, h long, pos int, line long, windows array<int>")
 
 
 def _ranked(pairs: DataFrame) -> DataFrame:
-    """Positions (d, h, pos, words, a, b) with `rank` by (a, b) and `n`, the number of positions of that rank.
+    """Positions (d, h, pos, windows) whose pair (a, b) occurs more than once, with `rank` by (a, b) and the `first` of that rank.
 
     Distinct pairs are counted first, so a frequent pair is one row; a range sort numbers them in order.
     """
-    distinct = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(F.struct("d", "h", "pos")).alias("first"))
-    order = written(distinct.where("n > 1").orderBy("a", "b").select("a", "b", "n", "first", F.monotonically_increasing_id().alias("rank")))
-    return pairs.join(order, ["a", "b"])
+    distinct = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(F.struct(*_PLACE)).alias("first"))
+    order = written(distinct.where("n > 1").orderBy("a", "b").select("a", "b", "first", F.monotonically_increasing_id().alias("rank")))
+    return pairs.join(order, ["a", "b"]).select(*_PLACE, "windows", "rank", "first")
 
 
 def repeated(docs: DataFrame, min_words: int = 20, text: str = "text") -> DataFrame:
-    """(d, h, pos, run): windows of `run` lines from line `pos` that start earlier too and hold min_words words."""
-    base = lines(docs, text)
+    """(d, h, pos, run): least windows of `run` lines from line `pos` whose lines start earlier too."""
     # one row for each distinct document, then the first round: h = 1
-    live = base.groupBy("d", "h", "pos").agg(F.first("line").alias("a"), F.first("words").alias("words")).withColumn("b", F.lit(0).cast("long"))
-    out, run = None, 1
-    live = written(live)
-    for _ in range(MAX_ROUNDS):
-        # a position whose rank is unique can start no repeated run, now or later
-        ranked = written(_ranked(live).select("d", "h", "pos", "words", "rank", (F.struct("d", "h", "pos") != F.col("first")).alias("later")))
-        if ranked.isEmpty():
-            break
-        found = ranked.where(F.col("later") & (F.col("words") >= min_words)).select("d", "h", "pos", F.lit(run).alias("run"))
+    live = lines(docs, min_words, text).groupBy(*_PLACE).agg(F.first("line").alias("a"), F.first("windows").alias("windows")).withColumn("b", F.lit(0).cast("long"))
+    live, out, run = written(live), None, 1
+    while True:
+        # a position whose rank is unique can start no repeated window, now or later
+        ranked = written(_ranked(live))
+        longest = ranked.agg(F.max(F.array_max("windows"))).first()[0] or 0
+        if out is not None and longest < run:
+            return out
+        place = F.struct(*_PLACE)
+        found = ranked.where(F.array_contains("windows", run) & (place != F.col("first"))).select(*_PLACE, F.lit(run).alias("run"))
         out = found if out is None else out.unionByName(found)
+        if longest > run:
+            found = ranked.select(*_PLACE, "rank", F.explode(F.filter("windows", lambda x: (x > run) & (x < 2 * run))).alias("run"))
+            ends = ranked.select("d", "h", F.col("pos").alias("at"), F.col("rank").alias("last"))
+            named = written(found.withColumn("at", F.col("pos") + F.col("run") - run).join(ends, ["d", "h", "at"]).select(*_PLACE, "run", "rank", "last"))
+            first = named.groupBy("run", "rank", "last").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
+            out = out.unionByName(named.join(first, ["run", "rank", "last"]).where(place != F.col("first")).select(*_PLACE, "run"))
+        if longest < 2 * run:
+            return out
         # both halves must be repeated runs of their own for the doubled one to be repeated
-        other = ranked.select("d", "h", (F.col("pos") - run).alias("pos"), F.col("rank").alias("b"), F.col("words").alias("more"))
-        live = ranked.join(other, ["d", "h", "pos"]).select("d", "h", "pos", (F.col("words") + F.col("more")).alias("words"), F.col("rank").alias("a"), "b")
+        other = ranked.select("d", "h", (F.col("pos") - run).alias("pos"), F.col("rank").alias("b"))
+        live = ranked.select(*_PLACE, "windows", F.col("rank").alias("a")).join(other, _PLACE)
         run *= 2
-    return out if out is not None else base.select("d", "h", "pos", F.lit(1).alias("run")).limit(0)
 
 
 def marks(docs: DataFrame, min_words: int = 20, text: str = "text") -> DataFrame:
-    """(d, h, gone array<struct<pos, run>>, longest): the marked windows of each document that has any."""
-    return repeated(docs, min_words, text).groupBy("d", "h").agg(F.collect_set(F.struct("pos", "run")).alias("gone"), F.max("run").alias("longest"))
+    """(d, h, gone array<struct<pos, run>>): the marked windows of each document that has any."""
+    return repeated(docs, min_words, text).groupBy("d", "h").agg(F.collect_set(F.struct("pos", "run")).alias("gone"))
 
 
 def dedup(docs: DataFrame, min_words: int = 20, text: str = "text") -> DataFrame:
-    """`docs` with `text` less its marked lines, and __lines, __removed (int), __longest (int: lines of the longest marked window)."""
+    """`docs` with `text` less its marked lines, and __lines, __removed, __longest (int): lines, deleted ones, those of the longest deleted run."""
     t = F.coalesce(F.col(text), F.lit(""))
     found = marks(docs, min_words, text)
     keyed = docs.withColumn("__d", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))).withColumn("__h", F.xxhash64(t))
@@ -77,11 +123,12 @@ def dedup(docs: DataFrame, min_words: int = 20, text: str = "text") -> DataFrame
     # distinct places of the marked windows, then the lines in between
     out = out.withColumn("__places", F.expr("coalesce(array_sort(array_distinct(flatten(transform(gone, g -> sequence(g.pos, g.pos + g.run - 1))))), cast(array() as array<int>))"))
     out = out.withColumn("__removed", F.size("__places"))
-    ends = F.expr("concat(array(-1), __places, array(__lines))")
-    out = out.withColumn("__ends", ends)
+    out = out.withColumn("__ends", F.expr("concat(array(-1), __places, array(__lines))"))
+    # a place less its rank is the same along a run: a run's length is counted up while that holds
+    longest = F.expr("aggregate(__places, named_struct('last', -2, 'n', 0, 'best', 0), (a, p) -> named_struct('last', p, 'n', if(p = a.last + 1, a.n + 1, 1), 'best', greatest(a.best, if(p = a.last + 1, a.n + 1, 1))), a -> a.best)")
     kept = F.expr("array_join(flatten(transform(slice(__ends, 1, size(__ends) - 1), (e, i) -> slice(__all, e + 2, __ends[i + 1] - e - 1))), '\n')")
     out = out.withColumn(text, F.when(F.col("__removed") == 0, F.col(text)).otherwise(kept))
-    return out.select(*docs.columns, "__lines", "__removed", F.coalesce("longest", F.lit(0)).alias("__longest"))
+    return out.select(*docs.columns, "__lines", "__removed", longest.alias("__longest"))
 
 
 def keep(docs: DataFrame, min_words: int = 20, text: str = "text") -> DataFrame:

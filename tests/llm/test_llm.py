@@ -92,19 +92,27 @@ def test_lines(docs, spark):
     rows = [(1, "a b c\nlong line " + "w " * 20 + "\nend", "s"), (2, "x\nlong line " + "w " * 20 + "\ny", "s"), (3, "p q r s t\nu v w x y\nz z z z z\nk k k k k\nother", "s"), (4, "p q r s t\nu v w x y\nz z z z z\nk k k k k\nnew", "s"), (5, "short\nshort", "s"), (6, None, "s")]
     got = {r.doc_id: (r.text, r["__removed"]) for r in line_suffixes.dedup(table(spark, rows)).collect()}
     assert got[1][1] == 0 and got[2] == ("x\ny", 1) and got[3][1] == 0 and got[4] == ("new", 4) and got[5][1] == 0 and got[6] == (None, 0)
-    seen, want = set(), {}
-    for r in sorted({(r.doc_id if r.doc_id is not None else -1, r.text or "") for r in docs.collect()}):
-        lines = r[1].split("\n")
-        gone = set()
-        for h in (1, 2, 4, 8, 16, 32, 64, 128):
-            for i in range(len(lines) - h + 1):
-                w = tuple(lines[i : i + h])
-                if w in seen and sum(len(x.split()) for x in w) >= 5:
-                    gone.update(range(i, i + h))
-                seen.add(w)
-        want[r] = len(gone)
-    kept = line_suffixes.dedup(docs, 5).select("doc_id", "__removed").collect()
-    assert Counter((r[0] if r[0] is not None else -1, r[1]) for r in kept) == Counter((r.doc_id if r.doc_id is not None else -1, want[r.doc_id if r.doc_id is not None else -1, r.text or ""]) for r in docs.collect())
+    # a run of three lines that no window of one or two lines reaches; a repeat inside one document; blank lines at the edge
+    run = "a1 a2 a3 a4 a5 a6 a7\nb1 b2 b3 b4 b5 b6 b7\nc1 c2 c3 c4 c5 c6 c7\n"
+    odd = table(spark, [(1, "u\n" + run + "\nv", "s"), (2, "x\n" + run + "\ny", "s"), (3, "k " * 25 + "\n" + "k " * 25 + "\nz", "s"), (4, "b1 b2 b3 b4 b5 b6 b7\nother", "s")])
+    got = {r.doc_id: (r.text, r["__removed"], r["__longest"]) for r in line_suffixes.dedup(odd).collect()}
+    assert got[1][1] == 0 and got[2] == ("x\ny", 4, 4) and got[3] == ("k " * 25 + "\nz", 1, 1) and got[4][1] == 0
+    lined = table(spark, [(1000 + i, "\n".join(" ".join(["p", "q"][: 1 + i * j % 2] * (j * i % 3)) for j in range(14)), "s") for i in range(24)])
+    for x, least in ((docs, 5), (lined, 4), (lined, 9)):
+        seen, want = set(), {}
+        for r in sorted({(r.doc_id if r.doc_id is not None else -1, r.text or "") for r in x.collect()}):
+            lines, gone = r[1].split("\n"), set()
+            words = [len(k.split()) for k in lines]
+            for i in range(len(lines)):
+                for n in range(1, len(lines) - i + 1):
+                    w = tuple(lines[i : i + n])
+                    if sum(words[i : i + n]) >= least:
+                        if w in seen:
+                            gone.update(range(i, i + n))
+                        seen.add(w)
+            want[r] = len(gone)
+        kept = line_suffixes.dedup(x, least).select("doc_id", "__removed").collect()
+        assert Counter((r[0] if r[0] is not None else -1, r[1]) for r in kept) == Counter((r.doc_id if r.doc_id is not None else -1, want[r.doc_id if r.doc_id is not None else -1, r.text or ""]) for r in x.collect())
 
 
 def test_simhash(docs):
