@@ -21,91 +21,74 @@ table gives an empty result.  A document whose lines are all marked keeps none:
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import texts, written
+from .common import written
 
-_CHUNK = 1 << 22
 _PLACE = ["d", "h", "pos"]
 
 
-def least_windows(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and lengths (in lines) of all least windows of one document, in order, each once."""
-    n, before = len(words), np.concatenate([[0], np.cumsum(words)])
-    ends = np.searchsorted(before, before[:-1] + min_words)
-    starts = np.searchsorted(before, before[1:] - min_words, side="right") - 1
-    ahead, back = np.flatnonzero(ends <= n), np.flatnonzero(starts >= 0)
-    spans = np.concatenate([ahead * (n + 1) + ends[ahead], starts[back] * (n + 1) + back + 1])
-    start, end = np.divmod(np.unique(spans), n + 1)
-    return start, end - start
-
-
-def _cut(batches, min_words: int):
-    names = [*_PLACE, "line", "windows"]
-    for batch in batches:
-        out, held = [], 0
-        for d, h, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2))):
-            cut = raw.split(b"\n")
-            ids = np.fromiter(map(xxhash.xxh64_intdigest, cut), np.uint64, len(cut)).view(np.int64)
-            start, length = least_windows(np.fromiter((len(x.split()) for x in cut), np.int64, len(cut)), min_words)
-            offsets = np.searchsorted(start, np.arange(len(cut) + 1)).astype(np.int32)
-            windows = pa.ListArray.from_arrays(pa.array(offsets), pa.array(length.astype(np.int32)))
-            out.append(pa.RecordBatch.from_arrays([pa.array(np.full(len(cut), d)), pa.array(np.full(len(cut), h)), pa.array(np.arange(len(cut), dtype=np.int32)), pa.array(ids), windows], names=names))
-            held += len(raw)
-            if held > _CHUNK:
-                yield from pa.Table.from_batches(out).combine_chunks().to_batches(20_000)
-                out, held = [], 0
-        if out:
-            yield from pa.Table.from_batches(out).combine_chunks().to_batches(20_000)
-
-
-def lines(docs: DataFrame, min_words: int, text: str = "text") -> DataFrame:
-    """(d, h, pos, line, windows array<int>): the lines of each row, with the lengths of least windows that start there."""
+def lines(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(d, h, pos, line, words): the lines of each distinct (doc_id, text)."""
     t = F.coalesce(F.col(text), F.lit(""))
-    slim = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("d"), F.xxhash64(t).alias("h"), t.alias("t"))
-    return slim.mapInArrow(lambda it: _cut(it, min_words), "d long, h long, pos int, line long, windows array<int>")
+    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("d"), F.xxhash64(t).alias("h"), F.posexplode(F.split(t, "\n", -1)).alias("pos", "l"))
+    base = base.select(*_PLACE, F.xxhash64("l").alias("line"), F.size(F.array_remove(F.split("l", r"[ \x09-\x0D]+"), "")).alias("words"))
+    return base.groupBy(*_PLACE).agg(F.first("line").alias("line"), F.first("words").alias("words"))
+
+
+def least_windows(base: DataFrame, min_words: int) -> DataFrame:
+    """(d, h, pos, run): the least windows of `lines`, each once.
+
+    A window grows from one frame to the next, so a document of n lines takes n steps.
+    """
+    doc = Window.partitionBy("d", "h")
+    x = base.withColumn("upto", F.sum("words").over(doc.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))).withColumn("before", F.col("upto") - F.col("words"))
+    # the line that holds the min_words-th word from here, and the last line that ends min_words words before this one's end
+    ahead = F.max(F.struct("pos", "upto")).over(doc.orderBy("before").rangeBetween(Window.unboundedPreceding, min_words - 1))
+    back = F.max("pos").over(doc.orderBy("upto").rangeBetween(Window.unboundedPreceding, -min_words))
+    x = x.withColumn("ahead", ahead).withColumn("back", F.coalesce(back, F.lit(-1)))
+    forward = F.when(F.col("ahead.upto") - F.col("before") >= min_words, F.struct("pos", (F.col("ahead.pos") - F.col("pos") + 1).alias("run")))
+    backward = F.when(F.col("upto") >= min_words, F.struct((F.col("back") + 1).alias("pos"), (F.col("pos") - F.col("back")).alias("run")))
+    return x.select("d", "h", F.explode(F.array(forward, backward)).alias("w")).where("w is not null").select("d", "h", "w.pos", "w.run").distinct()
 
 
 def _ranked(pairs: DataFrame) -> DataFrame:
-    """Positions (d, h, pos, windows) whose pair (a, b) occurs more than once, with `rank` by (a, b) and the `first` of that rank.
+    """Positions (d, h, pos) whose pair (a, b) occurs more than once, with `rank` by (a, b) and the `first` of that rank.
 
     Distinct pairs are counted first, so a frequent pair is one row; a range sort numbers them in order.
     """
     distinct = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(F.struct(*_PLACE)).alias("first"))
     order = written(distinct.where("n > 1").orderBy("a", "b").select("a", "b", "first", F.monotonically_increasing_id().alias("rank")))
-    return pairs.join(order, ["a", "b"]).select(*_PLACE, "windows", "rank", "first")
+    return pairs.join(order, ["a", "b"]).select(*_PLACE, "rank", "first")
 
 
 def repeated(docs: DataFrame, min_words: int = 20, text: str = "text") -> DataFrame:
     """(d, h, pos, run): least windows of `run` lines from line `pos` whose lines start earlier too."""
-    # one row for each distinct document, then the first round: h = 1
-    live = lines(docs, min_words, text).groupBy(*_PLACE).agg(F.first("line").alias("a"), F.first("windows").alias("windows")).withColumn("b", F.lit(0).cast("long"))
-    live, out, run = written(live), None, 1
-    while True:
+    base = written(lines(docs, text))
+    windows = written(least_windows(base, min_words))
+    longest = windows.agg(F.max("run")).first()[0] or 0
+    live, out, run, place = base.select(*_PLACE, F.col("line").alias("a"), F.lit(0).cast("long").alias("b")), None, 1, F.struct(*_PLACE)
+    while run <= longest:
         # a position whose rank is unique can start no repeated window, now or later
         ranked = written(_ranked(live))
-        longest = ranked.agg(F.max(F.array_max("windows"))).first()[0] or 0
-        if out is not None and longest < run:
-            return out
-        place = F.struct(*_PLACE)
-        found = ranked.where(F.array_contains("windows", run) & (place != F.col("first"))).select(*_PLACE, F.lit(run).alias("run"))
+        if ranked.isEmpty():
+            break
+        mine = windows.where(F.col("run").between(run, 2 * run - 1)).join(ranked, _PLACE)
+        found = mine.where((F.col("run") == run) & (place != F.col("first"))).select(*_PLACE, "run")
         out = found if out is None else out.unionByName(found)
-        if longest > run:
-            found = ranked.select(*_PLACE, "rank", F.explode(F.filter("windows", lambda x: (x > run) & (x < 2 * run))).alias("run"))
+        if run > 1 and longest > run:
             ends = ranked.select("d", "h", F.col("pos").alias("at"), F.col("rank").alias("last"))
-            named = written(found.withColumn("at", F.col("pos") + F.col("run") - run).join(ends, ["d", "h", "at"]).select(*_PLACE, "run", "rank", "last"))
+            named = mine.where(F.col("run") > run).select(*_PLACE, "run", "rank", (F.col("pos") + F.col("run") - run).alias("at"))
+            named = written(named.join(ends, ["d", "h", "at"]).select(*_PLACE, "run", "rank", "last"))
             first = named.groupBy("run", "rank", "last").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
             out = out.unionByName(named.join(first, ["run", "rank", "last"]).where(place != F.col("first")).select(*_PLACE, "run"))
-        if longest < 2 * run:
-            return out
         # both halves must be repeated runs of their own for the doubled one to be repeated
         other = ranked.select("d", "h", (F.col("pos") - run).alias("pos"), F.col("rank").alias("b"))
-        live = ranked.select(*_PLACE, "windows", F.col("rank").alias("a")).join(other, _PLACE)
+        live = ranked.select(*_PLACE, F.col("rank").alias("a")).join(other, _PLACE)
         run *= 2
+    return out if out is not None else windows.limit(0)
 
 
 def marks(docs: DataFrame, min_words: int = 20, text: str = "text") -> DataFrame:
