@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import stamps
+from ..functions import sizing, stamps
 from ..functions import text as T
-from ..operators import corrections, cues, intervals, repair, review
+from ..operators import corrections, cues, intervals, matching, repair, review
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -342,3 +342,91 @@ def cue_repair(spark, sf_dir):
 @query()
 def wrap_two_lines(spark, sf_dir):
     return cues.group_words(v_words(spark, sf_dir)).select("film_id", "cue_id", cues.wrapped(F.col("text")).alias("text"))
+
+
+def _worded(spark, sf_dir) -> DataFrame:
+    """Cues of two words each, so that transcripts share words."""
+    return v_cues(spark, sf_dir).withColumn("text", F.expr("concat('A', cue_id % 3, ' b', cue_id % 5)"))
+
+
+_SHARED = "shared AS (SELECT l.film_id, l.source, l.cue_id, l.start_ms, r.source AS other, r.cue_id AS other_id, r.start_ms AS other_ms, ((l.cue_id % 3 = r.cue_id % 3)::INTEGER + (l.cue_id % 5 = r.cue_id % 5)::INTEGER) AS shared FROM v_cues l JOIN v_cues r ON r.film_id = l.film_id AND r.end_ms >= r.start_ms AND r.end_ms > l.start_ms - 60000 AND r.start_ms < l.end_ms + 60000 WHERE l.source = 'view' AND r.source IN ('click', 'purchase') AND (l.cue_id % 3 = r.cue_id % 3 OR l.cue_id % 5 = r.cue_id % 5))"
+
+
+@query("SELECT film_id, cue_id, other_id, shared, other_ms - start_ms AS delta_ms FROM (SELECT *, row_number() OVER (PARTITION BY film_id, cue_id ORDER BY shared DESC, other_ms, other_id) AS n FROM shared WHERE other = 'click') WHERE n = 1", _CUES, _SHARED)
+def start_deltas(spark, sf_dir):
+    c = _worded(spark, sf_dir)
+    return matching.start_deltas(c.where("source = 'view'"), c.where("source = 'click'"), 60_000).select("film_id", "cue_id", "other_id", "shared", "delta_ms")
+
+
+@query("SELECT film_id, cue_id, CASE WHEN (film_id, cue_id) IN (SELECT (film_id, cue_id) FROM shared WHERE other = 'purchase') THEN 'corroborated' ELSE 'unconfirmed' END AS tag FROM v_cues WHERE source = 'view'", _CUES, _SHARED)
+def recovery_tag(spark, sf_dir):
+    c = _worded(spark, sf_dir)
+    return matching.corroborated(c.where("source = 'view'"), c.where("source = 'purchase'"), 60_000).select("film_id", "cue_id", "tag")
+
+
+@query("SELECT film_id, start_ms, end_ms, n_cues, EXISTS (SELECT 1 FROM v_cues s WHERE s.source = 'purchase' AND s.film_id = r.film_id AND s.end_ms >= s.start_ms AND s.end_ms > r.start_ms AND s.start_ms < r.end_ms) AS priority FROM runs r", _CUES, _MISSED, _RUNS)
+def gap_priority(spark, sf_dir):
+    suspects = v_cues(spark, sf_dir).where("source = 'purchase'")
+    return matching.prioritised(cues.runs(_missed(spark, sf_dir), GAP_MS).drop("run"), suspects).select("film_id", "start_ms", "end_ms", "n_cues", "priority")
+
+
+@query("SELECT film_id, seq, md5(lag(text) OVER w) AS before_md5, md5(lead(text) OVER w) AS after_md5, lead(text) OVER w IS NOT NULL AND NOT regexp_matches(rtrim(text), '[.!?…]$') AS runs_on FROM v_turns WINDOW w AS (PARTITION BY film_id ORDER BY seq)", _TURNS)
+def turn_context(spark, sf_dir):
+    return matching.in_context(v_turns(spark, sf_dir)).select("film_id", "seq", F.md5("before").alias("before_md5"), F.md5("after").alias("after_md5"), "runs_on")
+
+
+@query("SELECT film_id, seq, CASE WHEN seq % 4 = 0 THEN 'ref' WHEN seq % 3 = 0 THEN 'can' ELSE 'even' END AS timing, CASE WHEN seq % 4 = 0 THEN start_ms WHEN seq % 3 = 0 THEN end_ms ELSE seq * 1000 END AS start_ms FROM v_cues", _CUES)
+def line_timing(spark, sf_dir):
+    x = v_cues(spark, sf_dir).select("film_id", "seq", F.expr("if(seq % 4 = 0, start_ms, null)").alias("ref"), F.expr("if(seq % 3 = 0, end_ms, null)").alias("can"), (F.col("seq") * 1000).alias("even_ms"))
+    return matching.timed(x, ["ref", "can"]).select("film_id", "seq", "timing", "start_ms")
+
+
+_CHUNKS = "chunks AS (SELECT e.film_id, e.chunk_no, coalesce(n, 0) AS n_cues, CASE WHEN n > 0 THEN 'ok' ELSE 'empty' END AS status FROM (SELECT DISTINCT film_id, start_ms // 3600000 AS chunk_no FROM v_cues) e LEFT JOIN (SELECT film_id, start_ms // 3600000 AS chunk_no, count(*) AS n FROM v_cues WHERE source = 'click' GROUP BY ALL) m ON e.film_id = m.film_id AND e.chunk_no = m.chunk_no)"
+
+
+def _chunks(spark, sf_dir) -> DataFrame:
+    c = v_cues(spark, sf_dir).withColumn("chunk_no", F.floor(F.col("start_ms") / 3_600_000).cast("long"))
+    return matching.chunk_status(c, c.where("source = 'click'"))
+
+
+@query("SELECT film_id, chunk_no, n_cues, status FROM chunks", _CUES, _CHUNKS)
+def chunk_status(spark, sf_dir):
+    return _chunks(spark, sf_dir)
+
+
+@query("SELECT film_id, count(*) AS n_chunks, count(*) FILTER (status <> 'ok') AS n_failed, bool_or(status <> 'ok') AS failed FROM chunks GROUP BY film_id", _CUES, _CHUNKS)
+def failed_films(spark, sf_dir):
+    return matching.failed(_chunks(spark, sf_dir))
+
+
+@query("SELECT CASE length(text) % 3 WHEN 0 THEN 'fix' WHEN 1 THEN 'ask' ELSE 'dismiss' END AS verdict, count(*) AS n, count(*) FILTER (length(text) % 3 = 0 AND length(trim(text)) > 0) AS n_with_text FROM v_turns GROUP BY 1", _TURNS)
+def verdict_roll_up(spark, sf_dir):
+    n = F.length("text") % 3
+    x = v_turns(spark, sf_dir).select(F.when(n == 0, "fix").when(n == 1, "ask").otherwise("dismiss").alias("verdict"), F.when(n == 0, F.col("text")).alias("fix_text"))
+    return matching.roll_up(x)
+
+
+@query("SELECT text AS line, count(*) AS n FROM v_lines GROUP BY text ORDER BY n DESC, line LIMIT 3", _LINES)
+def most_frequent_lines(spark, sf_dir):
+    return matching.most_frequent(v_lines(spark, sf_dir).withColumnRenamed("text", "line"), "line")
+
+
+_MEDIA = "media AS (SELECT w.film_id, whole_ms, duration_ms FROM (SELECT film_id, max(end_ms) AS whole_ms FROM v_cues GROUP BY film_id) w LEFT JOIN (SELECT film_id, max(end_ms) AS duration_ms FROM v_cues WHERE source = 'click' GROUP BY film_id) m ON w.film_id = m.film_id)"
+
+
+@query("SELECT film_id, whole_ms, duration_ms FROM media WHERE duration_ms IS NULL OR abs(duration_ms - whole_ms) > 500", _CUES, _MEDIA)
+def duration_check(spark, sf_dir):
+    c, whole = v_cues(spark, sf_dir), F.max("end_ms").alias("duration_ms")
+    return matching.incomplete(c.where("source = 'click'").groupBy("film_id").agg(whole), c.groupBy("film_id").agg(whole))
+
+
+@query("SELECT film_id, round(audio / nullif(took, 0), 6) AS factor FROM (SELECT film_id, sum(end_ms - start_ms)::DOUBLE AS audio, count(*)::DOUBLE * 7000 AS took FROM v_cues GROUP BY film_id)", _CUES)
+def realtime_factor(spark, sf_dir):
+    x = v_cues(spark, sf_dir).groupBy("film_id").agg(F.sum(F.col("end_ms") - F.col("start_ms")).cast("double").alias("audio_ms"), (F.count("*") * 7000).cast("double").alias("elapsed_ms"))
+    return matching.realtime(x).select("film_id", F.round("factor", 6).alias("factor"))
+
+
+@query("SELECT cue_id, (cue_id % 60 + 10) * 1080 / 288.0::DOUBLE AS font_px, (cue_id % 60 + 10) * 1080 / 288.0::DOUBLE * 1.6 AS ink_px FROM v_cues", _CUES)
+def caption_sizes(spark, sf_dir):
+    px = sizing.effective_px(F.col("cue_id") % 60 + 10, F.lit(1080))
+    return v_cues(spark, sf_dir).select("cue_id", px.alias("font_px"), sizing.ink_px(px).alias("ink_px"))

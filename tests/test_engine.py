@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions import stamps
 from cadenza.functions import text as T
-from cadenza.operators import corrections, cues, intervals, repair, review
+from cadenza.operators import corrections, cues, intervals, matching, repair, review
 from cadenza.sources import bitmap, cuefiles, timings
 
 
@@ -146,3 +146,14 @@ def test_entry_and_registry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_matching(spark):
+    schema = "film_id int, cue_id int, start_ms long, end_ms long, text string"
+    ref = spark.createDataFrame([(1, 1, 0, 1000, "Les Huns!"), (1, 2, 9000, 9500, "rien")], schema)
+    ours = spark.createDataFrame([(1, 7, 300, 900, "les"), (1, 8, 500, 1500, "les huns"), (1, 9, 9100, 9300, "...")], schema)
+    assert [(r.cue_id, r.other_id, r.shared, r.delta_ms) for r in matching.start_deltas(ref, ours).collect()] == [(1, 8, 2, 500)]
+    assert {r.cue_id: r.tag for r in matching.corroborated(ref, ours).collect()} == {1: "corroborated", 2: "unconfirmed"}
+    assert {r.start_ms: r.priority for r in matching.prioritised(ref, ours.where("cue_id = 9")).collect()} == {0: False, 9000: True}
+    status = matching.chunk_status(ref, ours.where("cue_id = 7"), ("film_id", "start_ms"))
+    assert matching.failed(status).first().n_failed == 2
