@@ -270,7 +270,7 @@ def _block_pair(table: pa.Table) -> pa.Table:
     return pa.table({"u": u, "v": v})
 
 
-def similar_groups(docs: DataFrame, text: str = "text", size: int = 5, block: int = 8192) -> DataFrame:
+def similar_groups(docs: DataFrame, text: str = "text", size: int = 5, block: int = 1 << 16) -> DataFrame:
     """(doc_id, component_id) over links of estimated similarity 0.8 or more on `size`-word shingles.
 
     Fingerprints of 256 bits, compared tile against tile as above: tiles are population counts of the first
@@ -280,16 +280,15 @@ def similar_groups(docs: DataFrame, text: str = "text", size: int = 5, block: in
     slim = docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string").alias("text"))
     prints = written(slim.mapInArrow(lambda it: _wide(it, size), _WIDE_SCHEMA).withColumn("id", F.xxhash64(*[f"f{i}" for i in range(WIDE)])))
     classes = written(prints.groupBy("id", *[f"f{i}" for i in range(WIDE)]).agg(F.min("doc_id").alias("least")).withColumn("tile", F.expr("cast(bit_count(f0) as int)")))
-    # 65 rows at most
-    cuts = classes.groupBy("tile").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
+    # 65 rows at most: a proven bound for both broadcasts
+    cuts = written(classes.groupBy("tile").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks")))
     dealt = classes.join(F.broadcast(cuts), "tile").withColumn("block", F.expr("tile * 1000000L + pmod(xxhash64(id), blocks)"))
     blobs = written(dealt.groupBy("block").applyInArrow(_block_blob, "tile int, block long, payload binary"))
-    known = blobs.select("block").toArrow().column(0).to_pylist()  # one number for each `block` texts
-    if not known:
-        return prints.select("doc_id", F.col("doc_id").alias("component_id"))
-    faced = blobs.withColumn("other", F.explode(F.array(*[F.lit(b) for b in known]))).where(f"abs(tile - other div 1000000) <= {WIDE_FIRST}")
+    # each block meets the blocks of every tile in reach
+    near = blobs.selectExpr("block", "payload", f"explode(sequence(greatest(tile - {WIDE_FIRST}, 0), least(tile + {WIDE_FIRST}, {BITS}))) as near")
+    faced = near.join(F.broadcast(cuts.withColumnRenamed("tile", "near")), "near").selectExpr("block", "payload", "near", "explode(sequence(0, blocks - 1)) as j").selectExpr("block", "payload", "near * 1000000L + j as other")
     pairs = faced.select(F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "payload")
-    links = pairs.repartition(max(partitions(docs.sparkSession), len(known)), "lo", "hi").groupBy("lo", "hi").applyInArrow(_block_pair, "u long, v long")
+    links = pairs.repartition(max(partitions(docs.sparkSession), BITS + 1), "lo", "hi").groupBy("lo", "hi").applyInArrow(_block_pair, "u long, v long")
     rooted = classes.select("id", "least").join(components(links), "id", "left").withColumn("root", F.coalesce("component", "id"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("id", "component_id")
     return prints.join(named, "id").select("doc_id", "component_id")
