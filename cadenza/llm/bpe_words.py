@@ -1,6 +1,6 @@
 """Byte-level BPE encoding and decoding over the distinct pre-tokens of a corpus.
 
-Each scan task is a block.  It cuts its texts into pre-tokens and keeps, per text, the sequence of places in
+Each scan task makes blocks of about SPAN bytes of whole texts.  A block cuts its texts into pre-tokens and keeps, per text, the sequence of places in
 the block's own list of distinct words, so positions travel as packed arrays and not as rows.  The blocks'
 words meet by hash, each distinct word is encoded once, and the ids go back to the blocks that hold it;
 there they are reassembled by position.  Decoding looks every id up in the table of token bytes (its size is
@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from itertools import chain
+from itertools import chain, groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,11 @@ from .common import pack, partitions, ragged, steady, unpack
 
 #: Characters of texts that one payload row holds (a longer text has a row of its own).
 PAYLOAD = 4 << 20
-_SCHEMA = "block int, bucket int, kind int, payload binary"
+#: Bytes of texts after which a scan task starts its next block; bounds what a block holds, however large the task.
+SPAN = 64 << 20
+#: Pieces held at a time, beside the block's distinct words.
+_HELD = 1 << 17
+_SCHEMA = "block long, bucket int, kind int, payload binary"
 #: White space beside a space or at an end of a text.
 _BESIDE = regex.compile(r"\s |^\s| \s|\s$|[\x1c-\x1f] |^[\x1c-\x1f]| [\x1c-\x1f]|[\x1c-\x1f]$")
 _encoders: dict[str, tiktoken.Encoding] = {}
@@ -50,7 +55,7 @@ def _encoder(ranks: dict[bytes, int], pattern: str) -> tiktoken.Encoding:
 
 
 def _row(block: int, bucket: int, kind: int, payload: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([bucket], pa.int32()), pa.array([kind], pa.int32()), pa.array([payload], pa.binary())], names=["block", "bucket", "kind", "payload"])
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([bucket], pa.int32()), pa.array([kind], pa.int32()), pa.array([payload], pa.binary())], names=["block", "bucket", "kind", "payload"])
 
 
 def _lists(items: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -98,28 +103,48 @@ class _Pieces(dict):
 
 
 def _sorted_words(place: dict[str, int]) -> tuple[list[bytes], np.ndarray]:
-    """A block's words in order of their bytes; for each place in order of appearance its rank there."""
+    """A block's words in order of their bytes; for each place in order of appearance its rank there.  Empties `place`."""
     raw = [w.encode() for w in place]
+    place.clear()
     order = sorted(range(len(raw)), key=raw.__getitem__)
     rank = np.empty(len(raw), np.int32)
     rank[order] = np.arange(len(raw), dtype=np.int32)
     return [raw[k] for k in order], rank
 
 
-def _parse(batches, pattern: str):
+def _rows(batches, span: int):
+    """(block, (doc_id, text bytes)): a block ends with the row that takes it over `span` bytes, so every scan cuts alike."""
+    block, held = TaskContext.get().partitionId() << 20, 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, 512):
+            part = batch.slice(at, 512)
+            for row in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
+                yield block, row
+                held += len(row[1] or b"")
+                if held > span:
+                    block, held = block + 1, 0
+
+
+def _blocks(batches, span: int):
+    """(block, iterator of its rows), one block after the other."""
+    for block, group in groupby(_rows(batches, span), key=itemgetter(0)):
+        yield block, (row for _, row in group)
+
+
+def _parse(batches, pattern: str, span: int = SPAN):
     """Blocks of a scan: payloads of word places (kind 0), and the rank of each place (kind 3)."""
-    block = TaskContext.get().partitionId()
-    pieces = _Pieces(regex.compile(pattern).findall)
-    ids, null, sizes, held, chars = [], [], [], [], 0
+    find = regex.compile(pattern).findall
+    for block, rows in _blocks(batches, span):
+        pieces = _Pieces(find)
+        ids, null, sizes, held, chars = [], [], [], [], 0
 
-    def flush():
-        seq = np.concatenate(held) if held else np.zeros(0, np.int32)
-        return _row(block, -1, 0, pack(np.array(ids, np.int64), np.array(null, np.uint8), np.array(sizes, np.int64), seq))
+        def flush():
+            seq = np.concatenate(held) if held else np.zeros(0, np.int32)
+            return _row(block, -1, 0, pack(np.array(ids, np.int64), np.array(null, np.uint8), np.array(sizes, np.int64), seq))
 
-    for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+        for doc_id, text in rows:
             seq = pieces.places(text.decode("utf-8", "replace")) if text else np.zeros(0, np.int32)
-            if len(pieces) > 1_000_000:
+            if len(pieces) > _HELD:
                 pieces.clear()
             ids.append(doc_id or 0)
             null.append(doc_id is None)
@@ -129,18 +154,25 @@ def _parse(batches, pattern: str):
             if chars > PAYLOAD:
                 yield flush()
                 ids, null, sizes, held, chars = [], [], [], [], 0
-    if ids:
-        yield flush()
-    yield _row(block, -1, 3, pack(_sorted_words(pieces.place)[1]))
+        if ids:
+            yield flush()
+        pieces.clear()
+        yield _row(block, -1, 3, pack(_sorted_words(pieces.place)[1]))
 
 
-def _words(batches, pattern: str, buckets: int):
+def _words(batches, pattern: str, buckets: int, span: int = SPAN):
     """Blocks of a scan: the distinct words and their ranks, by hash (kind 1)."""
-    block = TaskContext.get().partitionId()
-    pieces = _Pieces(regex.compile(pattern).findall)
-    seen: set = set()
-    for batch in batches:
-        for text in batch.column(1).cast(pa.binary()).to_pylist():
+    find = regex.compile(pattern).findall
+    for block, rows in _blocks(batches, span):
+        pieces, seen = _Pieces(find), set()
+
+        def settle():
+            for key in seen:
+                pieces[key]
+            seen.clear()
+            pieces.clear()
+
+        for _, text in rows:
             if text:
                 text = text.decode("utf-8", "replace")
                 cut = pieces.cut(text)
@@ -150,15 +182,16 @@ def _words(batches, pattern: str, buckets: int):
                         pieces.place.setdefault(w, len(pieces.place))
                 else:
                     seen.update(cut)
-    for key in seen:
-        pieces[key]
-    raw, _ = _sorted_words(pieces.place)
-    of = np.fromiter(map(xxhash.xxh64_intdigest, raw), np.uint64, len(raw)) % np.uint64(buckets)
-    order = np.argsort(of, kind="stable")
-    cuts = np.flatnonzero(np.append(True, of[order][1:] != of[order][:-1])) if len(raw) else []
-    for s, e in zip(cuts, np.append(cuts[1:], len(order)) if len(raw) else []):
-        some = order[s:e]
-        yield _row(block, int(of[some[0]]), 1, pack(some.astype(np.int32), *_lists([raw[k] for k in some])))
+                    if len(seen) > _HELD:
+                        settle()
+        settle()
+        raw, _ = _sorted_words(pieces.place)
+        of = np.fromiter(map(xxhash.xxh64_intdigest, raw), np.uint64, len(raw)) % np.uint64(buckets)
+        order = np.argsort(of, kind="stable")
+        cuts = np.flatnonzero(np.append(True, of[order][1:] != of[order][:-1])) if len(raw) else []
+        for s, e in zip(cuts, np.append(cuts[1:], len(order)) if len(raw) else []):
+            some = order[s:e]
+            yield _row(block, int(of[some[0]]), 1, pack(some.astype(np.int32), *_lists([raw[k] for k in some])))
 
 
 def _encode(batches, ranks, pattern: str):
@@ -235,14 +268,14 @@ def _assemble(table: pa.Table, ranks, ids_too: bool) -> pa.Table:
     return pa.Table.from_arrays(cols, names=names)
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: bool = False) -> DataFrame:
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: bool = False, span: int = SPAN) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, n_bytes[, ids array<int>]) for every row of `docs`."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(ranks)
     slim = steady(docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string").alias("text")))
     n = partitions(spark)
-    parsed = slim.mapInArrow(lambda it: _parse(it, pattern), _SCHEMA)
-    words = slim.mapInArrow(lambda it: _words(it, pattern, n), _SCHEMA)
+    parsed = slim.mapInArrow(lambda it: _parse(it, pattern, span), _SCHEMA)
+    words = slim.mapInArrow(lambda it: _words(it, pattern, n, span), _SCHEMA)
     encoded = words.repartition(n, "bucket").mapInArrow(lambda it: _encode(it, shared, pattern), _SCHEMA)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_bytes long" + (", ids array<int>" if ids else "")
     return parsed.unionByName(encoded).groupBy("block").applyInArrow(lambda t: _assemble(t, shared, ids), schema)

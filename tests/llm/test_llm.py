@@ -230,6 +230,9 @@ def test_bpe(docs, spark):
         ids = enc.encode_ordinary(r.text or "")
         want[r.doc_id, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((r.text or "").encode()).hexdigest()] += 1
     assert got == want
+    # blocks that end within a scan task
+    small = bpe_words.encode(x, ranks, public_tokenizers.PATTERN, span=100)
+    assert Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in small.collect()) == want
     back = bpe_words.decode(bpe_words.encode(x, ranks, public_tokenizers.PATTERN, ids=True), ranks)
     assert Counter((r.doc_id, bytes(r.decoded).decode()) for r in back.collect()) == Counter((r.doc_id, r.text or "") for r in x.collect())
 
