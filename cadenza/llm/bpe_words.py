@@ -27,12 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pack, partitions, ragged, steady, unpack
+from .common import pack, partitions, ragged, small_batches, steady, unpack
 
 #: Characters of texts that one payload row holds (a longer text has a row of its own).
 PAYLOAD = 4 << 20
 #: Bytes of texts after which a scan task starts its next block; bounds what a block holds, however large the task.
-SPAN = 64 << 20
+SPAN = 32 << 20
 #: Pieces held at a time, beside the block's distinct words.
 _HELD = 1 << 17
 _SCHEMA = "block long, bucket int, kind int, payload binary"
@@ -271,6 +271,7 @@ def _assemble(table: pa.Table, ranks, ids_too: bool) -> pa.Table:
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: bool = False, span: int = SPAN) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, n_bytes[, ids array<int>]) for every row of `docs`."""
     spark = docs.sparkSession
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(ranks)
     slim = steady(docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string").alias("text")))
     n = partitions(spark)

@@ -42,6 +42,14 @@ def steady(df: DataFrame) -> DataFrame:
     return df if "FileScan" in plan and "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan else written(df)
 
 
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Bound this session's Arrow batches by bytes as well: 10,000 long texts in one batch take an executor's memory twice, in the JVM and in Python."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(key).rstrip("b")
+    if held.isdigit() and int(held) > size:  # a size written with a unit is the user's own
+        spark.conf.set(key, str(size))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, forest, mix, pack, partitions, texts, unpack, written
+from .common import components, forest, mix, pack, partitions, small_batches, texts, unpack, written
 
 BITS = 64
 _CHUNK = 1 << 17
@@ -101,6 +101,7 @@ def _fingerprints(batches, size: int, seed: int):
 
 def fingerprints(docs: DataFrame, text: str = "text", size: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, fp long)."""
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string").alias("text"))
     return slim.mapInArrow(lambda it: _fingerprints(it, size, seed), "doc_id long, fp long")
 
@@ -277,6 +278,7 @@ def similar_groups(docs: DataFrame, text: str = "text", size: int = 5, block: in
     64 bits, cut into blocks that travel as one packed row each, and tile pairs whose counts differ by more
     than WIDE_FIRST are skipped.  The work is quadratic in the number of distinct texts.
     """
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string").alias("text"))
     prints = written(slim.mapInArrow(lambda it: _wide(it, size), _WIDE_SCHEMA).withColumn("id", F.xxhash64(*[f"f{i}" for i in range(WIDE)])))
     classes = written(prints.groupBy("id", *[f"f{i}" for i in range(WIDE)]).agg(F.min("doc_id").alias("least")).withColumn("tile", F.expr("cast(bit_count(f0) as int)")))
