@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, forest, mix, pack, partitions, small_batches, texts, unpack, written
+from .common import components, forest, mix, pack, partitions, ragged, small_batches, texts, unpack, written
 
 BITS = 64
 _CHUNK = 1 << 17
@@ -209,10 +209,13 @@ def near_duplicates(docs: DataFrame, radius: int = 2, text: str = "text", size:
 
 # ---------------------------------------------------------------- similarity of 0.8 on five-word shingles
 
-#: Fingerprint words of 64 bits; bits that may differ in the first word, and in all of them.
-#: At a Jaccard similarity of 0.8 the expected differences are 9.7 of 64 and 38.8 of 256.
-WIDE, WIDE_FIRST, WIDE_ALL = 4, 17, 54
-_WIDE_SCHEMA = "doc_id long, " + ", ".join(f"f{i} long" for i in range(WIDE))
+#: Fingerprint words of 64 bits; bits that may differ in the first word, and in all of them, of a candidate pair.
+#: At a Jaccard similarity of 0.8 the expected differences are 9.7 of 64 and 38.8 of 256 (standard deviations 2.9
+#: and 5.7), so these bounds only choose what is compared exactly.
+WIDE, WIDE_FIRST, WIDE_ALL = 4, 22, 66
+_WIDE_SCHEMA = "doc_id long, text_key long, id long, " + ", ".join(f"f{i} long" for i in range(WIDE))
+#: Texts and bytes of shingle hashes of one block of exact comparison.
+_MEMBERS, _BYTES = 1024, 8 << 20
 
 
 def _wide_majority(parts: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
@@ -222,25 +225,87 @@ def _wide_majority(parts: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def shingles(raw: bytes, size: int) -> np.ndarray:
+    """The sorted distinct hashes of a text's shingles (A-Z lower-cased)."""
+    words = raw.lower().split()
+    n = max(1, len(words) - size + 1) if words else 0
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + size])) for i in range(n)), np.uint64, n))
+
+
+def _set_id(hashes: np.ndarray) -> int:
+    return int(np.array(xxhash.xxh64_intdigest(hashes.tobytes()), np.uint64).view(np.int64))
+
+
 def _wide(batches, size: int):
-    digest = xxhash.xxh64_intdigest
+    """Rows (doc_id, text_key, text) to fingerprints of their shingle sets; id: hash of the set."""
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            out, parts, sizes, first = [], [], [], 0
-            for raw in texts(part.column(1)):
-                words = raw.lower().split()
-                n = max(1, len(words) - size + 1) if words else 0
-                parts.append(np.fromiter((digest(b" ".join(words[i : i + size])) for i in range(n)), np.uint64, n))
-                sizes.append(n)
-                first += n
+            out, parts, sizes, ids, first = [], [], [], [], 0
+            for raw in texts(part.column(2)):
+                h = shingles(raw, size)
+                ids.append(_set_id(h))
+                parts.append(h)
+                sizes.append(len(h))
+                first += len(h)
                 if first > _CHUNK:
                     out.append(_wide_majority(parts, np.array(sizes)))
                     parts, sizes, first = [], [], 0
             if sizes:
                 out.append(_wide_majority(parts, np.array(sizes)))
             f = np.concatenate(out).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(f[:, i].copy()) for i in range(WIDE)]], names=["doc_id", *[f"f{i}" for i in range(WIDE)]])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.int64()), *[pa.array(f[:, i].copy()) for i in range(WIDE)]], names=["doc_id", "text_key", "id", *[f"f{i}" for i in range(WIDE)]])
+
+
+def _sets(batches, size: int):
+    """Rows (root, id, text) to (root, id, n, hashes)."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            got = [shingles(raw, size) for raw in texts(part.column(2))]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(h) for h in got], pa.int64()), pa.array([h.tobytes() for h in got], pa.binary())], names=["root", "id", "n", "hashes"])
+
+
+def true_links(ids: np.ndarray, side: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect what the pairs of Jaccard similarity 0.8 or more connect.
+
+    Pairs of one side and the other, or all pairs if there is one side only.  A pair that is connected
+    already is not compared: it cannot change a component.
+    """
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    starts = np.cumsum(sizes) - sizes
+    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    mark = np.zeros(int(codes.max()) + 1 if len(codes) else 0, bool)
+    label, all_pairs, us, vs = np.arange(len(ids)), len(np.unique(side)) == 1, [], []
+    for i in range(len(ids)) if all_pairs else np.flatnonzero(side == side[0]).tolist():
+        n = sizes[i]
+        other = (label != label[i]) & (5 * np.minimum(sizes, n) >= 4 * np.maximum(sizes, n)) & (sizes > 0)
+        if all_pairs:
+            other[: i + 1] = False
+        else:
+            other &= side != side[i]
+        js = np.flatnonzero(other)
+        if not len(js):
+            continue
+        mine = codes[starts[i] : starts[i] + n]
+        mark[mine] = True
+        shared = np.add.reduceat(mark[codes[ragged(starts[js], sizes[js])]], np.cumsum(sizes[js]) - sizes[js], dtype=np.int64)
+        mark[mine] = False
+        # shared / (n + m - shared) >= 4 / 5
+        js = js[9 * shared >= 4 * (n + sizes[js])]
+        if len(js):
+            us.append(np.repeat(ids[i], len(js)))
+            vs.append(ids[js])
+            label[np.isin(label, label[js])] = label[i]
+    return forest(np.concatenate(us), np.concatenate(vs)) if us else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _true_pair(table: pa.Table) -> pa.Table:
+    ids, first = np.unique(table.column("id").to_numpy(), return_index=True)
+    hashes = table.column("hashes").combine_chunks()
+    sets = [np.frombuffer(hashes[int(k)].as_py(), np.uint64) for k in first]
+    u, v = true_links(ids, table.column("part").to_numpy()[first], sets)
+    return pa.table({"u": u, "v": v})
 
 
 def _block_blob(table: pa.Table) -> pa.Table:
@@ -271,16 +336,35 @@ def _block_pair(table: pa.Table) -> pa.Table:
     return pa.table({"u": u, "v": v})
 
 
+def _verified(slim: DataFrame, prints: DataFrame, candidates: DataFrame, size: int) -> DataFrame:
+    """Links (u, v) of Jaccard similarity 0.8 or more inside the components of `candidates`, compared exactly.
+
+    A candidate component's shingle sets, one of each id, are cut into blocks, and every block meets every
+    other one of the component, so no pair of it goes unseen and no pair is a row.
+    """
+    spark = slim.sparkSession
+    held = written(candidates.withColumnRenamed("component", "root"))
+    wanted = prints.join(held, "id").groupBy("root", "id").agg(F.min("text_key").alias("text_key"))
+    found = slim.select("text_key", "text").join(wanted, "text_key").select("root", "id", "text")
+    sets = written(found.mapInArrow(lambda it: _sets(it, size), "root long, id long, n long, hashes binary").dropDuplicates(["root", "id"]))
+    cuts = sets.groupBy("root").agg(F.ceil(F.greatest(F.sum("n") * 8 / F.lit(_BYTES), F.count("*") / F.lit(_MEMBERS))).cast("int").alias("parts"))
+    cut = sets.join(cuts, "root").withColumn("part", F.expr("cast(pmod(xxhash64(id, 7), greatest(parts, 1)) as int)"))
+    faced = cut.selectExpr("root", "id", "part", "hashes", "explode(sequence(0, greatest(parts, 1) - 1)) as other")
+    pairs = faced.select("root", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "id", "part", "hashes")
+    return pairs.repartition(partitions(spark), "root", "lo", "hi").groupBy("root", "lo", "hi").applyInArrow(_true_pair, "u long, v long")
+
+
 def similar_groups(docs: DataFrame, text: str = "text", size: int = 5, block: int = 1 << 16) -> DataFrame:
-    """(doc_id, component_id) over links of estimated similarity 0.8 or more on `size`-word shingles.
+    """(doc_id, component_id) over links of Jaccard similarity 0.8 or more of the sets of `size`-word shingles.
 
-    Fingerprints of 256 bits, compared tile against tile as above: tiles are population counts of the first
-    64 bits, cut into blocks that travel as one packed row each, and tile pairs whose counts differ by more
-    than WIDE_FIRST are skipped.  The work is quadratic in the number of distinct texts.
+    Fingerprints of 256 bits, compared tile against tile as above, give candidates: tiles are population
+    counts of the first 64 bits, cut into blocks that travel as one packed row each, and tile pairs whose
+    counts differ by more than WIDE_FIRST are skipped.  The components of the candidates are then compared
+    exactly, and only what that confirms is a link.  The work is quadratic in the number of distinct texts.
     """
     small_batches(docs.sparkSession)
-    slim = docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string").alias("text"))
-    prints = written(slim.mapInArrow(lambda it: _wide(it, size), _WIDE_SCHEMA).withColumn("id", F.xxhash64(*[f"f{i}" for i in range(WIDE)])))
+    slim = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    prints = written(slim.mapInArrow(lambda it: _wide(it, size), _WIDE_SCHEMA))
     classes = written(prints.groupBy("id", *[f"f{i}" for i in range(WIDE)]).agg(F.min("doc_id").alias("least")).withColumn("tile", F.expr("cast(bit_count(f0) as int)")))
     # 65 rows at most: a proven bound for both broadcasts
     cuts = written(classes.groupBy("tile").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks")))
@@ -290,7 +374,8 @@ def similar_groups(docs: DataFrame, text: str = "text", size: int = 5, block: in
     near = blobs.selectExpr("block", "payload", f"explode(sequence(greatest(tile - {WIDE_FIRST}, 0), least(tile + {WIDE_FIRST}, {BITS}))) as near")
     faced = near.join(F.broadcast(cuts.withColumnRenamed("tile", "near")), "near").selectExpr("block", "payload", "near", "explode(sequence(0, blocks - 1)) as j").selectExpr("block", "payload", "near * 1000000L + j as other")
     pairs = faced.select(F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "payload")
-    links = pairs.repartition(max(partitions(docs.sparkSession), BITS + 1), "lo", "hi").groupBy("lo", "hi").applyInArrow(_block_pair, "u long, v long")
+    candidates = pairs.repartition(max(partitions(docs.sparkSession), BITS + 1), "lo", "hi").groupBy("lo", "hi").applyInArrow(_block_pair, "u long, v long")
+    links = _verified(slim, prints, components(candidates), size)
     rooted = classes.select("id", "least").join(components(links), "id", "left").withColumn("root", F.coalesce("component", "id"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("id", "component_id")
     return prints.join(named, "id").select("doc_id", "component_id")

@@ -150,6 +150,59 @@ def test_similar_groups(spark):
     assert sorted(r.doc_id for r in got.collect()) == [0, 1, 2, 3, 4, 5]
 
 
+def graded(rnd, graded_by=(0.5, 0.6, 0.65, 0.7, 0.75, 0.79, 0.8, 0.81, 0.85, 0.9, 0.95), each=4, n=124):
+    """Texts, and for each a partner of about the given similarity of five-word shingles: the end is replaced."""
+    rows = []
+    for k, j in enumerate(graded_by):
+        for e in range(each):
+            words = [f"v{rnd.randint(0, 5000)}" for _ in range(n)]
+            keep = round(2 * j / (1 + j) * (n - 4)) + 4
+            rows += [(100 * k + 2 * e, " ".join(words), "s"), (100 * k + 2 * e + 1, " ".join(words[:keep] + [f"x{rnd.randint(0, 5000)}" for _ in range(n - keep)]), "s")]
+    return rows
+
+
+def exact_groups(rows, size=5):
+    """Per row the place of the first row of its group: links of Jaccard similarity 0.8 or more of shingle sets."""
+    sets = []
+    for t in rows:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set())
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or 5 * len(a & b) >= 4 * len(a | b) > 0:
+                lo, hi = sorted((group[i], group[j]))
+                group = [lo if g == hi else g for g in group]
+    return group
+
+
+def test_similar_groups_exact(spark):
+    rnd = random.Random(12)
+    rows = graded(rnd)
+    # a chain of links, one text's passage many times over (the same set of shingles), short texts, no words
+    words = [f"c{rnd.randint(0, 5000)}" for _ in range(124)]
+    rows += [(2000 + k, " ".join([f"y{k}_{i}" for i in range(6 * k)] + words[6 * k :]), "s") for k in range(8)]
+    rows += [(2100, " ".join(words[::-1]), "s"), (2101, " ".join(words[::-1] + (words[::-1][:40] + words[::-1]) * 6), "s"), (2102, " ".join(words[::-1][20:64] * 4 + words[::-1]), "s")]
+    rows += [(2200 + k, " ".join(f"z{i}" for i in range(k)), "s") for k in range(12)] + [(2300, None, "s"), (2301, " ", "s")]
+    rows.sort(key=lambda r: r[0])
+    want = [rows[g][0] for g in exact_groups([t for _, t, _ in rows])]
+    assert len(set(want)) < len(rows) - 20
+    got = {r.doc_id: r.component_id for r in simhash_tiles.similar_groups(table(spark, rows)).collect()}
+    assert got == {r[0]: g for r, g in zip(rows, want)}
+    assert sorted(r.doc_id for r in simhash_tiles.keep_one(table(spark, rows)).collect()) == sorted(set(want))
+
+
+def test_true_links_blocks(spark, monkeypatch):
+    """The same groups where a candidate component is cut into blocks."""
+    monkeypatch.setattr(simhash_tiles, "_MEMBERS", 3)
+    rnd = random.Random(13)
+    words = [f"c{rnd.randint(0, 5000)}" for _ in range(124)]
+    rows = [(k, " ".join([f"y{k}_{i}" for i in range(5 * k)] + words[5 * k :]), "s") for k in range(14)]
+    want = [rows[g][0] for g in exact_groups([t for _, t, _ in rows])]
+    got = {r.doc_id: r.component_id for r in simhash_tiles.similar_groups(table(spark, rows)).collect()}
+    assert got == {r[0]: g for r, g in zip(rows, want)} and len(set(want)) > 1
+
+
 def test_quality(docs):
     for r in quality_ledger.ledger(docs).collect():
         w = (r.text or "").split()
