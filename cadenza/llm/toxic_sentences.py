@@ -2,10 +2,12 @@
 
 A document is a bag of sentences.  A sentence's score is a logistic function of its words; a document's
 score is the noisy-or of its sentences, 1 - prod(1 - s).  The weights are trained on document labels only,
-through the noisy-or, and then point at the sentences that carry the label.
+through the noisy-or, and then point at the sentences that carry the label.  A sentence's bias falls by a
+learned multiple, 1 at least, of the log of its document's number of sentences, so that no text is toxic by
+its length alone.
 
-The fit takes at most `max_docs` labelled documents and `max_bytes` of their texts, in the order of a hash
-of doc_id (a documented bound).  Words that stand out in labelled documents (at most `MAX_WORDS`, so the
+The fit takes at most `max_docs` labelled documents, in the order of a hash of doc_id, up to the one whose
+text reaches `max_bytes` in all (a documented bound); texts of any length are learned from, and whole.  Words that stand out in labelled documents (at most `MAX_WORDS`, so the
 broadcast model has a fixed bound) get weights; scoring covers every sentence of every text.  Only the text
 is an input.
 
@@ -29,7 +31,8 @@ from .common import texts
 MAX_WORDS = 2048
 _SENTENCE = re.compile(rb"(?:[.!?]+[\x20\x09-\x0D]+|\n+)")
 _STRIP = b".,;:!?\"'()[]{}|#*$%&<>-"
-Model = tuple[dict[bytes, float], float, float]
+#: Word weights, sentence bias, multiple of the log of the number of sentences, cut.
+Model = tuple[dict[bytes, float], float, float, float]
 
 
 def sentences(raw: bytes) -> list[bytes]:
@@ -69,10 +72,10 @@ def _logit(p: np.ndarray, none: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: list[bytes], labels: np.ndarray, rounds: int = 200, rate: float = 0.1, decay: float = 2e-3) -> Model:
-    """Word weights, sentence bias, and the logit at which predicting 1 is best, by Adam on the noisy-or likelihood."""
+    """Word weights, sentence bias and its fall with length, and the logit at which predicting 1 is best, by Adam on the noisy-or likelihood."""
     y = labels.astype(np.float64)
     if not len(rows) or y.min() == y.max():
-        return {}, -6.0, 0.0
+        return {}, -6.0, 1.0, 0.0
     bags = [[{x for w in s.split() for x in traits(w.strip(_STRIP))} for s in sentences(r)] for r in rows]
     shown: dict[bytes, tuple[list[int], list[int]]] = {}
     for r, (bag, label) in enumerate(zip(bags, labels.tolist())):
@@ -106,29 +109,34 @@ def fit(rows: list[bytes], labels: np.ndarray, rounds: int = 200, rate: float =
             row_of.append(r)
             count += 1
     ids, sentence_of, row_of = np.array(ids, np.int64), np.array(sentence_of, np.int64), np.array(row_of, np.int64)
-    w, m, v = np.zeros(len(chosen)), np.zeros(len(chosen)), np.zeros(len(chosen))
     bias, mb, vb = -6.0, 0.0, 0.0
+    # from zero, a word in one sentence of many would get too little of its document's gradient to outweigh the decay
+    w, m, v = np.full(len(chosen), -bias), np.zeros(len(chosen)), np.zeros(len(chosen))
+    slope, ms, vs = 1.0, 0.0, 0.0
+    length = np.log(np.bincount(row_of, minlength=len(rows)))[row_of]
     weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     for step in range(1, rounds + 1):
-        z = bias + np.bincount(sentence_of, w[ids], count)
+        z = bias - slope * length + np.bincount(sentence_of, w[ids], count)
         p, none = noisy_or(z, row_of, len(rows))
         g = weight * np.where(y == 1, -np.exp(none) / np.maximum(p, 1e-9), 1.0)
         gz = g[row_of] / (1.0 + np.exp(-np.clip(z, -50, 50)))
         gw = np.bincount(ids, gz[sentence_of], len(chosen)) + decay * np.sign(w)
-        gb = gz.sum()
+        gb, gs = gz.sum(), -(gz * length).sum()
         m, v = 0.9 * m + 0.1 * gw, 0.999 * v + 0.001 * gw * gw
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
+        ms, vs = 0.9 * ms + 0.1 * gs, 0.999 * vs + 0.001 * gs * gs
         scale = rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
         w -= scale * m / (np.sqrt(v) + 1e-9)
         bias -= scale * mb / (np.sqrt(vb) + 1e-9)
-    p, none = noisy_or(bias + np.bincount(sentence_of, w[ids], count), row_of, len(rows))
+        slope = max(1.0, slope - scale * ms / (np.sqrt(vs) + 1e-9))
+    p, none = noisy_or(bias - slope * length + np.bincount(sentence_of, w[ids], count), row_of, len(rows))
     logit = _logit(p, none)
     order = np.argsort(-logit, kind="stable")
     hit, said = np.cumsum(y[order]), np.arange(1, len(y) + 1)
     ends = np.append(logit[order][1:] < logit[order][:-1], True)  # equal scores are cut together
     best = int(np.argmax(np.where(ends, 2 * hit / (said + y.sum()), -1)))
     cut = (logit[order[best]] + logit[order[min(best + 1, len(order) - 1)]]) / 2
-    return {word: float(w[k]) for word, k in chosen.items()}, float(bias), float(cut)
+    return {word: float(w[k]) for word, k in chosen.items()}, float(bias), float(slope), float(cut)
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", max_docs: int = 8_000, max_bytes: int = 8 << 20) -> Model:
@@ -136,9 +144,9 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", max_docs: int
     lab = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = lab.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
     rows = chosen.join(docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col(text), F.lit("")).alias("text")), "doc_id")
-    # texts over a fixed length are not learned from; the rest is taken up to max_bytes
-    rows = rows.withColumn("n", F.octet_length("text")).where("n <= 20000")
-    chosen = rows.select("text", "toxic", "n", F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "text")).alias("upto")).where(F.col("upto") <= max_bytes)
+    # the text that reaches max_bytes is the last one taken, so a long text neither drops out nor empties the fit
+    rows = rows.withColumn("n", F.octet_length("text"))
+    chosen = rows.select("text", "toxic", "n", F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "text")).alias("upto")).where(F.col("upto") - F.col("n") < max_bytes)
     got = chosen.select("text", "toxic").toArrow()
     return fit(texts(got.column("text")), got.column("toxic").to_numpy())
 
@@ -151,7 +159,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", locate: bool = Fals
         return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
     def run(batches):
-        words, bias, cut = shared.value
+        words, bias, slope, cut = shared.value
         weight_of = _Weights(words).__getitem__
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
@@ -159,7 +167,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", locate: bool = Fals
                 rows = texts(part.column(1))
                 cutup = [sentences(r) for r in rows]
                 sizes = np.fromiter(map(len, cutup), np.int64, len(rows))
-                z = np.array([bias + sum(map(weight_of, s.split())) for c in cutup for s in c])
+                z = np.array([sum(map(weight_of, s.split())) for c in cutup for s in c]) + np.repeat(bias - slope * np.log(sizes), sizes)
                 row_of, starts = np.repeat(np.arange(len(rows)), sizes), np.cumsum(sizes) - sizes
                 p, none = noisy_or(z, row_of, len(rows))
                 s = squash(_logit(p, none) - cut)

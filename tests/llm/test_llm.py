@@ -303,6 +303,25 @@ def test_toxicity(spark):
     assert len(flag) == 1 and "vileword" in rows[0][1].lower()[flag[0].start : flag[0].start + flag[0].length]
 
 
+def test_toxicity_of_long_texts(spark):
+    """Toxic texts over 20,000 bytes are learned from, and no text is toxic by its length."""
+    rnd = random.Random(6)
+    text = lambda n, bad: ". ".join(" ".join(rnd.choice(["sun", "rain", "tree", "road", "cat"]) for _ in range(8)) + (" vileword" if bad and k == n // 2 else "") for k in range(n))
+    rows = [(i, text(600 if i % 5 == 0 else 4, i % 5 == 0), "s") for i in range(150)]
+    rows += [(1000 + i, text(600, False), "s") for i in range(20)]
+    assert all(len(t) > 20_000 for i, t, _ in rows if i % 5 == 0 and i < 1000)
+    labels = spark.createDataFrame([(i, int(i % 5 == 0 and i < 1000)) for i, _, _ in rows], "doc_id long, toxic int")
+    x = table(spark, rows + [(2000, text(3000, False), "s"), (2001, text(4, True), "s"), (2002, text(2000, True), "s")])
+    model = toxic_sentences.train(x, labels)
+    got = {r.doc_id: r.predicted for r in toxic_sentences.score(x, model).collect()}
+    assert all(got[i] == int(i % 5 == 0 and i < 1000) for i, _, _ in rows) and (got[2000], got[2001], got[2002]) == (0, 1, 1)
+    # no labels of both kinds: below 0.5 at any length
+    none = toxic_sentences.train(x, labels.where("toxic = 0"))
+    assert all(r.score < 0.5 for r in toxic_sentences.score(x, none).collect())
+    # a text longer than the bound does not empty the fit
+    assert toxic_sentences.train(x, labels, max_bytes=100)[0] == {} and b"vileword" in toxic_sentences.train(x, labels, max_bytes=1 << 20)[0]
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
