@@ -251,6 +251,20 @@ def test_cross_polytope(spark):
     assert all(got[i].n_links == 0 and got[i].component_id == i for i in (201, 202, 203, 204, 206)) and got[200].n_links == links[200] and got[205].component_id == got[0].component_id
 
 
+def test_cross_polytope_defaults(spark):
+    """Recall with the tables and probes of the registered query."""
+    for d in (16, 64):
+        rnd = np.random.default_rng(d)
+        base = rnd.normal(size=(80, d))
+        x = np.concatenate([base, base + rnd.normal(size=base.shape) * 0.1, base + rnd.normal(size=base.shape) * 0.15])
+        rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+        links = (unit @ unit.T >= 0.98).sum(axis=1) - 1
+        got = {r.vec_id: r.n_links for r in cross_polytope.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+        assert links.sum() >= 100 and all(got[i] <= n for i, n in enumerate(links))
+        assert sum(got.values()) >= 0.97 * links.sum()
+
+
 def test_phrases(docs):
     seen, want = set(), Counter()
     memo = {}
