@@ -39,7 +39,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("quality rules", quality), ("line dedup", lines), ("SimHash near-dedup", near_copies), ("mixing to target weights", mixture), ("byte-level BPE", encode)]
-#: Line runs, SimHash and byte-level BPE have no SQL form; the stages are tested against brute force.
+#: Line runs, SimHash and byte-level BPE have no SQL form; line runs, near-dedup and BPE are tested against brute
+#: force, quality rules by op4's measurements, mixing by totals set by hand.
 ORACLE_SQL = None
 
 

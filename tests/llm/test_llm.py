@@ -351,3 +351,26 @@ def test_pipeline(spark):
     mixed = corpus_pipeline.STAGES[3][1](spark, docs, "")
     assert {r.doc_id for r in mixed.collect()} == set(range(16)) | {52} and mixed.count() > 17
     assert corpus_pipeline.STAGES[4][1](spark, mixed, "").count() == mixed.count()
+
+
+def test_pipeline_exact(spark, tmp_path):
+    """run() as a whole against exact groups in Python, on pairs of similarity 0.5 to 0.95."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    import tiktoken
+
+    import corpus_pipeline
+
+    rows = graded(random.Random(21), each=2)
+    short = [(5000, "too short", "s"), (5001, None, "s")]
+    copies = [(6000 + i, rows[i][1], "t") for i in (0, 5)]
+    table(spark, rows + short + copies).write.parquet(f"{tmp_path}/documents.parquet")
+    kept = {rows[g][0]: rows[g][1] for g in exact_groups([t for _, t, _ in rows])}
+    assert len(rows) // 2 < len(kept) < len(rows)
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    ranks = bpe_words.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = {}
+    for d, t in kept.items():
+        ids = enc.encode_ordinary(t)
+        want[d] = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256) for r in got} == want
