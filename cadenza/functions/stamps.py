@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-STAMP = r"(\d+):(\d{2}):(\d{2})[,.](\d+)"
+STAMP = r"^\s*(\d+):(\d+):(\d+)[,.](\d+)\s*$"
 
 
 def to_ms(stamp: Column) -> Column:
@@ -21,7 +21,7 @@ def seconds_to_ms(seconds: Column) -> Column:
 
 def from_ms(ms: Column) -> Column:
     """Milliseconds to `HH:MM:SS,mmm`; rounding happens before, so no field can roll over."""
-    return F.format_string("%02d:%02d:%02d,%03d", F.expr("0") + F.floor(ms / 3_600_000), F.floor(ms / 60_000) % 60, F.floor(ms / 1000) % 60, ms % 1000)
+    return F.format_string("%02d:%02d:%02d,%03d", F.floor(ms / 3_600_000), F.floor(ms / 60_000) % 60, F.floor(ms / 1000) % 60, ms % 1000)
 
 
 def minutes(ms: Column) -> Column:
@@ -32,3 +32,9 @@ def minutes(ms: Column) -> Column:
 def clock_to_ms(clock: Column) -> Column:
     """`MM:SS` or `HH:MM:SS` (fractions allowed) to milliseconds."""
     return F.bround(F.aggregate(F.split(clock, ":"), F.lit(0.0).cast("double"), lambda a, x: a * 60 + x.cast("double")) * 1000).cast("long")
+
+
+def ranges(text: Column) -> Column:
+    """`MM:SS-MM:SS,...` to an array of (lo_ms, hi_ms); parts that are no range are left out."""
+    part = F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x.rlike(r"^[\d:.]+-[\d:.]+$"))
+    return F.transform(part, lambda x: F.struct(clock_to_ms(F.split(x, "-")[0]).alias("lo_ms"), clock_to_ms(F.split(x, "-")[1]).alias("hi_ms")))

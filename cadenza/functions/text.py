@@ -16,9 +16,12 @@ FOREIGN = "all believe can decide don't down eyes feel find got heart heavens kn
 FOREIGN_DROP = [*FOREIGN, "it", "is"]
 # Fixed value: credits and closing lines that speech models invent.
 BOILERPLATE = r"sous-titrage|subtitle|amara|merci d'avoir regardé|thanks for watching|abonnez-vous"
+# Fixed value: characters after which a lone I at the end of a line was an exclamation mark.
+BEFORE_MARK = "[a-zàâäéèêëîïôöùûüçA-Z0-9.?]"
 # Language codes (2-letter, 3-letter, dictionary).
 LANGUAGES = {"en": ("eng", "en_US"), "fr": ("fra", "fr_FR"), "de": ("deu", "de_DE"), "es": ("spa", "es_ES"), "it": ("ita", "it_IT"), "pt": ("por", "pt_PT")}
-SPACE = r"[\s\u00a0\u202f]"
+#: White space as Python's \s has it: French texts use several no-break and thin spaces.
+SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 def normal(word: Column) -> Column:
@@ -44,7 +47,7 @@ def ocr_line(line: Column, lang: str, guard_capitals: bool = False) -> Column:
     """
     out = F.regexp_replace(line, "(?<![A-ZÀ-Ý])I!" if guard_capitals else "I!", "!")
     out = F.regexp_replace(out, "!I(?![A-Za-zÀ-ÿ])", "!")
-    out = F.regexp_replace(out, r"(?<=[a-zàâäéèêëîïôöùûüçA-Z0-9.?])\s+I$", " !")
+    out = F.regexp_replace(out, f"(?<={BEFORE_MARK}){SPACE}+I\\z", " !")
     out = F.regexp_replace(out, r"(?U)\{u\b", "tu")
     out = F.replace(F.replace(out, F.lit("{"), F.lit("")), F.lit("|"), F.lit("l"))
     out = F.regexp_replace(out, "ï[ií]", "î")
@@ -69,6 +72,17 @@ def is_boilerplate(text: Column) -> Column:
     return text.rlike(f"(?iu){BOILERPLATE}")
 
 
+def naive_boundary(text: Column) -> Column:
+    """A lower-case letter, a space and a capitalised word: fires on every name, so it only serves to compare detectors."""
+    return text.rlike("[a-zà-ÿ] [A-ZÀ-Ý][a-zà-ÿ]")
+
+
+def language_codes(code: Column) -> Column:
+    """(three letters, dictionary) of a two-letter language code; null for an unknown one."""
+    known = F.create_map(*[x for k, (three, words) in LANGUAGES.items() for x in (F.lit(k), F.struct(F.lit(three).alias("three"), F.lit(words).alias("dictionary")))])
+    return known[code]
+
+
 def any_word(text: Column, terms: list[str]) -> Column:
     """Whole-word, case-insensitive search for any of the terms."""
     return text.rlike("(?iuU)\\b(" + "|".join("\\Q" + t.replace("\\E", "\\E\\\\E\\Q") + "\\E" for t in terms) + ")\\b")

@@ -23,14 +23,38 @@ def rewrite(text: Column, rules: list[tuple[str, str]]) -> Column:
 
 
 def apply_rules(cues: DataFrame, rules: list[tuple[str, str]], drop: list[str] = (), foreign_between: tuple[int, int] | None = None, threshold: float = 0.34) -> DataFrame:
-    """Dropped: cues that match a drop pattern (any case), and foreign ones that start in the window.  Then rewriting; `changed` tells where; emptied cues go."""
+    """Dropped: cues that match a drop pattern (any case), and foreign ones that start in the window.  Then rewriting; `changed` tells where.  A cue that a rule emptied stays, with empty text."""
     out = cues
-    if drop:
-        out = out.where(~F.col("text").rlike("(?iuU)(?:" + "|".join(drop) + ")"))
+    for pattern in drop:
+        out = out.where(~F.col("text").rlike("(?iuU)" + pattern))
     if foreign_between:
         out = out.where(~(F.col("start_ms").between(*foreign_between) & (T.foreign_share(F.col("text"), T.FOREIGN_DROP) > threshold)))
     out = out.withColumn("__was", F.col("text")).withColumn("text", rewrite(F.col("text"), rules))
-    return out.withColumn("changed", F.col("text") != F.col("__was")).drop("__was").where(F.length(F.trim("text")) > 0)
+    return out.withColumn("changed", F.col("text") != F.col("__was")).drop("__was")
+
+
+def apply_files(cues: DataFrame, settings: DataFrame) -> DataFrame:
+    """`apply_rules` by each film's own settings (`timings.rules`; a film without any is left as it is).
+
+    The patterns are columns, so films with different rules go through one plan.
+    """
+    x = cues.join(settings, "film_id", "left")
+    listed = lambda c, kind: F.coalesce(c, F.array().cast(kind))
+    dropped = F.exists(listed(F.col("drop_matching"), "array<string>"), lambda p: F.regexp_like("text", F.concat(F.lit("(?iuU)"), p)))
+    window = F.col("drop_cues_between")
+    inside = (F.col("start_ms") >= F.get(window, F.lit(0)) * 1000) & (F.col("start_ms") <= F.get(window, F.lit(1)) * 1000)
+    foreign = inside & (F.col("drop_if_foreign") == "en") & (T.foreign_share(F.col("text"), T.FOREIGN_DROP) > F.col("drop_threshold"))
+    put_in = lambda r: F.regexp_replace(F.replace(r[1], F.lit("$"), F.lit("\\$")), r"\\(\d)", r"\$$1")
+    new = F.aggregate(listed(F.col("replacements"), "array<array<string>>"), F.col("text"), lambda t, r: F.regexp_replace(t, F.concat(F.lit("(?U)"), r[0]), put_in(r)))
+    x = x.where(~dropped & ~F.coalesce(foreign, F.lit(False))).withColumn("__was", F.col("text")).withColumn("text", new)
+    return x.withColumn("changed", F.col("text") != F.col("__was")).select(*cues.columns, "changed")
+
+
+def clean_lines(cues: DataFrame, lang: str) -> DataFrame:
+    """Optical-reading repair of each line; emptied lines go, and cues of which none is left.  `n_changed`: lines that changed."""
+    fixed = F.transform("lines", lambda y: T.ocr_line(y, lang))
+    changed = F.size(F.filter(F.arrays_zip(F.col("lines").alias("a"), fixed.alias("b")), lambda z: z["a"] != z["b"]))
+    return cues.withColumn("n_changed", changed).withColumn("lines", F.filter(fixed, lambda y: y != "")).where("size(lines) > 0")
 
 
 def residual(cues: DataFrame, patterns: list[str]) -> DataFrame:

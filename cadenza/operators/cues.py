@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
 from ..functions import text as T
+from ..sources.timings import word_order
+from .intervals import starts_within
 
 KEYS = ("film_id",)
 
@@ -32,21 +36,42 @@ def structure(cues: DataFrame, keys=KEYS) -> DataFrame:
     return out.withColumn("passed", (F.col("n_overlaps") + F.col("n_backward") + F.col("n_misnumbered") + F.col("n_empty")) == 0)
 
 
+def _length() -> Column:
+    """Characters of a cue's lines, joined by single spaces."""
+    return F.aggregate("lines", F.lit(0), lambda a, x: a + F.length(x)) + F.greatest(F.size("lines") - 1, F.lit(0))
+
+
 def reading_speed(cues: DataFrame, max_cps: int = 25, max_lines: int = 2, max_line: int = 45) -> DataFrame:
     """Characters per second (null for non-positive durations) and flags."""
     d = F.col("end_ms") - F.col("start_ms")
-    chars = F.aggregate("lines", F.lit(0), lambda a, x: a + F.length(x)) + F.greatest(F.size("lines") - 1, F.lit(0))
-    return cues.withColumn("cps", F.when(d > 0, chars * 1000 / d)).withColumn("too_fast", F.coalesce(F.col("cps") > max_cps, F.lit(False))).withColumn("too_many_lines", F.size("lines") > max_lines).withColumn("too_long", F.exists("lines", lambda x: F.length(x) > max_line))
+    return cues.withColumn("cps", F.when(d > 0, _length() * 1000 / d)).withColumn("too_fast", F.coalesce(F.col("cps") > max_cps, F.lit(False))).withColumn("too_many_lines", F.size("lines") > max_lines).withColumn("too_long", F.exists("lines", lambda x: F.length(x) > max_line))
+
+
+def reading_summary(cues: DataFrame, keys=KEYS, max_cps: int = 25) -> DataFrame:
+    """Per film: median characters a second and length, longest, duration percentiles 50 and 99, cues too fast, with over two lines, and lines over 45."""
+    x = reading_speed(cues, max_cps).withColumn("__d", F.col("end_ms") - F.col("start_ms")).withColumn("__l", _length())
+    return x.groupBy(*keys).agg(
+        F.count("*").alias("n_cues"), F.median("cps").alias("median_cps"), F.median("__l").cast("double").alias("median_chars"), F.max("__l").cast("long").alias("longest_chars"),
+        F.percentile("__d", 0.5).alias("p50_ms"), F.percentile("__d", 0.99).alias("p99_ms"),
+        F.count_if("too_fast").alias("n_fast"), F.count_if("too_many_lines").alias("n_many_lines"), F.sum(F.size(F.filter("lines", lambda y: F.length(y) > 45))).cast("long").alias("n_long_lines"),
+    )
+
+
+def coverage_summary(reference: DataFrame, missed: DataFrame, keys=KEYS) -> DataFrame:
+    """Per film of the reference: its cues, the uncovered ones, their share and their time in minutes."""
+    gone = missed.groupBy(*keys).agg(F.count("*").alias("n_uncovered"), F.sum(F.col("end_ms") - F.col("start_ms")).alias("__ms"))
+    x = reference.groupBy(*keys).agg(F.count("*").alias("n_reference")).join(gone, list(keys), "left").withColumn("n_uncovered", F.coalesce("n_uncovered", F.lit(0)))
+    return x.withColumn("share", F.expr("try_divide(n_uncovered, n_reference)")).withColumn("minutes", F.coalesce(F.col("__ms") / 60_000, F.lit(0.0))).drop("__ms")
 
 
-def runs(rows: DataFrame, gap_ms: int = 12_000, keys=KEYS) -> DataFrame:
+def runs(rows: DataFrame, gap_ms: int = 12_000, keys=KEYS, order=("start_ms", "cue_id")) -> DataFrame:
     """Gap-and-island runs: a row joins the one before if it starts under gap_ms after that row's end.
 
     The end of the row before counts, not the latest end so far.  A run's end is its last row's.
     """
-    w = _by(keys, "start_ms", "cue_id")
+    w = _by(keys, *order)
     new = F.coalesce((F.col("start_ms") - F.lag("end_ms").over(w)) >= gap_ms, F.lit(True))
-    x = rows.withColumn("__run", F.sum(new.cast("long")).over(w)).withColumn("__at", F.struct("start_ms", "cue_id"))
+    x = rows.withColumn("__run", F.sum(new.cast("long")).over(w)).withColumn("__at", F.struct(*order))
     return x.groupBy(*keys, F.col("__run").alias("run")).agg(F.min("start_ms").alias("start_ms"), F.max_by("end_ms", "__at").alias("end_ms"), F.count("*").alias("n_cues"))
 
 
@@ -63,18 +88,17 @@ def bare_runs(cues: DataFrame, least: int = 12, keys=KEYS, order: str = "seq") -
     return x.groupBy(*keys, "__run").agg(F.min(order).alias("first_seq"), F.max(order).alias("last_seq"), F.sum("__n").alias("n_words")).where(F.col("n_words") >= least).drop("__run")
 
 
-def word_gaps(words: DataFrame, keys=KEYS, order: str = "pos") -> DataFrame:
-    return words.withColumn("gap_ms", F.col("start_ms") - F.lag("end_ms").over(_by(keys, order)))
+def word_gaps(words: DataFrame, keys=KEYS) -> DataFrame:
+    """`words` with `gap_ms`: the pause since the word before, in film order."""
+    return words.withColumn("gap_ms", F.col("start_ms") - F.lag("end_ms").over(_by(keys, *word_order(words))))
 
 
 def inner_silence(spans: DataFrame, words: DataFrame, keys=KEYS) -> DataFrame:
     """Per span (cue_id): its largest positive gap between consecutive words that start in it, and that gap's middle; ties: the first."""
-    from .intervals import starts_within
-
-    w = starts_within(words.select(*keys, "pos", "start_ms", "end_ms"), spans.select(*keys, "cue_id", "start_ms", "end_ms"), keys)
-    x = w.withColumn("gap_ms", F.lead("l_start_ms").over(_by((*keys, "r_cue_id"), "l_pos")) - F.col("l_end_ms")).where("gap_ms > 0")
-    best = x.groupBy(*keys, F.col("r_cue_id").alias("cue_id")).agg(F.max(F.struct("gap_ms", (-F.col("l_pos")).alias("p"), "l_end_ms")).alias("b"))
-    return best.select(*keys, "cue_id", "b.gap_ms", (F.col("b.l_end_ms") + F.col("b.gap_ms") / 2).alias("middle_ms"))
+    w = starts_within(words.select(*keys, "start_ms", "end_ms"), spans.select(*keys, "cue_id", "start_ms", "end_ms"), keys)
+    x = w.withColumn("gap_ms", F.lead("l_start_ms").over(_by((*keys, "r_cue_id"), "l_start_ms", "l_end_ms")) - F.col("l_end_ms")).where("gap_ms > 0")
+    best = x.groupBy(*keys, F.col("r_cue_id").alias("cue_id")).agg(F.max(F.struct("gap_ms", (-F.col("l_end_ms")).alias("e"))).alias("b"))
+    return best.select(*keys, "cue_id", "b.gap_ms", (F.col("b.gap_ms") / 2 - F.col("b.e")).alias("middle_ms"))
 
 
 def clamp(words: DataFrame, flag_ms: int = 6000) -> DataFrame:
@@ -83,39 +107,60 @@ def clamp(words: DataFrame, flag_ms: int = 6000) -> DataFrame:
     return words.withColumn("raw_ms", raw).withColumn("suspect", raw > flag_ms).withColumn("end_ms", F.col("start_ms") + F.least(raw, T.duration_cap(F.col("word"))))
 
 
+def clamped_share(clamped: DataFrame, keys=KEYS) -> DataFrame:
+    """Per film: words, those cut, their share, and suspects."""
+    x = clamped.groupBy(*keys).agg(F.count("*").alias("n_words"), F.count_if(F.col("end_ms") - F.col("start_ms") < F.col("raw_ms")).alias("n_clamped"), F.count_if("suspect").alias("n_suspects"))
+    return x.withColumn("share", F.col("n_clamped") / F.greatest("n_words", F.lit(1)))
+
+
 def group_words(words: DataFrame, gap_ms: int = 800, long_ms: int = 6000, chars: int = 84, sentence_chars: int = 40, keys=KEYS) -> DataFrame:
     """Greedy cues: (keys, cue_id, start_ms, end_ms, text).
 
     Before a word is added the open cue closes if the pause is over gap_ms, the cue would last over long_ms
     or hold over `chars` characters, or the last word ends a sentence and the cue would pass sentence_chars.
-    The fold runs inside the film's rows, which are streamed in word order.
+    Words are sorted within partitions and folded batch by batch; only the open cue is held between batches,
+    so a film may be longer than a task's memory.
     """
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema if f.name in keys) + ", cue_id int, start_ms long, end_ms long, text string"
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos", kind="stable")
-        out, held, size = [], [], 0
-        start = end = 0
-        for w, s, e in zip(pdf["word"], pdf["start_ms"], pdf["end_ms"]):
-            if held:
-                grown = size + 1 + len(w)
-                if s - end > gap_ms or e - start > long_ms or grown > chars or (held[-1][-1:] in tuple(".!?") and grown > sentence_chars):
-                    out.append((start, end, " ".join(held)))
-                    held = []
-            if not held:
-                start, size = s, -1
-            held.append(w)
-            size += 1 + len(w)
-            end = e
+    kinds = [f for f in words.schema if f.name in keys]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kinds) + ", cue_id int, start_ms long, end_ms long, text string"
+    names = [*(f.name for f in kinds), "cue_id", "start_ms", "end_ms", "text"]
+
+    def fold(batches):
+        film, held, size, start, end, n = None, [], 0, 0, 0, 0
+        out: list[list] = [[] for _ in names]
+
+        def close():
+            for column, value in zip(out, (*film, n, start, end, " ".join(held))):
+                column.append(value)
+
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+            for *key, w, s, e in zip(*columns):
+                if key != film:
+                    if held:
+                        close()
+                    film, held, n = key, [], 0
+                elif held:
+                    grown = size + 1 + len(w)
+                    if s - end > gap_ms or e - start > long_ms or grown > chars or (grown > sentence_chars and held[-1][-1:] in (".", "!", "?")):
+                        close()
+                        held = []
+                if not held:
+                    start, size, n = s, -1, n + 1
+                held.append(w)
+                size += 1 + len(w)
+                end = e
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=names)
+            out = [[] for _ in names]
         if held:
-            out.append((start, end, " ".join(held)))
-        made = pd.DataFrame(out, columns=["start_ms", "end_ms", "text"])
-        made.insert(0, "cue_id", range(1, len(made) + 1))
-        for k in reversed(keys):
-            made.insert(0, k, pdf[k].iloc[0])
-        return made
+            close()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=names)
 
-    return words.groupBy(*keys).applyInPandas(fold, schema)
+    types = [*(to_arrow_type(f.dataType) for f in kinds), pa.int32(), pa.int64(), pa.int64(), pa.string()]
+    order = [c for c in word_order(words) if c not in keys]
+    rows = words.select(*[f.name for f in kinds], *order, "word", "end_ms")
+    rows = rows.repartition(*[f.name for f in kinds]).sortWithinPartitions(*[f.name for f in kinds], *order).select(*[f.name for f in kinds], "word", "start_ms", "end_ms")
+    return rows.mapInArrow(fold, schema)
 
 
 def extend(cues: DataFrame, keys=KEYS, least_ms: int = 900, cps: int = 20, keep_off: bool = False) -> DataFrame:
@@ -157,7 +202,20 @@ def wrapped(text: Column, limit: int = 42, tolerance: int = 0, marks: str = "[,.
 
     best = F.array_min(F.transform(F.sequence(F.lit(1), F.size(words) - 1), option))
     split = F.concat(F.array_join(F.slice(words, 1, best["i"]), " "), F.lit("\n"), F.array_join(F.slice(words, best["i"] + 1, F.size(words)), " "))
-    return F.when((F.length(text) <= limit) | (F.size(words) < 2), text).when(F.lit(fallback) | (best["late"] == 0), split).otherwise(F.array_join(words, " "))
+    line = F.array_join(words, " ")
+    # a text too long for any split is cut at the space nearest to its middle, without weighing every split
+    half = F.floor((total - 1) / 2).cast("int")
+    before = half + 2 - F.locate(" ", F.reverse(F.substring(line, 1, half + 1)))
+    after = F.call_function("locate", F.lit(" "), line, half + 2)
+    at = F.when((F.locate(" ", F.substring(line, 1, half + 1)) > 0) & ((after == 0) | (F.abs(2 * (before - 1) - (total - 1)) <= F.abs(2 * (after - 1) - (total - 1)))), before).otherwise(after)
+    balanced = F.concat(F.substring(line, F.lit(1), at - 1), F.lit("\n"), F.substring(line, at + 1, total))
+    short = text if fallback else line
+    return (
+        F.when((F.length(short) <= limit) | (F.size(words) < 2), short)
+        .when(total > 2 * (limit + tolerance) + 1, balanced if fallback else line)
+        .when(F.lit(fallback) | (best["late"] == 0), split)
+        .otherwise(line)
+    )
 
 
 def renumber(cues: DataFrame, keys=KEYS, order=("start_ms", "seq")) -> DataFrame:
@@ -183,19 +241,38 @@ def cut_points(films: DataFrame, silences: DataFrame, target_ms: int, keys=KEYS)
     """Cut plan per film (duration_ms): from the last cut an ideal point target_ms on, moved to the nearest silence within target/6
     (and over target/2 after the last cut; ties: the first), until under a fifth of the target is left; then the end.
 
-    A fold over the film's silences, kept as one sorted array of numbers.
+    A film's silences are one sorted array of numbers, walked once.
     """
     s = silences.groupBy(*keys).agg(F.array_sort(F.collect_list("at_ms")).alias("silences"))
     x = films.join(s, list(keys), "left").withColumn("silences", F.coalesce("silences", F.array().cast("array<bigint>")))
-    t = float(target_ms)
-
-    def step(cuts, _):
-        last = F.element_at(cuts, -1)
-        ideal = last + target_ms
-        near = F.filter(F.col("silences"), lambda y: (F.abs(y - ideal) < t / 6) & (y > last + t / 2))
-        best = F.array_min(F.transform(near, lambda y, i: F.struct(F.abs(y - ideal).alias("d"), i.alias("i"), y.alias("y"))))["y"]
-        return F.when(last + target_ms < F.col("duration_ms") - t / 5, F.concat(cuts, F.array(F.coalesce(best, ideal)))).otherwise(cuts)
-
-    turns = F.sequence(F.lit(0).cast("long"), F.ceil(F.col("duration_ms") / (t * 5 / 6)).cast("long"))
-    cuts = F.aggregate(turns, F.array(F.lit(0).cast("long")), step)
-    return x.select(*keys, F.posexplode(F.concat(cuts, F.array(F.col("duration_ms").cast("long")))).alias("chunk_no", "cut_ms"))
+
+    @F.pandas_udf("array<bigint>")
+    def walk(duration: pd.Series, quiet: pd.Series) -> pd.Series:
+        return pd.Series([cut_walk(int(d), q, target_ms) for d, q in zip(duration, quiet)])
+
+    return x.where("duration_ms is not null").select(*keys, F.posexplode(walk("duration_ms", "silences")).alias("chunk_no", "cut_ms"))
+
+
+def cut_walk(duration: int, quiet, target: int) -> list[int]:
+    """One walk over the sorted silences: each cut looks at those around its ideal point only."""
+    cuts, at = [0], 0
+    while 5 * (cuts[-1] + target) < 5 * duration - target:
+        ideal = cuts[-1] + target
+        while at < len(quiet) and 6 * (ideal - quiet[at]) >= target:
+            at += 1
+        k, best = at, None
+        while k < len(quiet) and 6 * (quiet[k] - ideal) < target:
+            if best is None or abs(quiet[k] - ideal) < abs(best - ideal):
+                best = int(quiet[k])
+            k += 1
+        cuts.append(ideal if best is None else best)
+    return [*cuts, duration]
+
+
+def nearest_silence(points: DataFrame, silences: DataFrame, tolerance_ms: int, keys=KEYS) -> DataFrame:
+    """`points` (at_ms) with `nearest_ms`: the silence nearest to it within the tolerance (strict; ties: the earlier), else the point itself."""
+    spans = points.select(*keys, "at_ms").distinct().select(*keys, "at_ms", (F.col("at_ms") - tolerance_ms).alias("start_ms"), (F.col("at_ms") + tolerance_ms).alias("end_ms"))
+    near = starts_within(silences.select(*keys, F.col("at_ms").alias("start_ms")), spans, keys, bucket_ms=max(1000, 4 * tolerance_ms))
+    off = F.abs(F.col("l_start_ms") - F.col("r_at_ms"))
+    best = near.where(off < tolerance_ms).groupBy(*keys, F.col("r_at_ms").alias("at_ms")).agg(F.min(F.struct(off.alias("d"), "l_start_ms")).alias("b"))
+    return points.join(best.select(*keys, "at_ms", F.col("b.l_start_ms").alias("nearest_ms")), [*keys, "at_ms"], "left").withColumn("nearest_ms", F.coalesce("nearest_ms", "at_ms"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .intervals import overlaps
+from .intervals import identity, overlaps
 from .review import split_normal
 
 KEYS = ("film_id",)
@@ -18,8 +18,8 @@ def _shared(left: Column, right: Column) -> Column:
 
 
 def _pairs(left: DataFrame, right: DataFrame, pad_ms: int, keys) -> DataFrame:
-    slim = ["cue_id", "start_ms", "end_ms", "text"]
-    return overlaps(left.select(*keys, *slim), right.select(*keys, *slim), pad_ms, keys=keys).withColumn("shared", _shared(F.col("l_text"), F.col("r_text"))).where("shared > 0")
+    slim = lambda d: d.select(*keys, *dict.fromkeys([*identity(d), "cue_id", "start_ms", "end_ms", "text"]))
+    return overlaps(slim(left), slim(right), pad_ms, keys=keys).withColumn("shared", _shared(F.col("l_text"), F.col("r_text"))).where("shared > 0")
 
 
 def start_deltas(reference: DataFrame, ours: DataFrame, pad_ms: int = 1200, keys=KEYS) -> DataFrame:
@@ -28,14 +28,16 @@ def start_deltas(reference: DataFrame, ours: DataFrame, pad_ms: int = 1200, keys
     The tolerance and the tie rule are our own choice.
     """
     best = F.max(F.struct("shared", (-F.col("r_start_ms")).alias("s"), (-F.col("r_cue_id")).alias("c"))).alias("b")
-    found = _pairs(reference, ours, pad_ms, keys).groupBy(*keys, F.col("l_cue_id").alias("cue_id"), F.col("l_start_ms").alias("start_ms")).agg(best)
-    return found.select(*keys, "cue_id", "start_ms", (-F.col("b.c")).alias("other_id"), F.col("b.shared").alias("shared"), (-F.col("b.s") - F.col("start_ms")).alias("delta_ms"))
+    ids = [c for c in identity(reference) if c != "cue_id"]
+    found = _pairs(reference, ours, pad_ms, keys).groupBy(*keys, *[F.col(f"l_{c}").alias(c) for c in (*ids, "cue_id", "start_ms")]).agg(best)
+    return found.select(*keys, *ids, "cue_id", "start_ms", (-F.col("b.c")).alias("other_id"), F.col("b.shared").alias("shared"), (-F.col("b.s") - F.col("start_ms")).alias("delta_ms"))
 
 
 def corroborated(recovered: DataFrame, sources: DataFrame, pad_ms: int = 1200, keys=KEYS) -> DataFrame:
     """`recovered` with `tag`: corroborated if any source cue near it shares a word, else unconfirmed."""
-    hit = _pairs(recovered, sources, pad_ms, keys).select(*keys, F.col("l_cue_id").alias("cue_id")).distinct().withColumn("__hit", F.lit(True))
-    return recovered.join(hit, [*keys, "cue_id"], "left").withColumn("tag", F.when(F.col("__hit"), "corroborated").otherwise("unconfirmed")).drop("__hit")
+    ids = identity(recovered)
+    hit = _pairs(recovered, sources, pad_ms, keys).select(*keys, *[F.col(f"l_{c}").alias(c) for c in ids]).distinct().withColumn("__hit", F.lit(True))
+    return recovered.join(hit, [*keys, *ids], "left").withColumn("tag", F.when(F.col("__hit"), "corroborated").otherwise("unconfirmed")).drop("__hit")
 
 
 def prioritised(gaps: DataFrame, suspects: DataFrame, pad_ms: int = 0, keys=KEYS) -> DataFrame:

@@ -8,7 +8,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_CAP, _LOW = "A-ZÀ-Ý", "a-zà-ÿ"
+from .cues import inner_silence, wrapped
+
+# Capitals and lower-case letters of sentence starts.
+_CAP, _LOW = "A-ZÀ-ÂÄ-ÏÑ-ÖÙ-Ý", "a-zà-ÿ"
 _OPENING = re.compile(rf"(?<![.!?:;…])[ \t]+([{_CAP}][{_LOW}'’]+)")
 _NUMERAL = re.compile(r"[IVXLC]+(?:er|re|e|ème)?")
 _BEFORE = re.compile(rf"[{_CAP}{_LOW}'’-]+$")
@@ -52,92 +55,113 @@ def without_spurious(text: str, names: frozenset[str] = frozenset()) -> tuple[st
     """The text less its spurious marks, until none is left, and how many went."""
     n = 0
     while found := spurious(text, names):
-        gone = set(found[:1])
-        text, n = "".join(c for i, c in enumerate(text) if i not in gone), n + 1
+        text, n = text[: found[0]] + text[found[0] + 1 :], n + 1
     return text, n
 
 
 def pieces(text: str, names: frozenset[str] = frozenset()) -> list[tuple[str, bool]]:
-    """The text cut at every missing boundary and line break; True: a full stop belongs before the next piece."""
+    """The text cut at every missing boundary and line break; True: a full stop belongs before this piece.  A line break needs none."""
     out = []
-    lines = text.split("\n")
-    for line in lines:
-        at = 0
-        for offset, _ in missing(line, names):
-            out.append((line[at:offset].strip(), True))
-            at = offset
-        out.append((line[at:].strip(), False))
-    return [p for p in out if p[0]]
+    for line in text.split("\n"):
+        ends = [offset for offset, _ in missing(line, names)]
+        mine = [" ".join(line[a:b].split()) for a, b in zip([0, *ends], [*ends, len(line)])]
+        mine = [p for p in mine if p]
+        out += [(p, k > 0) for k, p in enumerate(mine)]
+    return out
 
 
 def packed(parts: list[tuple[str, bool]], alone: int = 45) -> list[list[tuple[str, bool]]]:
-    """At most two pieces a cue; one over `alone` characters has its own."""
+    """Neighbours two by two, a line each; a piece over `alone` characters has a cue of its own."""
     out: list[list[tuple[str, bool]]] = []
+    open_ = False
     for p in parts:
-        room = out and len(out[-1]) == 1 and len(p[0]) <= alone and len(out[-1][0][0]) <= alone
-        out[-1].append(p) if room else out.append([p])
+        short = len(p[0]) <= alone
+        if short and open_:
+            out[-1].append(p)
+        else:
+            out.append([p])
+        open_ = short and not (short and open_)
     return out
 
 
 def joined(parts: list[tuple[str, bool]], song: bool) -> str:
-    text = ""
-    for k, (piece, stop) in enumerate(parts):
-        text += piece
-        if k + 1 < len(parts):
-            text += "\n" if song else ". " if stop else " "
-        elif stop and not song:
-            text += "."
-    return text
+    """Pieces of one cue: lines in a song; otherwise a full stop where one is missing, a space elsewhere."""
+    if song:
+        return "\n".join(p for p, _ in parts)
+    return parts[0][0] + "".join((". " if stop else " ") + p for p, stop in parts[1:])
 
 
 def shares(start: int, end: int, sizes: list[int]) -> list[tuple[int, int]]:
     """The span shared by length; the last takes the end; an empty share lasts 300 ms at most."""
-    out, at, total = [], start, max(1, sum(sizes))
+    out, at, total = [], float(start), sum(sizes) or 1
     for k, n in enumerate(sizes):
-        stop = end if k + 1 == len(sizes) else min(at + round((end - start) * n / total), end)
+        stop = float(end) if k + 1 == len(sizes) else min(at + (end - start) * n / total, end)
         if stop <= at:
             stop = min(at + 300, end)
-        out.append((at, stop))
+        out.append((round(at), round(stop)))
         at = stop
     return out
 
 
-_SCHEMA = "array<struct<start_ms:bigint,end_ms:bigint,text:string>>"
+def mended(start: int, end: int, text: str, song: bool, names: frozenset[str]) -> list[dict]:
+    """The cues that one cue becomes.  Without a missing boundary it keeps its lines and times."""
+    clean, marks = without_spurious(text, names)
+    if not missing(clean, names):
+        return [{"start_ms": start, "end_ms": end, "text": clean, "n_stops": 0, "n_breaks": 0, "n_removed": marks}]
+    groups = packed(pieces(clean, names))
+    times = shares(start, end, [len(" ".join(p for p, _ in g)) for g in groups]) if len(groups) > 1 else [(start, end)]
+    stops = [0 if song else sum(stop for _, stop in g[1:]) for g in groups]
+    breaks = len(groups[0]) - 1 if song and len(groups) == 1 else 0
+    return [{"start_ms": a, "end_ms": b, "text": joined(g, song), "n_stops": n, "n_breaks": breaks, "n_removed": 0 if k else marks} for k, ((a, b), g, n) in enumerate(zip(times, groups, stops))]
+
+
+_SCHEMA = "array<struct<start_ms:bigint,end_ms:bigint,text:string,n_stops:int,n_breaks:int,n_removed:int>>"
 
 
 def repaired(cues: DataFrame, names: list[str] = (), songs: str = "false") -> DataFrame:
-    """Each cue cut, re-joined and, when it holds several groups, split by length; songs: SQL test of a cue that only gets line breaks."""
+    """Spurious marks removed, missing sentence ends mended, one-line texts wrapped to two lines of 42 (and 3) characters.
+
+    A cue with a missing boundary is cut there and at its line breaks, and packed two pieces a cue; several
+    cues share its time by length.  songs: SQL test of cues that only get line breaks, never a full stop.
+    Adds part (from 1), n_stops, n_breaks and n_removed.  Every start and end of the input survives.
+    """
     known = frozenset(names)
 
     @F.pandas_udf(_SCHEMA)
     def fix(start: pd.Series, end: pd.Series, text: pd.Series, song: pd.Series) -> pd.Series:
-        rows = []
-        for s, e, t, is_song in zip(start, end, text, song):
-            clean, _ = without_spurious(t or "", known)
-            parts = pieces(clean, known)
-            if is_song or len(parts) < 2:
-                rows.append([{"start_ms": s, "end_ms": e, "text": joined(parts, True) if is_song else clean}])
-                continue
-            groups = packed(parts) if len(parts) > 2 else [parts]
-            texts = [joined([*g[:-1], (g[-1][0], g[-1][1] and False)], False) for g in groups]
-            times = shares(s, e, [len(x) for x in texts])
-            rows.append([{"start_ms": a, "end_ms": b, "text": x} for (a, b), x in zip(times, texts)])
-        return pd.Series(rows)
-
-    x = cues.withColumn("__song", F.expr(songs)).withColumn("__new", F.explode(fix("start_ms", "end_ms", "text", "__song")))
-    return x.select(*[c for c in cues.columns if c not in ("start_ms", "end_ms", "text")], "__new.*")
+        return pd.Series([mended(int(s), int(e), t or "", bool(is_song), known) for s, e, t, is_song in zip(start, end, text, song)])
+
+    x = cues.withColumn("__song", F.expr(songs)).select("*", F.posexplode(fix("start_ms", "end_ms", "text", "__song")).alias("__part", "__new"))
+    wrapped = F.when(F.contains("__new.text", F.lit("\n")), F.col("__new.text")).otherwise(cues_wrapped(F.col("__new.text")))
+    return x.select(*[c for c in cues.columns if c not in ("start_ms", "end_ms", "text")], "__new.start_ms", "__new.end_ms", wrapped.alias("text"), (F.col("__part") + 1).alias("part"), "__new.n_stops", "__new.n_breaks", "__new.n_removed")
+
+
+def cues_wrapped(text):
+    """The repair's own wrap: no preference for sentence starts, 3 characters over are borne, and one line stays if no split fits."""
+    return wrapped(text, tolerance=3, marks="[.!?:;,]$", starts=False, fallback=False)
+
+
+def summary(before: DataFrame, after: DataFrame, keys=("film_id",)) -> DataFrame:
+    """Per film: cues before and after, splits, line breaks, full stops put in, marks removed."""
+    x = before.groupBy(*keys).agg(F.count("*").alias("n_before"))
+    y = after.groupBy(*keys).agg(F.count("*").alias("n_after"), F.count_if(F.col("part") > 1).alias("n_split"), F.sum("n_breaks").alias("n_breaks"), F.sum("n_stops").alias("n_stops"), F.sum("n_removed").alias("n_removed"))
+    return x.join(y, list(keys))
 
 
 def boundary_report(cues: DataFrame, names: list[str] = ()) -> DataFrame:
-    """Cues with missing boundaries or spurious marks, counted."""
+    """Cues with `missing` (words that open a sentence unmarked), n_missing and n_spurious."""
     known = frozenset(names)
 
-    @F.pandas_udf("array<string>")
-    def words(text: pd.Series) -> pd.Series:
-        return pd.Series([[w for _, w in missing(t or "", known)] for t in text])
+    @F.pandas_udf("struct<missing:array<string>,n_spurious:int>")
+    def look(text: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"missing": [[w for _, w in missing(t or "", known)] for t in text], "n_spurious": [len(spurious(t or "", known)) for t in text]})
+
+    x = cues.withColumn("__x", look("text"))
+    return x.select(*cues.columns, "__x.missing", F.size("__x.missing").alias("n_missing"), "__x.n_spurious")
 
-    @F.pandas_udf("int")
-    def marks(text: pd.Series) -> pd.Series:
-        return pd.Series([len(spurious(t or "", known)) for t in text], dtype="int32")
 
-    return cues.withColumn("missing", words("text")).withColumn("n_missing", F.size("missing")).withColumn("n_spurious", marks("text"))
+def planned(cues: DataFrame, words: DataFrame, names: list[str] = (), gap_ms: int = 350, keys=("film_id",)) -> DataFrame:
+    """Cues with a missing boundary: its first word, the largest pause inside the cue and its middle (null for none), and `plan`: SPLIT if the pause reaches gap_ms."""
+    x = boundary_report(cues, names).where("n_missing > 0").select(*keys, "cue_id", "start_ms", "end_ms", F.get("missing", F.lit(0)).alias("word"))
+    quiet = inner_silence(x, words, keys)
+    return x.join(quiet, [*keys, "cue_id"], "left").withColumn("plan", F.when(F.col("gap_ms") >= gap_ms, "SPLIT").otherwise("break/punct"))

@@ -15,3 +15,15 @@ def ingest(windows: DataFrame, path: str, checkpoint: str):
     """Window results as they come, one idempotent folder per micro-batch, with a status column (ok or failed)."""
     marked = windows.withColumn("status", F.when(F.length(F.trim(F.coalesce("text", F.lit("")))) > 0, "ok").otherwise("failed"))
     return marked.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{path}/batch={n}")).trigger(availableNow=True).start()
+
+
+def ingested(spark, path: str, expected: DataFrame | None = None, keys=("film_id", "chunk_no")) -> DataFrame:
+    """What `ingest` has written, the latest batch for each key; with `expected` also its missing windows, as status `missing`.
+
+    Success is judged by the rows that are there, not by the exit of whatever wrote them.
+    """
+    rows = spark.read.parquet(path)
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct("text", "status"), "batch").alias("x")).select(*keys, "x.*")
+    if expected is None:
+        return last
+    return expected.select(*keys).join(last, list(keys), "left").withColumn("status", F.coalesce("status", F.lit("missing")))

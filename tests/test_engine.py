@@ -99,7 +99,7 @@ def test_review(spark):
 def test_corrections(spark):
     x = spark.createDataFrame([(1, 0, 10, "les\nuns"), (2, 0, 10, "quelques-uns"), (3, 0, 10, "gone")], "film_id int, start_ms long, end_ms long, text string")
     got = corrections.apply_rules(x, [(r"\bles\s+uns\b", "les Huns"), ("gone", "")])
-    assert sorted((r.text, r.changed) for r in got.collect()) == [("les Huns", True), ("quelques-uns", False)]
+    assert sorted((r.text, r.changed) for r in got.collect()) == [("", True), ("les Huns", True), ("quelques-uns", False)]
     assert corrections.residual(got, ["les uns", "les Huns"]).collect()[0].pattern == "les Huns"
     assert corrections.lost_stamps(x, got).count() == 0
 
@@ -111,11 +111,176 @@ def test_repair(spark):
     assert repair.without_spurious("j'ignore. comment") == ("j'ignore comment", 1)
     assert repair.without_spurious("Attends... quoi")[1] == 0 and repair.without_spurious("Ah ! mais oui")[0] == "Ah  mais oui"
     assert repair.without_spurious("Grand-mère. Feuillage", frozenset(["Grand-mère Feuillage"]))[1] == 1
-    x = spark.createDataFrame([(1, 1, 0, 4000, "Aide le canot Mais viens"), (1, 2, 0, 5000, "Il va Elle vient Tout part")], "film_id int, cue_id int, start_ms long, end_ms long, text string")
-    rows = repair.repaired(x).orderBy("cue_id", "start_ms").collect()
-    assert [r.text for r in rows][0] == "Aide le canot. Mais viens"
-    assert [r.text for r in rows][1:] == ["Il va. Elle vient", "Tout part"] and rows[-1].end_ms == 5000
-    assert repair.repaired(x, songs="true").orderBy("cue_id").first().text == "Aide le canot\nMais viens"
+
+
+CUE = "film_id int, cue_id int, start_ms long, end_ms long, text string"
+
+
+def mend(spark, text, end=5000, **options):
+    x = spark.createDataFrame([(1, 1, 0, end, text)], CUE)
+    out = repair.repaired(x, **options)
+    assert corrections.stamps_survive(x, out).count() == 0
+    return [(r.start_ms, r.end_ms, r.text) for r in out.orderBy("part").collect()]
+
+
+def test_repaired_cues(spark):
+    assert mend(spark, "Aide le canot Mais viens", 4000) == [(0, 4000, "Aide le canot. Mais viens")]
+    assert mend(spark, "Aide le canot Mais viens", 4000, songs="true") == [(0, 4000, "Aide le canot\nMais viens")]
+    # shares by the pieces' own length, without the full stop put in: 17 and 9 of 26 characters
+    assert mend(spark, "Il va Elle vient Tout part") == [(0, round(5000 * 16 / 25), "Il va. Elle vient"), (round(5000 * 16 / 25), 5000, "Tout part")]
+    # sound cues keep their lines and times
+    assert mend(spark, "Une ligne.\nUne autre.") == [(0, 5000, "Une ligne.\nUne autre.")]
+    assert mend(spark, "a b c\nd e f\ng h i") == [(0, 5000, "a b c\nd e f\ng h i")]
+    # pieces over 45 characters have cues of their own, wrapped to two lines
+    long = "voici une phrase qui va tout de suite bien au dela de la limite"
+    got = mend(spark, f"{long} Encore {long}")
+    assert len(got) == 2 and all("\n" in t and len(t.split("\n")) == 2 for _, _, t in got) and got[0][1] == got[1][0]
+    # a song of four pieces takes two cues of two lines
+    assert [t for _, _, t in mend(spark, "un mot Deux mots Trois mots Quatre mots", songs="true")] == ["un mot\nDeux mots", "Trois mots\nQuatre mots"]
+    # a cut at a line break takes no full stop
+    assert [t for _, _, t in mend(spark, "il va Elle vient\net tout part")] == ["il va. Elle vient", "et tout part"]
+    # one-line texts are wrapped; one that no split fits stays whole
+    assert mend(spark, "qui es-tu donc, mon ami que je ne connais pas encore")[0][2].count("\n") == 1
+    assert mend(spark, "mot " * 40)[0][2] == ("mot " * 40).strip()
+    assert mend(spark, "j'ignore. comment") == [(0, 5000, "j'ignore comment")]
+    x = spark.createDataFrame([(1, 1, 0, 5000, "Il va Elle vient Tout part"), (1, 2, 6000, 7000, "bien. sûr")], CUE)
+    r = repair.summary(x, repair.repaired(x)).first()
+    assert (r.n_before, r.n_after, r.n_split, r.n_breaks, r.n_stops, r.n_removed) == (2, 3, 1, 0, 1, 1)
+
+
+def test_repair_plan(spark):
+    x = spark.createDataFrame([(1, 1, 0, 4000, "il va Elle vient"), (1, 2, 5000, 9000, "il va Elle vient")], CUE)
+    w = spark.createDataFrame([(1, 0, "il", 0, 300), (1, 1, "va", 400, 800), (1, 2, "Elle", 1200, 1500), (1, 3, "il", 5000, 5300), (1, 4, "va", 5400, 5900)], "film_id int, pos int, word string, start_ms long, end_ms long")
+    got = {r.cue_id: (r.word, r.gap_ms, r.middle_ms, r.plan) for r in repair.planned(x, w).collect()}
+    assert got == {1: ("Elle", 400, 1000.0, "SPLIT"), 2: ("Elle", 100, 5350.0, "break/punct")}
+
+
+def test_two_chunks(spark):
+    """Words of several chunks come in film order, whatever their place in their chunk."""
+    files = spark.createDataFrame([("f", '{"c01": [{"word": "c", "start": 0.0, "end": 0.2}, {"word": "d", "start": 0.3, "end": 0.5}], "c00": [{"word": "a", "start": 0.0, "end": 0.2}, {"word": "b", "start": 0.3, "end": 0.5}]}')], "film_id string, content string")
+    w = timings.on_film_time(timings.words(files), timings.cuts(spark.createDataFrame([("f", "0\n1.0\n2.0")], "film_id string, content string")))
+    assert [r.word for r in timings.film_order(w).orderBy("n").collect()] == ["a", "b", "c", "d"]
+    assert [r.text for r in cues.group_words(w).collect()] == ["a b c d"]
+    assert [r.gap_ms for r in cues.word_gaps(w).orderBy("start_ms").collect()] == [None, 100, 500, 100]
+
+
+def test_bad_rows_in_interval_joins(spark):
+    schema = "film_id int, source string, seq int, cue_id int, start_ms long, end_ms long, text string"
+    ref = spark.createDataFrame([(1, "R", 0, 5, 0, 1000, "un"), (1, "R", 1, 5, 50_000, 51_000, "deux"), (1, "R", 2, 6, 100_000, 100_000, "trois"), (1, "R", 3, 7, 200_000, None, "sans fin")], schema)
+    # one cue over all films by a corrupt end, and one whose end lies before its start
+    out = spark.createDataFrame([(1, "O", 0, 1, 200, 900, "un"), (1, "O", 1, 2, 100_400, 99_700, "trois"), (2, "O", 2, 3, 0, 10**12, "x")], schema)
+    assert [r.seq for r in intervals.uncovered(ref, out).orderBy("seq").collect()] == [1, 3]
+    assert {r.seq: r.window for r in intervals.windows(ref, out, 500).collect()} == {0: "un", 1: "", 2: "trois", 3: ""}
+    wide = spark.createDataFrame([(1, "O", 0, 1, -5, 10**12, "tout")], schema)
+    assert intervals.overlaps(ref, wide).count() == 3 and intervals.overlaps(wide, ref).count() == 3
+    assert intervals.starts_within(ref, wide).count() == 4
+    assert {r.seq: r.tag for r in matching.corroborated(ref, out).collect()} == {0: "corroborated", 1: "unconfirmed", 2: "corroborated", 3: "unconfirmed"}
+    assert [(r.seq, r.other_id) for r in matching.start_deltas(ref, out).orderBy("seq").collect()] == [(0, 1), (2, 2)]
+
+
+def segment(seconds, kind, body):
+    import struct
+
+    return b"PG" + struct.pack(">IIBH", int(seconds * 90_000), 0, kind, len(body)) + body
+
+
+def composition(seconds, refs, palette=0):
+    import struct
+
+    body = bytes(9) + bytes([palette, len(refs)])
+    return segment(seconds, 0x16, body + b"".join(struct.pack(">HBBHH", number, 0, 0x40 if cropped else 0, 0, 0) + (bytes(8) if cropped else b"") for number, cropped in refs))
+
+
+def drawn(seconds, number, pixels, flag=0xC0):
+    import struct
+
+    return segment(seconds, 0x15, struct.pack(">H", number) + bytes([0, flag]) + bytes(3) + struct.pack(">HH", len(pixels[0]), len(pixels)) + b"".join(bytes(row) + b"\0\0" for row in pixels))
+
+
+def test_bitmap_streams(spark):
+    palette = segment(0, 0x14, bytes([0, 0]) + bytes([1, 50, 0, 0, 255, 2, 200, 0, 0, 255]))
+    data = b"junk" + composition(1, [(0, False)]) + palette + drawn(1, 0, [[1] * 8] * 8) + b"\xffnoise" + composition(2, [(0, False)]) + drawn(2, 0, [[2] * 8] * 8)
+    got = bitmap.events(data)
+    # object 0 is drawn anew; the last event has no end
+    assert [(e["start"], e["end"], int(e["image"][48, 48])) for e in got] == [(1.0, 2.0, 205), (2.0, 5.0, 55)]
+    assert got[0]["image"].shape == (96, 96) and got[0]["image"][0, 0] == 255
+    # a cropped reference has 16 bytes; two images are stacked 10 rows apart, the narrower one centred
+    two = composition(1, [(3, True), (4, False)]) + palette + drawn(1, 3, [[1] * 12] * 4) + drawn(1, 4, [[1] * 4] * 4) + composition(4, [])
+    (e,) = bitmap.events(two)
+    assert e["end"] == 4.0 and e["image"].shape == (2 * (4 + 10 + 4 + 40), 2 * (12 + 40))
+    assert bitmap.shown(bytes(9) + bytes([0, 2]) + b"\0\3\0\x40" + bytes(12) + b"\0\4\0\0" + bytes(4)) == [3, 4]
+    low = e["image"][2 * (20 + 4 + 10) + 2 : 2 * (20 + 4 + 10 + 4) - 2]
+    assert (low[:, 2 * (20 + 4) + 2 : 2 * (20 + 8) - 2] < 230).all() and (low[:, : 2 * 22] > 240).all()
+    # a fragment that is continued is drawn once it is whole
+    cut = composition(1, [(0, False)]) + palette + drawn(1, 0, [[1] * 8] * 4, 0x80) + segment(1, 0x15, b"\0\0\0\x40" + (b"\1" * 8 + b"\0\0") * 4)
+    assert len(bitmap.events(cut)) == 1
+    df = spark.createDataFrame([("f", bytearray(data))], "film_id string, content binary")
+    rows = bitmap.decode(df).orderBy("n").collect()
+    assert [(r.n, r.start_ms, r.end_ms, r.width) for r in rows] == [(1, 1000, 2000, 96), (2, 2000, 5000, 96)]
+    texts = bitmap.read_images(bitmap.decode(df), lambda p, w, h: f"{w} x {h}\n\n a  b ")
+    assert [(r.cue_id, r.lines) for r in bitmap.read_cues(bitmap.decode(df), texts).orderBy("n").collect()] == [(1, ["96 x 96", "a b"]), (2, ["96 x 96", "a b"])]
+
+
+def test_sources(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "a.srt").write_text("x1\n00:00:01,000 --> 00:00:02,000\nun\n\n2\n00:00:03,000 --> 00:00:04,000\ndeux\n")
+    got = cuefiles.bind(spark, [f"canary={tmp_path}/a.srt", f"ref={tmp_path}/a.srt"])
+    assert sorted((r.source, r.cue_no, r.cue_id) for r in got.collect()) == [("CAN", "2", 2), ("CAN", "x1", None), ("REF", "2", 2), ("REF", "x1", None)]
+    for bad, kind in ((f"{tmp_path}/a.srt", ValueError), (f"x={tmp_path}/none.srt", FileNotFoundError)):
+        with pytest.raises(kind):
+            cuefiles.bind(spark, [bad])
+    with pytest.raises(ValueError):
+        cuefiles.bind(spark, [f"refa={tmp_path}/a.srt", f"refb={tmp_path}/a.srt"])
+    assert review.request(["d.srt", "r.srt", "1", "150"]) == {"asr": ["CAN", "QWN"], "tier": "all", "rank": False, "draft": "d.srt", "lo": 1, "hi": 150, "sources": ["REF=r.srt"]}
+    assert review.request("d.srt 1 9 CAN=c.srt --asr can,whisper --tier both --rank".split())["asr"] == ["CAN", "WHI"]
+    (tmp_path / "chunks").mkdir()
+    for name in ("c00.wav", "c11.wav", "x.txt"):
+        (tmp_path / "chunks" / name).write_bytes(b"1")
+    assert sorted((r.film_id, r.chunk_no) for r in timings.read_chunks(spark, str(tmp_path / "chunks")).collect()) == [("chunks", 0), ("chunks", 11)]
+    (tmp_path / "windows").mkdir()
+    (tmp_path / "windows" / "0003.txt").write_text(" bonjour ")
+    assert [(r.window_no, r.text) for r in timings.window_texts(spark, str(tmp_path / "windows")).collect()] == [(3, "bonjour")]
+    (tmp_path / "found.json").write_text('{"cue": 1, "timestamp": "00:01", "verdict": "fix"}\n{"cue": 2, "verdict": "fix"}\n')
+    assert [r.cue for r in timings.findings(spark, str(tmp_path / "found.json")).collect()] == [1]
+    cuefiles.write(got.where("source = 'REF'"), str(tmp_path / "out"))
+    text = spark.read.text(str(tmp_path / "out"), wholetext=True).first().value
+    assert text == "1\n00:00:01,000 --> 00:00:02,000\nun\n\n2\n00:00:03,000 --> 00:00:04,000\ndeux\n\n"
+
+
+def test_streams(spark, tmp_path):
+    from cadenza.streaming import live
+
+    schema = "film_id int, chunk_no int, text string"
+    spark.createDataFrame([(1, 0, "bonjour"), (1, 1, " ")], schema).write.json(str(tmp_path / "in"))
+    source = spark.readStream.schema(schema).json(str(tmp_path / "in"))
+    live.ingest(source, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    spark.createDataFrame([(1, 1, "encore")], schema).write.mode("append").json(str(tmp_path / "in"))
+    live.ingest(source, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    expected = spark.createDataFrame([(1, k) for k in range(3)], "film_id int, chunk_no int")
+    got = live.ingested(spark, str(tmp_path / "out"), expected)
+    assert {(r.chunk_no, r.status) for r in got.collect()} == {(0, "ok"), (1, "ok"), (2, "missing")}
+    assert sorted(r.chunk_no for r in timings.pending(expected, got).collect()) == [2]
+    spark.createDataFrame([(1, "2024-01-01 00:00:00"), (1, "2024-01-01 00:00:05"), (1, "2024-01-01 00:01:00")], "film_id int, ts string").write.json(str(tmp_path / "ev"))
+    events = spark.readStream.schema("film_id int, ts timestamp").json(str(tmp_path / "ev"))
+    q = live.sessions(events).writeStream.format("memory").queryName("runs").outputMode("complete").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(r.n_cues for r in spark.table("runs").collect()) == [1, 2]
+
+
+def test_review_order_and_consensus(spark):
+    rows = [(1, 1, 300, "one", [1]), (1, 2, 200, "both", [1]), (1, 3, 100, "both", [1, 2]), (1, 4, 50, "none", []), (1, 5, 10, "one", [])]
+    x = spark.createDataFrame(rows, "film_id int, cue_id int, start_ms long, tier string, agreed array<int>")
+    assert {r.cue_id: r["rank"] for r in review.ranked(x).collect()} == {3: 1, 2: 2, 1: 3, 5: 4, 4: 5}
+    truth = spark.createDataFrame([(1, 2), (1, 4), (1, 9)], "film_id int, cue_id int")
+    r = review.recall(review.selected(review.ranked(x), tier="both"), truth).first()
+    assert (r.n_known, r.n_caught, r.best_rank) == (3, 1, 2)
+    votes = spark.createDataFrame([(3, 3), (2, 3), (1, 3), (0, 3), (1, 1), (2, 4)], "n_agree int, n_sources int")
+    assert [v[0] for v in votes.select(review.consensus()).collect()] == ["dismiss", "fix", "ask", "ask", "ask", "ask"]
+
+
+def test_spaces(spark):
+    assert one(spark, "Quoi\u2009?", lambda c: T.spacing(c, "fr")) == "Quoi ?" and one(spark, "a\u3000, b", lambda c: T.spacing(c, "en")) == "a, b"
 
 
 def test_cue_files(spark):
