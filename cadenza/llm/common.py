@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         held = spark._cadenza_shared = tempfile.mkdtemp(prefix="cadenza_")
+        atexit.register(shutil.rmtree, held, True)
     return held
 
 
@@ -33,9 +37,47 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table_{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _made(spark).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _made(spark: SparkSession) -> list[str]:
+    """Tables that this session has written into the shared folder."""
+    if not hasattr(spark, "_cadenza_tables"):
+        spark._cadenza_tables = []
+    return spark._cadenza_tables
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables written inside are deleted at the end, by which time whatever reads them must have been written itself."""
+    made = _made(spark)
+    before = len(made)
+    try:
+        yield
+    finally:
+        for path in made[before:]:
+            delete(spark, path)
+        del made[before:]
+
+
+def joined(many: DataFrame, one: DataFrame, keys: list[str], n: str, total: int, parts: int = 2000) -> DataFrame:
+    """`many` joined with `one` (a row for each key) on `keys`, hot keys apart, so that no task gets all rows of one.
+
+    n: column of `one` with the number of rows of `many` that have the key; total: the number of its rows, or
+    more.  Keys with over 1 / parts of them are `parts` at most, a proven bound for the broadcast; the rows of
+    all others are shuffled.  Column n is left out.
+    """
+    hot = one.where(F.col(n) * parts > total).drop(n)
+    cold = many.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(one.where(F.col(n) * parts <= total).drop(n), keys)
+    return many.join(F.broadcast(hot), keys).unionByName(cold)
+
+
 def steady(df: DataFrame) -> DataFrame:
     """`df` itself if a second run deals its rows to the same partitions (a plain scan), else a written copy."""
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -192,25 +234,40 @@ def _contract(batches):
         yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
 
+def _stars(e: DataFrame) -> tuple[int, bool]:
+    """Number of links, and whether every u has one v and no v is a u."""
+    ends = e.select(F.col("u").alias("id"), F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(e.select(F.col("v").alias("id"), F.lit(0).alias("a"), F.lit(1).alias("b")))
+    row = ends.groupBy("id").agg(F.sum("a").alias("a"), F.max("b").alias("b")).agg(F.sum("a").alias("n"), F.max("a").alias("a"), F.max(F.col("a") * F.col("b")).alias("both")).first()
+    return row["n"] or 0, not row["n"] or (row["a"] == 1 and row["both"] == 0)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component): the least id reachable over `links` (u long, v long), for each id that is in a link.
 
-    Alternates large-star and small-star rounds, each round written to the shared folder.  Links are
-    first contracted inside their partitions, so a dense group arrives as a star.  No link goes to the
-    driver; only a count and a checksum do.
+    Alternates large-star and small-star rounds, each written to the shared folder, until only stars are left.
+    Links are first contracted inside their partitions, so a dense group arrives as a star.  The links of a
+    hub are not gathered: its least neighbour is a partial aggregate and goes out to them.  No link goes to
+    the driver; only counts do.
     """
     e = written(links.select("u", "v").mapInArrow(_contract, "u long, v long").where("u <> v"))
-    before = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").bitwiseAND(F.lit(0xFFFFFFFF)))).first()
-    if not before[0]:
-        return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    while True:
+    n, done = _stars(e)
+    while not done:
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v").where("u <> v").distinct()
+        least = written(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n"))
+        large = written(joined(both, least, ["u"], "n", 2 * n).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        low = written(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
+        small = joined(large, low, ["u"], "n", large.count()).select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v").where("u <> v").distinct()
         e = written(small)
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").bitwiseAND(F.lit(0xFFFFFFFF)))).first()
-        if now == before:
-            return e.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component")).unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
-        before = now
+        n, done = _stars(e)
+    return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+
+
+def named(classes: DataFrame, comp: DataFrame, id_: str = "id") -> DataFrame:
+    """`classes` (id, least, n rows) with component_id: the least `least` of the component, or its own where it has no links.
+
+    Only classes with a link are grouped; the name of a large component goes out to its members.
+    """
+    linked = written(classes.join(comp.withColumnRenamed("id", id_), id_))
+    names = linked.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("__members"))
+    of = joined(linked.select(id_, "component"), names, ["component"], "__members", linked.count()).select(id_, "component_id", F.lit(True).alias("__linked"))
+    return classes.join(of, id_, "left").withColumn("component_id", F.when(F.col("__linked"), F.col("component_id")).otherwise(F.col("least"))).drop("__linked")

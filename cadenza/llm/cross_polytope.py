@@ -9,7 +9,8 @@ and a spanning forest leave the task.  A pair that meets in several buckets coun
 Vectors of equal label and components are one class from the start.  Edge cases: null labels; vectors
 that are null, empty, zero, or hold null or non-finite components link with nothing and are returned as
 their own component; vectors of different lengths never link; a null vec_id never names a component;
-repeated rows are copies of each other; extra columns are ignored; an empty table gives an empty result.
+repeated rows are copies of each other; very long vectors are hashed whole; extra columns of any name are ignored;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, forest, partitions, written
+from .common import components, forest, joined, named, partitions, written
 
 TABLES, PROBES, SEED = 4, 3, 20_251
 
@@ -158,9 +159,10 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, tables: int = TABLE
     spark = vectors.sparkSession
     base = vectors.selectExpr("cast(vec_id as bigint) as vec_id", "cast(label as string) as label", "transform(embedding, x -> cast(x as double)) as v")
     sound = "label is not null and v is not null and size(v) > 0 and not exists(v, x -> x is null or isnan(x) or abs(x) = double('infinity')) and exists(v, x -> x <> 0)"
-    base = written(base.selectExpr("vec_id", "label", "v", f"coalesce({sound}, false) as sound", "xxhash64(label, transform(v, x -> x + 0.0D)) as id"))
+    base = written(base.selectExpr("vec_id", "label", "v", f"coalesce({sound}, false) as sound", "xxhash64(label, transform(v, x -> x + 0.0D)) as h1", "xxhash64(1, label, transform(v, x -> x + 0.0D)) as h2", "monotonically_increasing_id() as row"))
     live = base.where("sound")
-    classes = written(live.groupBy("id").agg(F.first("label").alias("label"), F.first("v").alias("v"), F.count("*").alias("n"), F.min("vec_id").alias("least_id")))
+    # equal vectors by 128 bits of hash; a class is numbered by one of its rows
+    classes = written(live.groupBy("h1", "h2").agg(F.min("row").alias("id"), F.first("label").alias("label"), F.first("v").alias("v"), F.count("*").alias("n"), F.min("vec_id").alias("least")))
     hashed = classes.selectExpr("id", "label", "size(v) as size", "n", "v").mapInArrow(lambda it: _hash(it, tables, probes), "id long, label string, size int, n long, v array<double>, codes array<bigint>")
     hashed = written(hashed)
     met = hashed.selectExpr("label", "size", "id", "explode(array_distinct(codes)) as bucket")
@@ -172,8 +174,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, tables: int = TABLE
     out = written(paired.select("run", "bucket", "id", "n", "side", "v", "codes").mapInArrow(lambda it: _verified(it, least, tables), "kind int, u long, v long"))
     counts = out.where("kind = 0").groupBy(F.col("u").alias("id")).agg(F.sum("v").alias("others"))
     comp = components(out.where("kind = 1").select("u", "v"))
-    rooted = classes.select("id", "n", "least_id").join(comp, "id", "left").withColumn("root", F.coalesce("component", "id"))
-    named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of = rooted.join(named, "root").join(counts, "id", "left").select("id", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("links"), "component_id")
-    rows = base.select("vec_id", F.when(F.col("sound"), F.col("id")).alias("id")).join(of, "id", "left")
+    of = named(classes.select("id", "h1", "h2", "n", "least"), comp).join(counts, "id", "left")
+    of = of.select("h1", "h2", "n", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("links"), "component_id")
+    found = joined(base.where("sound").select("vec_id", "h1", "h2"), written(of), ["h1", "h2"], "n", base.count()).select("vec_id", "links", "component_id")
+    rows = found.unionByName(base.where("not sound").select("vec_id", F.lit(0).cast("long").alias("links"), F.lit(None).cast("long").alias("component_id")))
     return rows.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

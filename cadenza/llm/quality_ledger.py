@@ -3,7 +3,7 @@
 Every rule is evaluated once per document.  The ledger keeps the measurements and one failure bit per
 rule; a policy is a mask of rules, so applying or comparing policies never touches the texts again.
 
-Edge cases: a null text counts as the empty text (no words: fails `few_words`); a null doc_id is kept as
+Edge cases: a very long text is measured whole, inside its row; a null text counts as the empty text (no words: fails `few_words`); a null doc_id is kept as
 null; repeated rows are judged row by row; columns of `docs` named like a measurement are replaced in the ledger
 and kept by `keep`; names starting with `__` are reserved; an empty table gives an empty ledger.
 """
@@ -34,9 +34,9 @@ def mask(policy: str) -> int:
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add the measurements n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_upper, n_bang.
 
-    Words are runs without ASCII white space.  Repeated 3-word windows are found inside the row: each
-    window's hash carries its place in the low bits, a primitive sort brings equal windows together, and
-    the places are sorted again to count the words that such windows cover.
+    Words are runs without ASCII white space.  Repeated 3-word windows are found inside the row: where two
+    of its windows have equal hashes of 64 bits, hashes are sorted with their places, which brings equal
+    windows together, and the places are sorted again to count the words that such windows cover.
     """
     none = "cast(array() as array<bigint>)"
     out = (
@@ -52,14 +52,13 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         .withColumn("n_symbols", F.length(F.regexp_replace("__m", r"[!\p{Lu}]+", "")).cast("long"))
         .withColumn("n_bang", (F.length("__m") - F.length(F.replace("__m", F.lit("!")))).cast("long"))
         .withColumn("n_upper", F.length("__m").cast("long") - F.col("n_symbols") - F.col("n_bang"))
-        .withColumn("__b", F.expr("length(bin(n_words))"))
         # a window's hash: its words' hashes, shifted against each other
         .withColumn("__h", F.expr(f"if(n_words < 4, {none}, transform(slice(__x, 1, cast(n_words as int) - 2), (v, i) -> v ^ shiftleft(__x[i + 1], 1) ^ shiftleft(__x[i + 2], 2)))"))
-        .withColumn("__s", F.expr(f"if(size(array_distinct(__h)) = size(__h), {none}, sort_array(transform(__h, (v, i) -> shiftleft(shiftright(v, __b), __b) | i)))"))
-        .withColumn("__p", F.expr("sort_array(transform(filter(__s, (v, i) -> coalesce(shiftright(v ^ get(__s, i + 1), __b) = 0, false) or coalesce(shiftright(v ^ get(__s, i - 1), __b) = 0, false)), v -> v & (shiftleft(1L, __b) - 1)))"))
+        .withColumn("__s", F.expr("if(size(array_distinct(__h)) = size(__h), cast(array() as array<struct<v: bigint, i: bigint>>), sort_array(transform(__h, (v, i) -> struct(v as v, cast(i as bigint) as i))))"))
+        .withColumn("__p", F.expr("sort_array(transform(filter(__s, (x, i) -> coalesce(x.v = get(__s, i + 1).v, false) or coalesce(x.v = get(__s, i - 1).v, false)), x -> x.i))"))
         .withColumn("n_repeat_words", F.expr("aggregate(transform(__p, (v, i) -> least(3L, get(__p, i + 1) - v)), 0L, (a, v) -> a + v)"))
     )
-    return out.drop("__t", "__w", "__x", "__m", "__b", "__h", "__s", "__p", "__l")
+    return out.drop("__t", "__w", "__x", "__m", "__h", "__s", "__p", "__l")
 
 
 def rules() -> dict[str, Column]:

@@ -81,7 +81,7 @@ def op9_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxic_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxic_sentences.train(docs, table(spark, sf_dir, "labels"))
-    return toxic_sentences.score(docs, model)
+    return toxic_sentences.score(docs, model, locate=True)
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

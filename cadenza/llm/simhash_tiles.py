@@ -1,15 +1,17 @@
 """SimHash near-duplicates by tiled exact comparison.
 
-Fingerprints are compared exactly, tile against tile, with numpy exclusive-or and bit counts.  A tile holds
-the fingerprints with the same population counts of their four 16-bit quarters; two fingerprints within
-`radius` bits differ by at most `radius` over those counts, so every tile pair beyond that is skipped and
-no link is lost.  Large tiles are cut into blocks of about `block` fingerprints.  Equal fingerprints are one
-class from the start; inside a block pair only a spanning forest of the links leaves the task.
+Fingerprints meet by pigeonhole: of the four 16-bit quarters of two fingerprints within 2 bits at least two
+are equal, so each fingerprint goes to six groups, one for every pair of quarters and their values.  Inside a
+group, fingerprints are tiled by their population counts and compared exactly, tile against tile, with numpy
+exclusive-or and bit counts; tile pairs whose counts differ by more than the radius are skipped.  Neither loses
+a link.  A group of over `block` fingerprints is cut into blocks that meet pairwise.  Equal fingerprints are
+one class from the start; only a spanning forest of the links leaves a task.
 
 Edge cases: null texts and texts without words have fingerprint zero and link like any other; a text of
-fewer words than a shingle is one shingle; a null doc_id takes part but never names a component (component
-null if it has no other member); repeated rows are returned as often as given; an empty table gives an
-empty result.
+fewer words than a shingle is one shingle; a very long text is hashed piece by piece; a null doc_id takes part
+but never names a component (component null if it has no other member); repeated rows are returned as often as
+given; extra columns of any name are ignored by the fingerprints and kept by `keep_one` (names starting with
+`__` are reserved); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, forest, mix, pack, partitions, ragged, small_batches, texts, unpack, written
+from .common import components, forest, joined, mix, named, partitions, ragged, small_batches, texts, written
 
 BITS = 64
 _CHUNK = 1 << 17
@@ -106,99 +108,132 @@ def fingerprints(docs: DataFrame, text: str = "text", size: int = 3, seed: int =
     return slim.mapInArrow(lambda it: _fingerprints(it, size, seed), "doc_id long, fp long")
 
 
-def _steps(radius: int) -> list[tuple[int, int, int, int]]:
-    r = range(-radius, radius + 1)
-    return [(a, b, c, d) for a in r for b in r for c in r for d in r if abs(a) + abs(b) + abs(c) + abs(d) <= radius]
-
-
-def _compare(batches, radius: int):
-    """Rows (pair, side, fp), sorted by pair: links within the radius as a forest per block pair."""
-    pair, rest = None, []
-
-    def links(p):
-        a = np.concatenate([fp[side == 0] for fp, side in rest])
-        b = np.concatenate([fp[side != 0] for fp, side in rest])
-        same = not len(b)
-        b = a if same else b
-        if len(a) * len(b) < 2 and same:
-            return None
-        step = max(1, (1 << 20) // len(b)) if len(b) else 1
+def _near(i: np.ndarray, j: np.ndarray, words: list[np.ndarray], radius: int) -> np.ndarray:
+    bits = np.zeros(len(i), np.int32)
+    for w in words:
+        bits += np.bitwise_count(w[i] ^ w[j])
+    return bits <= radius
+
+
+def _small_groups(size: np.ndarray, start: np.ndarray, words, count, radius: int):
+    """Links inside groups of few rows, all groups at a time: each row with the d-th after it."""
+    end = np.repeat(start + size, size)
+    rows = ragged(start, size)
+    d, us, vs = 1, [], []
+    while len(rows):
+        rows, end = rows[rows + d < end], end[rows + d < end]
+        close = rows[count[rows + d] - count[rows] <= radius]
+        found = close[_near(close, close + d, words, radius)]
+        us.append(found)
+        vs.append(found + d)
+        d += 1
+    return np.concatenate(us), np.concatenate(vs)
+
+
+def _large_group(a: np.ndarray, b: np.ndarray | None, words, count, radius: int):
+    """Links inside one group (b: none) or between its two sides, rows in order of population count: tile against the tiles within the radius."""
+    us, vs = [], []
+    other = a if b is None else b
+    low, high = np.searchsorted(count[other], count[a] - radius), np.searchsorted(count[other], count[a] + radius, side="right")
+    for s in range(0, len(a), 256):
+        mine = a[s : s + 256]
+        reach = other[low[s] : high[min(s + 255, len(a) - 1)]]
+        if not len(reach):
+            continue
+        near = np.bitwise_count(words[0][mine, None] ^ words[0][None, reach]) <= radius
+        i, j = np.nonzero(near)
+        i, j = mine[i], reach[j]
+        if b is None:
+            i, j = i[i < j], j[i < j]
+        if len(words) > 1:
+            good = _near(i, j, words, radius)
+            i, j = i[good], j[good]
+        us.append(i)
+        vs.append(j)
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(us), np.concatenate(vs)) if us else (none, none)
+
+
+def _compare(batches, radius: int, n_words: int):
+    """Rows (key, lo, hi, side, count, id, fingerprint words), sorted by all but the id and words: links within the radius as forests."""
+    held = None
+
+    def links(cols):
+        key, lo, hi, side, count, ids = cols[:6]
+        words = [c.view(np.uint64) for c in cols[6:]]
+        new = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])))
+        size = np.diff(np.append(new, len(key)))
+        cut = (lo != hi)[new]
+        few = (size > 1) & (size <= 48) & ~cut
         us, vs = [], []
-        for at in range(0, len(a), step):
-            if same and at + 1 >= len(b):
-                break
-            near = np.bitwise_count(a[at : at + step, None] ^ b[None, :]) <= radius
-            i, j = np.nonzero(near)
-            i += at
-            if same:
-                i, j = i[i < j], j[i < j]
-            if len(i):
-                u, v = a[i].view(np.int64), b[j].view(np.int64)
-                if len(u) > 4096:
-                    u, v = forest(u, v)
-                us.append(u)
-                vs.append(v)
-        if not us:
-            return None
-        u, v = np.concatenate(us), np.concatenate(vs)
-        return forest(u, v) if len(u) > 64 else (u, v)
-
-    out_u, out_v, n = [], [], 0
+        if few.any():
+            i, j = _small_groups(size[few], new[few], words, count, radius)
+            us.append(i)
+            vs.append(j)
+        for s, n, two in zip(new.tolist(), size.tolist(), cut.tolist()):
+            if two or n > 48:
+                rows = np.arange(s, s + n)
+                i, j = _large_group(rows[side[rows] == 0], rows[side[rows] == 1], words, count, radius) if two else _large_group(rows, None, words, count, radius)
+                if len(i) > 4096:
+                    u, v = forest(ids[i], ids[j])
+                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+                else:
+                    us.append(i)
+                    vs.append(j)
+        i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
+        if len(i):
+            u, v = forest(ids[i], ids[j])
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
     for batch in batches:
-        pairs = batch.column(0).to_numpy(zero_copy_only=False)
-        sides = batch.column(1).to_numpy(zero_copy_only=False)
-        fps = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
-        cuts = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])) if len(pairs) else []
-        ends = np.append(cuts[1:], len(pairs)) if len(pairs) else []
-        for s, e in zip(cuts, ends):
-            if pair is not None and pairs[s] != pair:
-                found = links(pair)
-                rest = []
-                if found:
-                    out_u.append(found[0])
-                    out_v.append(found[1])
-                    n += len(found[0])
-            pair = pairs[s]
-            rest.append((fps[s:e], sides[s:e]))
-        if n > 100_000:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_u)), pa.array(np.concatenate(out_v))], names=["u", "v"])
-            out_u, out_v, n = [], [], 0
-    if rest:
-        found = links(pair)
-        if found:
-            out_u.append(found[0])
-            out_v.append(found[1])
-    if out_u:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_u)), pa.array(np.concatenate(out_v))], names=["u", "v"])
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(6 + n_words)]
+        if held:
+            cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
+        key, lo, hi = cols[:3]
+        same = (key == key[-1]) & (lo == lo[-1]) & (hi == hi[-1])
+        last = len(key) - int(same.sum())  # the last group may go on in the next batch
+        if last:
+            yield from links([c[:last] for c in cols])
+        held = [c[last:] for c in cols]
+    if held:
+        yield from links(held)
+
+
+def _grouped_links(rows: DataFrame, radius: int, fps: list[str], block: int) -> DataFrame:
+    """Links (u, v) between rows (key, id, fps) of one key whose fingerprints are within the radius; a forest of them per task."""
+    spark = rows.sparkSession
+    crowded = written(rows.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > block).select("key", F.ceil(F.col("c") / F.lit(block)).cast("int").alias("blocks")))
+    n = crowded.count()
+    if n:
+        x = rows.join(F.broadcast(crowded) if n <= 200_000 else crowded, "key", "left").withColumn("part", F.expr("cast(pmod(xxhash64(id), coalesce(blocks, 1)) as int)"))
+        x = x.withColumn("j", F.explode(F.expr("sequence(0, coalesce(blocks, 1) - 1)")))
+        x = x.selectExpr("key", "least(part, j) as lo", "greatest(part, j) as hi", "if(part <= j, 0, 1) as side", "id", *fps)
+    else:
+        x = rows.selectExpr("key", "0 as lo", "0 as hi", "0 as side", "id", *fps)
+    x = x.selectExpr("key", "lo", "hi", "side", "cast(" + " + ".join(f"bit_count({f})" for f in fps) + " as int) as count", "id", *fps)
+    dealt = x.repartition(partitions(spark), "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "side", "count")
+    n_words = len(fps)
+    return dealt.mapInArrow(lambda it: _compare(it, radius, n_words), "u long, v long")
 
 
 def near_links(classes: DataFrame, radius: int = 2, block: int = 4096) -> DataFrame:
-    """Links (u, v) that connect all distinct fingerprints `fp` within `radius` bits."""
-    spark = classes.sparkSession
-    quarter = [F.expr(f"cast(bit_count(shiftrightunsigned(fp, {16 * i}) & 65535L) as int)").alias(f"q{i}") for i in range(4)]
-    code = F.expr("((q0 * 17 + q1) * 17 + q2) * 17 + q3")
-    fps = classes.select("fp", *quarter).withColumn("tile", code)
-    # at most 17^4 = 83,521 rows: a proven bound for the broadcast
-    tiles = written(fps.groupBy("tile").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks")))
-    own = fps.join(F.broadcast(tiles), "tile").withColumn("part", F.expr("cast(pmod(xxhash64(fp), blocks) as int)")).drop("blocks")
-    steps = F.array(*[F.struct(*[F.lit(x).alias(f"d{i}") for i, x in enumerate(s)]) for s in _steps(radius)])
-    moved = own.withColumn("s", F.explode(steps)).selectExpr("fp", "tile", "part", *[f"q{i} + s.d{i} as n{i}" for i in range(4)])
-    moved = moved.where(" and ".join(f"n{i} between 0 and 16" for i in range(4))).selectExpr("fp", "tile", "part", "((n0 * 17 + n1) * 17 + n2) * 17 + n3 as other")
-    faced = moved.join(F.broadcast(tiles.withColumnRenamed("tile", "other")), "other").selectExpr("fp", "tile * 16384L + part as mine", "other", "explode(sequence(0, blocks - 1)) as j")
-    faced = faced.selectExpr("fp", "mine", "other * 16384L + j as theirs").selectExpr("least(mine, theirs) * 2147483648L + greatest(mine, theirs) as pair", "if(mine <= theirs, 0, 1) as side", "fp")
-    dealt = faced.repartition(partitions(spark), "pair").sortWithinPartitions("pair")
-    return dealt.mapInArrow(lambda it: _compare(it, radius), "u long, v long")
+    """Links (u, v) that connect all distinct fingerprints `fp` within `radius` bits (2 at most, for the pigeonhole of quarters)."""
+    if not 0 <= radius <= 2:
+        raise ValueError("four quarters find links of 2 bits at most")
+    part = [F.expr(f"shiftrightunsigned(fp, {16 * i}) & 65535L") for i in range(4)]
+    pairs = [(a, b) for a in range(4) for b in range(a)]
+    keys = F.array(*[F.lit(k << 32).cast("long") + part[a] * 65_536 + part[b] for k, (a, b) in enumerate(pairs)])
+    return _grouped_links(classes.select(F.explode(keys).alias("key"), F.col("fp").alias("id"), "fp"), radius, ["fp"], block)
 
 
 def group(prints: DataFrame, radius: int = 2, block: int = 4096) -> DataFrame:
     """(doc_id, fp, component_id): the least doc_id reachable over links of at most `radius` differing bits."""
     prints = written(prints)
-    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    comp = components(near_links(classes, radius, block))
-    rooted = classes.join(comp.withColumnRenamed("id", "fp"), "fp", "left").withColumn("root", F.coalesce("component", "fp"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = written(rooted.select("fp", "root").join(named, "root").select("fp", "component_id"))
-    return prints.join(of, "fp").select("doc_id", "fp", "component_id")
+    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
+    of = written(named(classes, components(near_links(classes, radius, block)), "fp").select("fp", "n", "component_id"))
+    return joined(prints, of, ["fp"], "n", prints.count()).select("doc_id", "fp", "component_id")
 
 
 def near_duplicates(docs: DataFrame, radius: int = 2, text: str = "text", size: int = 3) -> DataFrame:
@@ -209,19 +244,47 @@ def near_duplicates(docs: DataFrame, radius: int = 2, text: str = "text", size:
 
 # ---------------------------------------------------------------- similarity of 0.8 on five-word shingles
 
-#: Fingerprint words of 64 bits; bits that may differ in the first word, and in all of them, of a candidate pair.
-#: At a Jaccard similarity of 0.8 the expected differences are 9.7 of 64 and 38.8 of 256 (standard deviations 2.9
-#: and 5.7), so these bounds only choose what is compared exactly.
-WIDE, WIDE_FIRST, WIDE_ALL = 4, 22, 66
-_WIDE_SCHEMA = "doc_id long, text_key long, id long, " + ", ".join(f"f{i} long" for i in range(WIDE))
+#: Fingerprint words of 64 bits, and bits that may differ in all of a candidate pair: at a Jaccard similarity of 0.8
+#: 38.8 of 256 are expected, with a standard deviation of 5.7, so the bound only chooses what is compared exactly.
+WIDE, WIDE_ALL = 4, 66
+#: Candidates share the least values of ROWS hash functions in one of BANDS bands: at a similarity of 0.8 two texts
+#: share a band with probability 0.9985, at 0.85 0.9999, at 0.5 0.66, at 0.3 0.11.
+BANDS, ROWS = 16, 4
+_MULTIPLIERS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+_FPS = [f"f{i}" for i in range(WIDE)]
+_WIDE_SCHEMA = "doc_id long, text_key long, id long, bands array<bigint>, " + ", ".join(f"{f} long" for f in _FPS)
 #: Texts and bytes of shingle hashes of one block of exact comparison.
 _MEMBERS, _BYTES = 1024, 8 << 20
 
 
+def _bands(parts: list[np.ndarray]) -> np.ndarray:
+    """(texts, BANDS) keys out of the least values of each text's shingle hashes; all zero for a text without any."""
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    out = np.zeros((len(parts), BANDS), np.uint64)
+    live = np.flatnonzero(sizes)
+    if not len(live):
+        return out
+    hashes = np.concatenate([parts[k] for k in live])
+    starts = np.cumsum(sizes[live]) - sizes[live]
+    for band in range(BANDS):
+        key = np.full(len(live), band + 1, np.uint64)
+        for m in _MULTIPLIERS[band * ROWS : (band + 1) * ROWS]:
+            key = mix(key + np.minimum.reduceat(hashes * m, starts))
+        out[live, band] = key
+    return out
+
+
 def _wide_majority(parts: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
     out, hashes = np.zeros((len(sizes), WIDE), np.uint64), np.concatenate(parts) if parts else np.zeros(0, np.uint64)
     for w in range(WIDE):
-        out[:, w] = _majority([mix(hashes + np.uint64(w * 0x9E3779B97F4A7C15 & (2**64 - 1)))], sizes)
+        salt = np.uint64(w * 0x9E3779B97F4A7C15 & (2**64 - 1))
+        if len(sizes) == 1 and len(hashes) > _CHUNK:  # one long text: bits are counted piece by piece
+            ones = np.zeros(BITS, np.int64)
+            for at in range(0, len(hashes), _CHUNK):
+                ones += np.unpackbits(mix(hashes[at : at + _CHUNK] + salt).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+            out[0, w] = np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0]
+        else:
+            out[:, w] = _majority([mix(hashes + salt)], sizes)
     return out
 
 
@@ -237,24 +300,32 @@ def _set_id(hashes: np.ndarray) -> int:
 
 
 def _wide(batches, size: int):
-    """Rows (doc_id, text_key, text) to fingerprints of their shingle sets; id: hash of the set."""
+    """Rows (doc_id, text_key, text) to fingerprints and bands of their shingle sets; id: hash of the set."""
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            out, parts, sizes, ids, first = [], [], [], [], 0
+            out, bands, parts, ids, held = [], [], [], [], 0
+
+            def settle():
+                if parts:
+                    out.append(_wide_majority(parts, np.array([len(h) for h in parts])))
+                    bands.append(_bands(parts))
+                    parts.clear()
+
             for raw in texts(part.column(2)):
                 h = shingles(raw, size)
+                if len(h) > _CHUNK:
+                    settle()
                 ids.append(_set_id(h))
                 parts.append(h)
-                sizes.append(len(h))
-                first += len(h)
-                if first > _CHUNK:
-                    out.append(_wide_majority(parts, np.array(sizes)))
-                    parts, sizes, first = [], [], 0
-            if sizes:
-                out.append(_wide_majority(parts, np.array(sizes)))
-            f = np.concatenate(out).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.int64()), *[pa.array(f[:, i].copy()) for i in range(WIDE)]], names=["doc_id", "text_key", "id", *[f"f{i}" for i in range(WIDE)]])
+                held += len(h)
+                if held > _CHUNK:
+                    settle()
+                    held = 0
+            settle()
+            f, b = np.concatenate(out).view(np.int64), np.concatenate(bands).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, b.size + 1, BANDS, dtype=np.int32)), pa.array(b.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.int64()), lists, *[pa.array(f[:, i].copy()) for i in range(WIDE)]], names=["doc_id", "text_key", "id", "bands", *_FPS])
 
 
 def _sets(batches, size: int):
@@ -300,85 +371,80 @@ def true_links(ids: np.ndarray, side: np.ndarray, sets: list[np.ndarray]) -> tup
     return forest(np.concatenate(us), np.concatenate(vs)) if us else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def _true_pair(table: pa.Table) -> pa.Table:
-    ids, first = np.unique(table.column("id").to_numpy(), return_index=True)
+def _members(table: pa.Table, side: str) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(ids, sides, shingle sets) of a group, each id once a side."""
+    ids, sides = table.column("id").to_numpy(), table.column(side).to_numpy()
+    order = np.lexsort((ids, sides))
+    keep = order[np.append(True, (ids[order][1:] != ids[order][:-1]) | (sides[order][1:] != sides[order][:-1]))] if len(ids) else order
     hashes = table.column("hashes").combine_chunks()
-    sets = [np.frombuffer(hashes[int(k)].as_py(), np.uint64) for k in first]
-    u, v = true_links(ids, table.column("part").to_numpy()[first], sets)
-    return pa.table({"u": u, "v": v})
+    return ids[keep], sides[keep], [np.frombuffer(hashes[int(k)].as_py(), np.uint64) for k in keep]
 
 
-def _block_blob(table: pa.Table) -> pa.Table:
-    cols = [table.column(c).to_numpy() for c in ("id", *[f"f{i}" for i in range(WIDE)])]
-    return pa.table({"tile": pa.array([table.column("tile")[0].as_py()], pa.int32()), "block": pa.array([table.column("block")[0].as_py()], pa.int64()), "payload": pa.array([pack(*cols)], pa.binary())})
+def _pivot(table: pa.Table) -> pa.Table:
+    """One block of a component against its pivot: links (kind 0) and the members without one (kind 1)."""
+    ids, is_pivot, sets = _members(table, "is_pivot")
+    at = int(np.flatnonzero(is_pivot)[0])
+    pivot, root = sets[at], table.column("root")[0].as_py()
+    near = np.zeros(len(ids), bool)
+    for k, h in enumerate(sets):
+        if 5 * min(len(h), len(pivot)) >= 4 * max(len(h), len(pivot)) > 0:
+            shared = len(np.intersect1d(h, pivot, assume_unique=True))
+            near[k] = 9 * shared >= 4 * (len(h) + len(pivot))
+    near[at] = False
+    far = ~near & ~is_pivot.astype(bool)
+    kinds = np.repeat(np.array([0, 1], np.int32), [int(near.sum()), int(far.sum())])
+    return pa.table({"kind": kinds, "root": np.full(len(kinds), root, np.int64), "u": np.concatenate([ids[near], ids[far]]), "v": np.full(len(kinds), ids[at], np.int64)})
 
 
-def _block_pair(table: pa.Table) -> pa.Table:
-    blobs = [unpack(p.as_py()) for p in table.column("payload")]
-    ids_a, *a = blobs[0]
-    ids_b, *b = blobs[-1]
-    a, b = [x.view(np.uint64) for x in a], [x.view(np.uint64) for x in b]
-    same = len(blobs) == 1
-    us, vs, step = [], [], max(1, (1 << 19) // len(ids_b))
-    for at in range(0, len(ids_a), step):
-        i, j = np.nonzero(np.bitwise_count(a[0][at : at + step, None] ^ b[0][None, :]) <= WIDE_FIRST)
-        i += at
-        if same:
-            i, j = i[i < j], j[i < j]
-        for cut in range(0, len(i), 1 << 18):
-            p, q = i[cut : cut + (1 << 18)], j[cut : cut + (1 << 18)]
-            near = sum(np.bitwise_count(x[p] ^ y[q]).astype(np.int32) for x, y in zip(a, b)) <= WIDE_ALL
-            if near.any():
-                u, v = forest(ids_a[p[near]], ids_b[q[near]])
-                us.append(u)
-                vs.append(v)
-    u, v = forest(np.concatenate(us), np.concatenate(vs)) if us else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+def _true_pair(table: pa.Table) -> pa.Table:
+    u, v = true_links(*_members(table, "side"))
     return pa.table({"u": u, "v": v})
 
 
 def _verified(slim: DataFrame, prints: DataFrame, candidates: DataFrame, size: int) -> DataFrame:
     """Links (u, v) of Jaccard similarity 0.8 or more inside the components of `candidates`, compared exactly.
 
-    A candidate component's shingle sets, one of each id, are cut into blocks, and every block meets every
-    other one of the component, so no pair of it goes unseen and no pair is a row.
+    A component's shingle sets, one of each id, are cut into blocks.  All are compared with one member, the
+    pivot, first; in a group of near copies that connects most of them.  The members it leaves out then meet
+    every block of the component, so no pair that could add to the links goes unseen, and no pair is a row.
     """
     spark = slim.sparkSession
     held = written(candidates.withColumnRenamed("component", "root"))
     wanted = prints.join(held, "id").groupBy("root", "id").agg(F.min("text_key").alias("text_key"))
     found = slim.select("text_key", "text").join(wanted, "text_key").select("root", "id", "text")
     sets = written(found.mapInArrow(lambda it: _sets(it, size), "root long, id long, n long, hashes binary").dropDuplicates(["root", "id"]))
-    cuts = sets.groupBy("root").agg(F.ceil(F.greatest(F.sum("n") * 8 / F.lit(_BYTES), F.count("*") / F.lit(_MEMBERS))).cast("int").alias("parts"))
-    cut = sets.join(cuts, "root").withColumn("part", F.expr("cast(pmod(xxhash64(id, 7), greatest(parts, 1)) as int)"))
-    faced = cut.selectExpr("root", "id", "part", "hashes", "explode(sequence(0, greatest(parts, 1) - 1)) as other")
-    pairs = faced.select("root", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "id", "part", "hashes")
-    return pairs.repartition(partitions(spark), "root", "lo", "hi").groupBy("root", "lo", "hi").applyInArrow(_true_pair, "u long, v long")
-
-
-def similar_groups(docs: DataFrame, text: str = "text", size: int = 5, block: int = 1 << 16) -> DataFrame:
+    blocks = F.greatest(F.ceil(F.greatest(F.sum("n") * 8 / F.lit(_BYTES), F.count("*") / F.lit(_MEMBERS))), F.lit(1)).cast("int")
+    cuts = written(sets.groupBy("root").agg(blocks.alias("parts"), F.min(F.struct(F.xxhash64("id", F.lit(3)).alias("h"), "id"))["id"].alias("pivot"), F.count("*").alias("m")))
+    cut = joined(sets, cuts, ["root"], "m", sets.count()).withColumn("part", F.expr("cast(pmod(xxhash64(id, 7), parts) as int)"))
+    first = cut.selectExpr("root", "id", "hashes", "if(id = pivot, 1, 0) as is_pivot", "explode(if(id = pivot, sequence(0, parts - 1), array(part))) as part")
+    told = written(first.repartition(partitions(spark), "root", "part").groupBy("root", "part").applyInArrow(_pivot, "kind int, root long, u long, v long"))
+    links, far = told.where("kind = 0").select("u", "v"), told.where("kind = 1").select("root", F.col("u").alias("id"))
+    more = written(cut.join(far, ["root", "id"], "left_semi").select("root", "id", "n", "hashes", "parts"))
+    mine = written(more.groupBy("root").agg(blocks.alias("ours"), F.first("parts").alias("parts"), F.count("*").alias("m")))
+    if mine.isEmpty():
+        return links
+    ours = joined(more.drop("parts"), mine, ["root"], "m", more.count()).selectExpr("root", "id", "hashes", "cast(pmod(xxhash64(id, 11), ours) as int) as our", "explode(sequence(0, parts - 1)) as part", "0 as side")
+    every = joined(cut.drop("parts"), mine.select("root", "ours").join(cuts.select("root", "m"), "root"), ["root"], "m", sets.count()).selectExpr("root", "id", "hashes", "explode(sequence(0, ours - 1)) as our", "part", "1 as side")
+    pairs = ours.unionByName(every).repartition(partitions(spark), "root", "our", "part").groupBy("root", "our", "part").applyInArrow(_true_pair, "u long, v long")
+    return links.unionByName(pairs)
+
+
+def similar_groups(docs: DataFrame, text: str = "text", size: int = 5, block: int = 4096) -> DataFrame:
     """(doc_id, component_id) over links of Jaccard similarity 0.8 or more of the sets of `size`-word shingles.
 
-    Fingerprints of 256 bits, compared tile against tile as above, give candidates: tiles are population
-    counts of the first 64 bits, cut into blocks that travel as one packed row each, and tile pairs whose
-    counts differ by more than WIDE_FIRST are skipped.  The components of the candidates are then compared
-    exactly, and only what that confirms is a link.  The work is quadratic in the number of distinct texts.
+    Sets that share the least values of a band of hash functions are compared by fingerprints of 256 bits, tile
+    against tile as above; work and shuffle grow with the texts, not with their pairs.  Pairs within WIDE_ALL
+    bits are candidates.  The components of the candidates are then compared exactly, and only what that
+    confirms is a link.
     """
     small_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     prints = written(slim.mapInArrow(lambda it: _wide(it, size), _WIDE_SCHEMA))
-    classes = written(prints.groupBy("id", *[f"f{i}" for i in range(WIDE)]).agg(F.min("doc_id").alias("least")).withColumn("tile", F.expr("cast(bit_count(f0) as int)")))
-    # 65 rows at most: a proven bound for both broadcasts
-    cuts = written(classes.groupBy("tile").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks")))
-    dealt = classes.join(F.broadcast(cuts), "tile").withColumn("block", F.expr("tile * 1000000L + pmod(xxhash64(id), blocks)"))
-    blobs = written(dealt.groupBy("block").applyInArrow(_block_blob, "tile int, block long, payload binary"))
-    # each block meets the blocks of every tile in reach
-    near = blobs.selectExpr("block", "payload", f"explode(sequence(greatest(tile - {WIDE_FIRST}, 0), least(tile + {WIDE_FIRST}, {BITS}))) as near")
-    faced = near.join(F.broadcast(cuts.withColumnRenamed("tile", "near")), "near").selectExpr("block", "payload", "near", "explode(sequence(0, blocks - 1)) as j").selectExpr("block", "payload", "near * 1000000L + j as other")
-    pairs = faced.select(F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "payload")
-    candidates = pairs.repartition(max(partitions(docs.sparkSession), BITS + 1), "lo", "hi").groupBy("lo", "hi").applyInArrow(_block_pair, "u long, v long")
+    classes = written(prints.groupBy("id").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), F.first("bands").alias("bands"), *[F.first(f).alias(f) for f in _FPS]))
+    candidates = _grouped_links(classes.select(F.explode("bands").alias("key"), "id", *_FPS), WIDE_ALL, _FPS, block)
     links = _verified(slim, prints, components(candidates), size)
-    rooted = classes.select("id", "least").join(components(links), "id", "left").withColumn("root", F.coalesce("component", "id"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("id", "component_id")
-    return prints.join(named, "id").select("doc_id", "component_id")
+    of = written(named(classes.select("id", "least", "n"), components(links)).select("id", "n", "component_id"))
+    return joined(prints.select("doc_id", "id"), of, ["id"], "n", prints.count()).select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame, text: str = "text", size: int = 5) -> DataFrame:

@@ -6,7 +6,8 @@ every shard the same number of slots up to one, and losing a shard moves few oth
 hash and one lookup in the broadcast table, whose size is fixed by its prime (65,537 rows at most).
 
 Edge cases: a null key is placed as the text "null"; equal keys always share a shard; an empty table stays
-empty; added columns are `slot` and `shard`, which replace columns of those names.
+empty; a very long key is hashed whole; added columns are `slot` and `shard`, which replace columns of those
+names, the key's own included; `__slot` is reserved.
 """
 
 from __future__ import annotations
@@ -54,7 +55,7 @@ def place(df: DataFrame, key: str, shards: list[str], slots: int = SLOTS) -> Dat
     table = F.split(F.lit(",".join(map(str, owner))), ",")
     names = F.array(*[F.lit(s) for s in shards])
     rows = spark.range(1).select(F.posexplode(table).alias("slot", "__i")).select("slot", names[F.col("__i").cast("int")].alias("shard"))
-    return df.drop("slot", "shard").withColumn("slot", slot_of(F.col(key), slots)).join(F.broadcast(rows), "slot")
+    return df.withColumn("__slot", slot_of(F.col(key), slots)).drop("slot", "shard").withColumnRenamed("__slot", "slot").join(F.broadcast(rows), "slot")
 
 
 def sizes(placed: DataFrame, shards: list[str]) -> DataFrame:

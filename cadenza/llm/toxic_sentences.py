@@ -11,9 +11,9 @@ text reaches `max_bytes` in all (a documented bound); texts of any length are le
 broadcast model has a fixed bound) get weights; scoring covers every sentence of every text.  Only the text
 is an input.
 
-Edge cases: null and empty texts have one empty sentence and so a score; a null doc_id is scored and not
+Edge cases: a very long text is scored whole; null and empty texts have one empty sentence and so a score; a null doc_id is scored and not
 held out; labels that are null, or whose document is missing, are not learned from; repeated rows are
-scored row by row; extra columns are ignored; without labels of both kinds every score is below 0.5.
+scored row by row; extra columns of any name are ignored; without labels of both kinds every score is below 0.5.
 """
 
 from __future__ import annotations
