@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm import bpe_words, line_suffixes, quality_ledger, simhash_tiles, temperature_mix
-from cadenza.llm.common import shared_dir
+from cadenza.llm.common import delete, scratch, shared_dir
 from cadenza.llm.queries import RANKS
 
 
@@ -35,7 +35,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe_words.encode(docs, bpe_words.read_ranks(public_tokenizers.path(RANKS)), public_tokenizers.PATTERN)
+    return bpe_words.encode(docs, bpe_words.read_ranks(public_tokenizers.path(RANKS)), public_tokenizers.PATTERN, ids=True)
 
 
 STAGES = [("quality rules", quality), ("line dedup", lines), ("SimHash near-dedup", near_copies), ("mixing to target weights", mixture), ("byte-level BPE", encode)]
@@ -45,10 +45,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each result is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over `documents`: token ids and digests of each text kept, as often as it is used.
+
+    Each result is written to the shared folder and read again; a stage's own tables, and the stage before, are
+    deleted once it is written.  The last one stays, for the caller to read.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES:
         path = f"{shared_dir(spark)}/stage_{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return docs
