@@ -7,8 +7,8 @@ there they are reassembled by position.  Decoding looks every id up in the table
 the vocabulary's), which is broadcast.
 
 Edge cases: null and empty texts have no tokens; a null doc_id is kept as null; repeated rows are encoded
-row by row; lone surrogates cannot occur (Spark strings are UTF-8; invalid bytes are replaced as in
-Python's "replace"); extra columns are ignored; an empty table gives an empty result.
+row by row; a very long text is a block of its own and decoded piece by piece; lone surrogates cannot occur (Spark strings are UTF-8; invalid bytes are replaced as in
+Python's "replace"); extra columns of any name are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ from .common import pack, partitions, ragged, small_batches, steady, unpack
 PAYLOAD = 4 << 20
 #: Bytes of texts after which a scan task starts its next block; bounds what a block holds, however large the task.
 SPAN = 32 << 20
+#: Parts that distinct words are dealt to, at least; a task encodes one part at a time.
+BUCKETS = 256
 #: Pieces held at a time, beside the block's distinct words.
 _HELD = 1 << 17
 _SCHEMA = "block long, bucket int, kind int, payload binary"
@@ -136,24 +138,26 @@ def _parse(batches, pattern: str, span: int = SPAN):
     find = regex.compile(pattern).findall
     for block, rows in _blocks(batches, span):
         pieces = _Pieces(find)
-        ids, null, sizes, held, chars = [], [], [], [], 0
+        ids, null, sizes, lengths, held, chars = [], [], [], [], [], 0
 
         def flush():
             seq = np.concatenate(held) if held else np.zeros(0, np.int32)
-            return _row(block, -1, 0, pack(np.array(ids, np.int64), np.array(null, np.uint8), np.array(sizes, np.int64), seq))
+            return _row(block, -1, 0, pack(np.array(ids, np.int64), np.array(null, np.uint8), np.array(sizes, np.int64), np.array(lengths, np.int64), seq))
 
         for doc_id, text in rows:
-            seq = pieces.places(text.decode("utf-8", "replace")) if text else np.zeros(0, np.int32)
+            text = (text or b"").decode("utf-8", "replace")
+            seq = pieces.places(text) if text else np.zeros(0, np.int32)
+            lengths.append(len(text.encode()))
             if len(pieces) > _HELD:
                 pieces.clear()
             ids.append(doc_id or 0)
             null.append(doc_id is None)
             sizes.append(len(seq))
             held.append(seq)
-            chars += len(text or b"")
+            chars += len(text)
             if chars > PAYLOAD:
                 yield flush()
-                ids, null, sizes, held, chars = [], [], [], [], 0
+                ids, null, sizes, lengths, held, chars = [], [], [], [], [], 0
         if ids:
             yield flush()
         pieces.clear()
@@ -198,8 +202,11 @@ def _encode(batches, ranks, pattern: str):
     """Each distinct word of this partition's buckets once; its ids to every block that holds it (kind 2)."""
     single = _encoder(ranks.value, pattern)._core_bpe.encode_single_piece
     known: dict[bytes, list[int]] = {}
+    at_bucket = None
     for batch in batches:
-        for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload").to_pylist()):
+        for block, bucket, payload in zip(batch.column("block").to_pylist(), batch.column("bucket").to_pylist(), batch.column("payload").to_pylist()):
+            if bucket != at_bucket:  # sorted by bucket: what one needs is forgotten before the next
+                at_bucket, known = bucket, {}
             some, raw, sizes = unpack(payload)
             raw, out, at = raw.tobytes(), [], 0
             for n in sizes.tolist():
@@ -239,9 +246,9 @@ def _assemble(table: pa.Table, ranks, ids_too: bool) -> pa.Table:
     for kind, payload in zip(kinds, payloads):
         if kind != 0:
             continue
-        docs, null, sizes, seq = unpack(payload.as_py())
+        docs, null, sizes, lengths, seq = unpack(payload.as_py())
         at = 0
-        for doc_id, gone, n in zip(docs.tolist(), null.tolist(), sizes.tolist()):
+        for doc_id, gone, n, n_bytes in zip(docs.tolist(), null.tolist(), sizes.tolist(), lengths.tolist()):
             mine = seq[at : at + n]
             at += n
             ids_hash, text_hash, total, length, all_ids = hashlib.sha256(), hashlib.sha256(), 0, 0, []
@@ -255,6 +262,8 @@ def _assemble(table: pa.Table, ranks, ids_too: bool) -> pa.Table:
                 length += len(decoded)
                 if ids_too:
                     all_ids.append(ids.astype(np.int32))
+            if length != n_bytes:  # a scan that deals its rows anew would lose words
+                raise ValueError(f"a text of {n_bytes} bytes came back as {length}")
             out["doc_id"].append(None if gone else doc_id)
             out["n_tokens"].append(total)
             out["ids_sha256"].append(ids_hash.hexdigest())
@@ -275,9 +284,10 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     shared = spark.sparkContext.broadcast(ranks)
     slim = steady(docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string").alias("text")))
     n = partitions(spark)
+    buckets = max(n, BUCKETS)
     parsed = slim.mapInArrow(lambda it: _parse(it, pattern, span), _SCHEMA)
-    words = slim.mapInArrow(lambda it: _words(it, pattern, n, span), _SCHEMA)
-    encoded = words.repartition(n, "bucket").mapInArrow(lambda it: _encode(it, shared, pattern), _SCHEMA)
+    words = slim.mapInArrow(lambda it: _words(it, pattern, buckets, span), _SCHEMA)
+    encoded = words.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _encode(it, shared, pattern), _SCHEMA)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_bytes long" + (", ids array<int>" if ids else "")
     return parsed.unionByName(encoded).groupBy("block").applyInArrow(lambda t: _assemble(t, shared, ids), schema)
 

@@ -13,8 +13,8 @@ which bounds the broadcast).  The pairs' log-probabilities go back to the blocks
 texts are scored.  What is gathered grows with the corpus; no table of it is broadcast.
 
 Edge cases: null and empty texts are the end byte alone; a null doc_id trains (its crc32 is that of the
-empty string) and is returned as null; repeated rows count as often as they occur; extra columns are
-ignored; without training rows every decision is one half; an empty table gives an empty result.
+empty string) and is returned as null; repeated rows count as often as they occur; extra columns of any name are
+ignored; a very long text is one chunk of its block; without training rows every decision is one half; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ from .common import Table, mix, pack, partitions, summed, texts, unpack, written
 DEPTH, SPLIT = 5, 3
 END = b"\n"
 _CHUNK = 1 << 20
+#: Parts that contexts and words are dealt to, at least; a task holds one part at a time.
+BUCKETS = 512
 _SCHEMA = "block int, bucket int, kind int, payload binary"
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -247,27 +249,32 @@ def _subtree(keys: np.ndarray, counts: np.ndarray):
 
 
 def _gathered(batches):
-    """All blobs of a partition by kind: [(block, keys, counts)]."""
-    pairs, words = [], []
+    """Per bucket of a partition sorted by bucket: pairs and words, each as [(block, keys, counts)]."""
+    at, pairs, words = None, [], []
     for batch in batches:
-        for block, kind, payload in zip(batch.column("block").to_pylist(), batch.column("kind").to_pylist(), batch.column("payload").to_pylist()):
+        for block, bucket, kind, payload in zip(*(batch.column(c).to_pylist() for c in ("block", "bucket", "kind", "payload"))):
+            if bucket != at and at is not None:
+                yield pairs, words
+                pairs, words = [], []
+            at = bucket
             keys, counts = unpack(payload)
             (pairs if kind == 1 else words).append((block, keys, counts))
-    return pairs, words
+    if at is not None:
+        yield pairs, words
 
 
 def _tops(batches):
     """Sums of node values at depth SPLIT, by the depth above (kind 1); token totals (kind 2)."""
-    pairs, words = _gathered(batches)
-    if pairs:
-        keys, counts = summed(np.concatenate([p[1] for p in pairs]), np.concatenate([p[2] for p in pairs]))
-        for _, node, zeros, ones, value in _subtree(keys, counts):
-            up = ((node >> np.uint64(16)) << np.uint64(8)) | (node & np.uint64(255))
-            u, inv = np.unique(up, return_inverse=True)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(u), np.int32)), pa.array(u.astype(np.int64)), *[pa.array(np.bincount(inv, x, len(u))) for x in (zeros, ones, value)]], names=["kind", "node", "zeros", "ones", "value"])
-    if words:
-        _, counts = summed(np.concatenate([w[1] for w in words]), np.concatenate([w[2] for w in words]))
-        yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.array([0], pa.int64()), pa.array([float(counts.sum())]), pa.array([float((counts > 0).sum())]), pa.array([0.0])], names=["kind", "node", "zeros", "ones", "value"])
+    for pairs, words in _gathered(batches):
+        if pairs:
+            keys, counts = summed(np.concatenate([p[1] for p in pairs]), np.concatenate([p[2] for p in pairs]))
+            for _, node, zeros, ones, value in _subtree(keys, counts):
+                up = ((node >> np.uint64(16)) << np.uint64(8)) | (node & np.uint64(255))
+                u, inv = np.unique(up, return_inverse=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(u), np.int32)), pa.array(u.astype(np.int64)), *[pa.array(np.bincount(inv, x, len(u))) for x in (zeros, ones, value)]], names=["kind", "node", "zeros", "ones", "value"])
+        if words:
+            _, counts = summed(np.concatenate([w[1] for w in words]), np.concatenate([w[2] for w in words]))
+            yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.array([0], pa.int64()), pa.array([float(counts.sum())]), pa.array([float((counts > 0).sum())]), pa.array([0.0])], names=["kind", "node", "zeros", "ones", "value"])
 
 
 def _upper(node: np.ndarray, zeros: np.ndarray, ones: np.ndarray, value: np.ndarray):
@@ -287,7 +294,11 @@ def _upper(node: np.ndarray, zeros: np.ndarray, ones: np.ndarray, value: np.ndar
 def _values(batches, shared):
     """Log10 probabilities of each block's pairs (kind 1) and base terms of its tokens (kind 2)."""
     upper, n, v = shared.value
-    pairs, words = _gathered(batches)
+    for pairs, words in _gathered(batches):
+        yield from _bucket_values(pairs, words, upper, n, v)
+
+
+def _bucket_values(pairs, words, upper, n: float, v: float):
     if pairs:
         keys, counts = summed(np.concatenate([p[1] for p in pairs]), np.concatenate([p[2] for p in pairs]))
         total = np.zeros(len(keys))
@@ -309,7 +320,7 @@ def _values(batches, shared):
             bit = ((keys >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
             total += np.log10(np.where(bit, p, 1 - p))
         for block, mine, _ in pairs:
-            yield _row(block, -1, 1, pack(mine, total[np.searchsorted(keys, mine)].astype(np.float32)))
+            yield _row(block, -1, 1, pack(mine, total[np.searchsorted(keys, mine)]))
     if words:
         keys, counts = summed(np.concatenate([w[1] for w in words]), np.concatenate([w[2] for w in words]))
         base = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
@@ -359,8 +370,9 @@ def score(docs: DataFrame, text: str = "text") -> DataFrame:
     spark = docs.sparkSession
     n = partitions(spark)
     slim = docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string").alias("text"))
-    blocks = written(slim.mapInArrow(lambda it: _blocks(it, n), _SCHEMA))
-    dealt = blocks.where("kind > 0").repartition(n, "bucket")
+    buckets = max(n, BUCKETS)
+    blocks = written(slim.mapInArrow(lambda it: _blocks(it, buckets), _SCHEMA))
+    dealt = blocks.where("kind > 0").repartition(n, "bucket").sortWithinPartitions("bucket")
     tops = dealt.mapInArrow(_tops, "kind int, node long, zeros double, ones double, value double").groupBy("kind", "node").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("value").alias("value"))
     # at most 256^2 contexts of two bytes x 255 decisions
     top = tops.toArrow()

@@ -7,14 +7,17 @@ reaches LENGTH - 1 bytes into the next.  The parse is the list of phrases with t
 holds each distinct phrase text once.
 
 Sorting the parse by (trigger, phrase, document, place) gives each phrase's occurrences in corpus order: all
-but the first are repeated as a whole.  Only first occurrences whose trigger heads several phrases of the
-dictionary can hold windows that also occur in another phrase; for those the dictionary's suffixes, cut at
-LENGTH bytes, are sorted by their hash together with their place in the corpus, and again all but the first
-are repeated.  Hashes are 64 bits; a phrase's is joined by 48 bits of its trigger's.
+but the first are repeated as a whole.  Phrases are told apart by 112 bits of hash, 64 of their text and 48 of
+their trigger.  Only first occurrences whose trigger heads several phrases of the dictionary can hold windows
+that also occur in another phrase.  For those a suffix array of the dictionary is built, by prefix doubling of
+ranks over the phrases' bytes up to LENGTH bytes, trigger by trigger, since equal windows have equal triggers.
+Suffixes of equal rank by LENGTH bytes are equal as bytes; put in corpus order by their phrase's place in the
+parse, all but the first are repeated.  A phrase reaches far enough that no suffix of LENGTH bytes runs over
+its end, so the order among parse suffixes beyond the phrase is never needed.
 
 Edge cases: a null text is empty; a null doc_id sorts first; rows of one doc_id are told apart by their
 text's hash, and rows equal in both are one document (each returned with the same result); texts shorter
-than LENGTH lose nothing; very long texts are parsed in overlapping pieces; extra columns are ignored; an
+than LENGTH lose nothing; very long texts are parsed in overlapping pieces; extra columns of any name are ignored; an
 empty table gives an empty result.
 """
 
@@ -31,6 +34,8 @@ from pyspark.sql import functions as F
 from .common import mix, pack, partitions, ragged, texts, unpack, written
 
 K = 32
+#: Parts that triggers are dealt to, at least (a task holds one at a time), and bytes of dictionary that are sorted at a time.
+BUCKETS, SPAN = 256, 4 << 20
 _PIECE = 2 << 20
 _SCHEMA = "bucket int, kind int, payload binary"
 _BASE = np.uint64(0x2545F4914F6CDD1D | 1)
@@ -142,35 +147,47 @@ def _parse(batches, length: int, buckets: int):
         yield from emit()
 
 
-def _deal(kind: int, ids, tags, at, count, blocks: int):
-    """Places to the blocks of their documents."""
+def _deal(kind: int, ids, tags, at, count, blocks: int, *more):
+    """Places, with more columns, to the blocks of their documents."""
     of = (mix(ids.view(np.uint64) ^ tags) % np.uint64(blocks)).astype(np.int64)
     order = np.lexsort((at, tags, ids, of))
     ends = np.cumsum(np.bincount(of, minlength=blocks))
     for b in range(blocks):
         some = order[ends[b - 1] if b else 0 : ends[b]]
         if len(some):
-            yield _row(b, kind, pack(ids[some], tags[some], at[some], count[some]))
+            yield _row(b, kind, pack(ids[some], tags[some], at[some], count[some], *[x[some] for x in more]))
+
+
+def _buckets(batches):
+    """The unpacked blobs of each bucket of a partition sorted by bucket."""
+    at, blobs = None, []
+    for batch in batches:
+        for bucket, payload in zip(batch.column("bucket").to_pylist(), batch.column("payload").to_pylist()):
+            if bucket != at and blobs:
+                yield blobs
+                blobs = []
+            at = bucket
+            blobs.append(unpack(payload))
+    if blobs:
+        yield blobs
 
 
 def _match(batches, blocks: int):
     """Phrases by trigger: repeated ones (kind 1), and firsts that need a look at their windows (kind 2)."""
-    blobs = [unpack(p) for batch in batches for p in batch.column("payload").to_pylist()]
-    if not blobs:
-        return
-    trigger, text, ids, tags, at, count = (np.concatenate([b[i] for b in blobs]) for i in range(6))
-    del blobs
-    order = np.lexsort((at, tags, ids, text, trigger))
-    trigger, text, ids, tags, at, count = (x[order] for x in (trigger, text, ids, tags, at, count))
-    same = (trigger[1:] == trigger[:-1]) & (text[1:] == text[:-1])
-    twin = np.append(False, same & (ids[1:] == ids[:-1]) & (tags[1:] == tags[:-1]) & (at[1:] == at[:-1]))  # a row given twice
-    first = np.append(True, ~same)
-    later = ~first & ~twin
-    run = np.cumsum(np.append(True, trigger[1:] != trigger[:-1])) - 1
-    several = np.bincount(run, first)[run] > 1
-    yield from _deal(1, ids[later], tags[later], at[later], count[later], blocks)
-    look = first & several
-    yield from _deal(2, ids[look], tags[look], at[look], count[look], blocks)
+    for blobs in _buckets(batches):
+        trigger, text, ids, tags, at, count = (np.concatenate([b[i] for b in blobs]) for i in range(6))
+        del blobs
+        order = np.lexsort((at, tags, ids, text, trigger))
+        trigger, text, ids, tags, at, count = (x[order] for x in (trigger, text, ids, tags, at, count))
+        same = (trigger[1:] == trigger[:-1]) & (text[1:] == text[:-1])
+        twin = np.append(False, same & (ids[1:] == ids[:-1]) & (tags[1:] == tags[:-1]) & (at[1:] == at[:-1]))  # a row given twice
+        first = np.append(True, ~same)
+        later = ~first & ~twin
+        run = np.cumsum(np.append(True, trigger[1:] != trigger[:-1])) - 1
+        several = np.bincount(run, first)[run] > 1
+        yield from _deal(1, ids[later], tags[later], at[later], count[later], blocks)
+        look = first & several
+        yield from _deal(2, ids[look], tags[look], at[look], count[look], blocks, trigger[look])
 
 
 def _texts(batches, blocks: int):
@@ -195,59 +212,80 @@ def _split(table: pa.Table):
             docs += [(i, t, flat[e - n : e]) for i, t, e, n in zip(ids.tolist(), tags.tolist(), ends.tolist(), sizes.tolist())]
         else:
             marks.setdefault(kind, []).append(got)
-    return docs, {k: [np.concatenate([g[i] for g in v]) for i in range(4)] for k, v in marks.items()}
+    return docs, {k: [np.concatenate([g[i] for g in v]) for i in range(len(v[0]))] for k, v in marks.items()}
 
 
 def _by_document(mark):
-    """(id, tag) -> (places, counts)."""
-    ids, tags, at, count = mark
+    """(id, tag) -> (places, counts, ...)."""
+    ids, tags, at, count, *more = mark
     order = np.lexsort((at, tags, ids))
-    ids, tags, at, count = ids[order], tags[order], at[order], count[order].astype(np.int64)
+    ids, tags, at, count, *more = (x[order] for x in (ids, tags, at, count.astype(np.int64), *more))
     start = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1]))) if len(ids) else []
-    return {(int(ids[s]), int(tags[s])): (at[s:e], count[s:e]) for s, e in zip(start, np.append(start[1:], len(ids)) if len(ids) else [])}
+    return {(int(ids[s]), int(tags[s])): tuple(x[s:e] for x in (at, count, *more)) for s, e in zip(start, np.append(start[1:], len(ids)) if len(ids) else [])}
 
 
-def _windows(table: pa.Table, length: int, buckets: int) -> pa.Table:
-    """Suffixes of first phrases, cut at `length` bytes, as hashes with their places (kind 3)."""
+def _phrase_texts(table: pa.Table, length: int, buckets: int) -> pa.Table:
+    """The dictionary's phrases of a block that need a look, with their bytes and places, by trigger (kind 3)."""
     docs, marks = _split(table)
     look = _by_document(marks[2]) if 2 in marks else {}
-    got, seen = [], set()
+    got, flat, seen = [], [], set()
     for i, t, raw in docs:
         if (i, t) not in look or (i, t) in seen:
             continue
         seen.add((i, t))
-        at, count = look[i, t]
-        places = ragged(at, count)
-        for cut in range(0, len(raw), _PIECE):
-            mine = places[(places >= cut) & (places < cut + _PIECE)]
-            if len(mine):
-                prefix, down = _prefix(np.frombuffer(raw[cut : cut + _PIECE + length - 1], np.uint8))
-                m = mine - cut
-                h = mix((prefix[m + length] - prefix[m]) * down[m])
-                got.append((h, np.full(len(m), i, np.int64), np.full(len(m), t, np.uint64), mine))
+        at, count, trigger = look[i, t]
+        flat += [raw[a : a + n + length - 1] for a, n in zip(at.tolist(), count.tolist())]
+        got.append((trigger, np.full(len(at), i, np.int64), np.full(len(at), t, np.uint64), at, count))
     rows = []
     if got:
-        h, ids, tags, at = (np.concatenate([g[k] for g in got]) for k in range(4))
-        of = (h % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((h, of))
+        cols = [np.concatenate([g[k] for g in got]) for k in range(5)]
+        of = (mix(cols[0]) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(of, kind="stable")
         ends = np.cumsum(np.bincount(of, minlength=buckets))
         for b in range(buckets):
             some = order[ends[b - 1] if b else 0 : ends[b]]
             if len(some):
-                rows.append(_row(b, 3, pack(h[some], ids[some], tags[some], at[some])))
+                rows.append(_row(b, 3, pack(*[c[some] for c in cols], np.frombuffer(b"".join(flat[k] for k in some), np.uint8))))
     return pa.Table.from_batches(rows, schema=pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("payload", pa.binary())]))
 
 
-def _later(batches, blocks: int):
-    """Windows by hash: all but the first of equals (kind 1)."""
-    blobs = [unpack(p) for batch in batches for p in batch.column("payload").to_pylist()]
-    if not blobs:
-        return
-    h, ids, tags, at = (np.concatenate([b[i] for b in blobs]) for i in range(4))
-    order = np.lexsort((at, tags, ids, h))
-    h, ids, tags, at = h[order], ids[order], tags[order], at[order]
-    later = np.append(False, h[1:] == h[:-1])
-    yield from _deal(1, ids[later], tags[later], at[later], np.ones(int(later.sum()), np.uint8), blocks)
+def suffix_ranks(buf: np.ndarray, length: int) -> np.ndarray:
+    """Rank of each place's `length` bytes among all places of `buf`, by prefix doubling from 8 bytes (length 8 or more); places nearer to the end than `length` have none that counts."""
+    padded = np.append(buf, np.zeros(length, np.uint8)).astype(np.uint64)
+    n = len(buf)
+    key = np.zeros(n, np.uint64)
+    for k in range(8):
+        key = (key << np.uint64(8)) | padded[k : k + n]
+    rank, have = np.unique(key, return_inverse=True)[1].astype(np.uint64), 8
+    while have < length:
+        step = min(have, length - have)
+        ahead = np.append(rank[step:], np.zeros(step, np.uint64))
+        rank = np.unique((rank << np.uint64(32)) | ahead, return_inverse=True)[1].astype(np.uint64)
+        have += step
+    return rank
+
+
+def _later(batches, blocks: int, length: int):
+    """Windows of the dictionary in the order of its suffix array: all but the first of equals in the corpus (kind 1)."""
+    for blobs in _buckets(batches):
+        trigger, ids, tags, at, count, buf = (np.concatenate([b[i] for b in blobs]) for i in range(6))
+        del blobs
+        size = count + length - 1
+        start = np.cumsum(size) - size
+        # whole triggers at a time, of some SPAN bytes; a trigger's phrases are distinct, so it grows with the dictionary only
+        order = np.argsort(trigger, kind="stable")
+        run = np.cumsum(np.append(True, trigger[order][1:] != trigger[order][:-1])) - 1
+        part = (np.cumsum(np.bincount(run, size[order])) // SPAN).astype(np.int64)[run]
+        for cut in np.split(order, np.flatnonzero(part[1:] != part[:-1]) + 1):
+            mine = buf[ragged(start[cut], size[cut])]
+            first = np.cumsum(size[cut]) - size[cut]
+            spot, phrase = ragged(first, count[cut]), np.repeat(cut, count[cut])
+            rank = suffix_ranks(mine, length)[spot]
+            i, t, a = ids[phrase], tags[phrase], at[phrase] + spot - np.repeat(first, count[cut])
+            in_order = np.lexsort((a, t, i, rank))
+            rank, i, t, a = (x[in_order] for x in (rank, i, t, a))
+            again = np.append(False, rank[1:] == rank[:-1])
+            yield from _deal(1, i[again], t[again], a[again], np.ones(int(again.sum()), np.uint8), blocks)
 
 
 def _remove(table: pa.Table, length: int, keep_text: bool) -> pa.Table:
@@ -258,7 +296,7 @@ def _remove(table: pa.Table, length: int, keep_text: bool) -> pa.Table:
         removed = spans = 0
         kept = raw
         if (i, t) in gone:
-            at, count = gone[i, t]
+            at, count = gone[i, t][:2]
             end = np.maximum.accumulate(at + count + length - 1)
             new = np.append(True, at[1:] > end[:-1])
             s, e = at[new], np.append(end[:-1][new[1:]], end[-1])
@@ -284,11 +322,12 @@ def dedup(docs: DataFrame, length: int = 100, text: str = "text", keep_text: boo
     if length < 2 * K or length - K + 1 > 255:
         raise ValueError(f"length must be {2 * K} to {K + 254}")
     n = partitions(docs.sparkSession)
+    buckets = max(n, BUCKETS)
     slim = docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string").alias("text"))
-    parse = slim.mapInArrow(lambda it: _parse(it, length, n), _SCHEMA)
-    matched = written(parse.repartition(n, "bucket").mapInArrow(lambda it: _match(it, n), _SCHEMA))
+    parse = slim.mapInArrow(lambda it: _parse(it, length, buckets), _SCHEMA)
+    matched = written(parse.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _match(it, n), _SCHEMA))
     packed = slim.mapInArrow(lambda it: _texts(it, n), _SCHEMA)
-    looked = packed.unionByName(matched.where("kind = 2")).groupBy("bucket").applyInArrow(lambda t: _windows(t, length, n), _SCHEMA)
-    later = looked.repartition(n, "bucket").mapInArrow(lambda it: _later(it, n), _SCHEMA)
+    looked = packed.unionByName(matched.where("kind = 2")).groupBy("bucket").applyInArrow(lambda t: _phrase_texts(t, length, buckets), _SCHEMA)
+    later = looked.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _later(it, n, length), _SCHEMA)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if keep_text else "")
     return packed.unionByName(matched.where("kind = 1")).unionByName(later).groupBy("bucket").applyInArrow(lambda t: _remove(t, length, keep_text), schema)

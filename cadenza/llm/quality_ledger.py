@@ -34,11 +34,12 @@ def mask(policy: str) -> int:
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add the measurements n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_upper, n_bang.
 
-    Words are runs without ASCII white space.  Repeated 3-word windows are found inside the row: where two
-    of its windows have equal hashes of 64 bits, hashes are sorted with their places, which brings equal
-    windows together, and the places are sorted again to count the words that such windows cover.
+    Words are runs without ASCII white space.  Repeated 3-word windows are found inside the row, by equal
+    hashes of 64 bits: each carries its place in the low bits, a primitive sort brings equal ones together, and
+    the places are sorted again to count the words that such windows cover.  The bits given up to the place are
+    compared afterwards; a text in which they differ between neighbours sorts its whole hashes.
     """
-    none = "cast(array() as array<bigint>)"
+    none, place = "cast(array() as array<bigint>)", "(shiftleft(1L, __b) - 1)"
     out = (
         docs.withColumn("__t", F.coalesce(F.col(text), F.lit("")))
         .withColumn("__w", F.array_remove(F.split("__t", r"[ \x09-\x0D]+"), ""))
@@ -54,11 +55,17 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         .withColumn("n_upper", F.length("__m").cast("long") - F.col("n_symbols") - F.col("n_bang"))
         # a window's hash: its words' hashes, shifted against each other
         .withColumn("__h", F.expr(f"if(n_words < 4, {none}, transform(slice(__x, 1, cast(n_words as int) - 2), (v, i) -> v ^ shiftleft(__x[i + 1], 1) ^ shiftleft(__x[i + 2], 2)))"))
-        .withColumn("__s", F.expr("if(size(array_distinct(__h)) = size(__h), cast(array() as array<struct<v: bigint, i: bigint>>), sort_array(transform(__h, (v, i) -> struct(v as v, cast(i as bigint) as i))))"))
-        .withColumn("__p", F.expr("sort_array(transform(filter(__s, (x, i) -> coalesce(x.v = get(__s, i + 1).v, false) or coalesce(x.v = get(__s, i - 1).v, false)), x -> x.i))"))
+        .withColumn("__b", F.expr("length(bin(n_words))"))
+        .withColumn("__s", F.expr(f"if(size(array_distinct(__h)) = size(__h), {none}, sort_array(transform(__h, (v, i) -> shiftleft(shiftright(v, __b), __b) | i)))"))
+        # the places of neighbours whose upper bits agree; where their whole hashes differ, whole hashes are sorted instead
+        .withColumn("__mixed", F.expr(f"exists(transform(__s, (v, i) -> shiftright(v ^ get(__s, i + 1), __b) = 0 and get(__h, cast(v & {place} as int)) <> get(__h, cast(get(__s, i + 1) & {place} as int))), x -> coalesce(x, false))"))
+        .withColumn("__e", F.expr("if(__mixed, sort_array(transform(__h, (v, i) -> struct(v as v, cast(i as bigint) as i))), cast(array() as array<struct<v: bigint, i: bigint>>))"))
+        .withColumn("__p", F.expr(f"""if(__mixed,
+            sort_array(transform(filter(__e, (x, i) -> coalesce(x.v = get(__e, i + 1).v, false) or coalesce(x.v = get(__e, i - 1).v, false)), x -> x.i)),
+            sort_array(transform(filter(__s, (v, i) -> coalesce(shiftright(v ^ get(__s, i + 1), __b) = 0, false) or coalesce(shiftright(v ^ get(__s, i - 1), __b) = 0, false)), v -> v & {place})))"""))
         .withColumn("n_repeat_words", F.expr("aggregate(transform(__p, (v, i) -> least(3L, get(__p, i + 1) - v)), 0L, (a, v) -> a + v)"))
     )
-    return out.drop("__t", "__w", "__x", "__m", "__h", "__s", "__p", "__l")
+    return out.drop("__t", "__w", "__x", "__m", "__b", "__mixed", "__e", "__h", "__s", "__p", "__l")
 
 
 def rules() -> dict[str, Column]:

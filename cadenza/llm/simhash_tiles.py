@@ -254,7 +254,7 @@ _MULTIPLIERS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0
 _FPS = [f"f{i}" for i in range(WIDE)]
 _WIDE_SCHEMA = "doc_id long, text_key long, id long, bands array<bigint>, " + ", ".join(f"{f} long" for f in _FPS)
 #: Texts and bytes of shingle hashes of one block of exact comparison.
-_MEMBERS, _BYTES = 1024, 8 << 20
+_MEMBERS, _BYTES = 512, 4 << 20
 
 
 def _bands(parts: list[np.ndarray]) -> np.ndarray:
