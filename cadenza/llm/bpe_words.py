@@ -278,7 +278,10 @@ def _assemble(table: pa.Table, ranks, ids_too: bool) -> pa.Table:
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: bool = False, span: int = SPAN) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256, n_bytes[, ids array<int>]) for every row of `docs`."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, n_bytes[, ids array<int>]) for every row of `docs`.
+
+    pattern: one of the GPT family, in which a single space between two other characters opens the next pre-token.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(ranks)

@@ -60,6 +60,27 @@ def op5_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", F.col("__tokens").alias("n_tokens"), F.round("__weight", 6).alias("weight"), F.col("__block").alias("block"), "copies")
 
 
+_DRAW = "('0x' || substr(md5({} || ':' || {}), 1, 15))::BIGINT"
+OP5_SQL = rf"""
+WITH RECURSIVE b AS (SELECT doc_id, source, coalesce('=' || source, 'null') AS s, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS n FROM documents),
+t AS (SELECT s, sum(n)::BIGINT AS total FROM b GROUP BY s),
+k AS (SELECT count(*) AS k, max(total) / min(total) AS ratio FROM t WHERE total > 0),
+ex AS (SELECT 0 AS r, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high UNION ALL
+       SELECT r + 1, low + (high - low) * (i - 1) / 15, low + (high - low) * i / 15
+       FROM (SELECT r, low, high, list_min(list_filter(range(0, 16), lambda j: pow(ratio, 1 - (low + (high - low) * j / 15)) <= 2.0)) AS i FROM ex, k) WHERE r < 8 AND i > 0),
+a AS (SELECT CASE WHEN k <= 1 THEN 1.0 WHEN ratio <= 2.0 THEN 0.0 ELSE (SELECT arg_max(high, r) FROM ex) END AS a FROM k),
+z AS (SELECT sum(pow(total::DOUBLE, a)) AS z, max(total / pow(total::DOUBLE, a)) AS r FROM t, a WHERE total > 0),
+w AS (SELECT s, total, CASE WHEN total > 0 THEN pow(total::DOUBLE, a) / z ELSE 0 END AS weight, CASE WHEN total > 0 THEN round(pow(total::DOUBLE, a) / z * (r * z))::BIGINT END AS target FROM t, a, z),
+w2 AS (SELECT s, weight, coalesce(target // greatest(total, 1), 1) AS passes, coalesce(target % greatest(total, 1), 0) AS rest, greatest(1, ceil(total / 200000))::BIGINT AS blocks FROM w),
+p AS (SELECT *, (block * 2147483647 + {_DRAW.format("'18'", "s")}) % blocks AS place FROM (SELECT b.*, weight, passes, rest, blocks, {_DRAW.format("'17'", "coalesce(doc_id::VARCHAR, 'null')")} % blocks AS block FROM b JOIN w2 USING (s))),
+c AS (SELECT s, place, rest, sum(n) AS size, sum(sum(n)) OVER (PARTITION BY s ORDER BY place) AS upto FROM p WHERE rest > 0 GROUP BY s, place, rest),
+e AS (SELECT s, place AS edge, rest - upto + size AS l FROM c WHERE upto > rest AND upto - size <= rest AND size > 0),
+d AS (SELECT s, id, sum(size) OVER (PARTITION BY s ORDER BY {_DRAW.format("'19'", "id")}, id) <= l AS taken FROM (SELECT p.s, coalesce(doc_id::VARCHAR, 'null') AS id, l, sum(n) AS size FROM p JOIN e ON e.s = p.s AND e.edge = p.place GROUP BY ALL))
+SELECT doc_id, source, n AS n_tokens, round(weight, 6) AS weight, block, passes + CASE WHEN place < edge OR (place = edge AND taken) THEN 1 ELSE 0 END AS copies
+FROM p LEFT JOIN e ON e.s = p.s LEFT JOIN d ON d.s = p.s AND d.id = coalesce(doc_id::VARCHAR, 'null')
+"""
+
+
 def op6_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_polytope.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -91,4 +112,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_context_tree, op2_line_suffixes, op3_simhash_tiles, op4_quality_ledger, op5_temperature_mix, op6_cross_polytope, op7_phrase_parsing, op8_slot_sharding, op9_bpe_words, op10_toxic_sentences, pipeline)}
-ORACLES = {"op4_quality_ledger": OP4_SQL}
+ORACLES = {"op4_quality_ledger": OP4_SQL, "op5_temperature_mix": OP5_SQL}

@@ -374,3 +374,190 @@ def test_pipeline_exact(spark, tmp_path):
         ids = enc.encode_ordinary(t)
         want[d] = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
     assert {r.doc_id: (r.n_tokens, r.ids_sha256) for r in got} == want
+
+
+def test_clashing_names(spark, docs):
+    """Extra columns may have any name that does not start with two underscores."""
+    names = ["d", "h", "gone", "pos", "run", "id", "fp", "key", "root", "component_id", "n", "u", "v", "block", "bucket", "kind", "slot", "shard", "n_words", "fail_bits", "copies", "label", "flagged"]
+    x = docs.select("*", *[docs["n_chars"].alias(c) for c in names])
+    assert line_suffixes.dedup(x).columns == [*x.columns, "__lines", "__removed", "__longest"] and line_suffixes.keep(x).columns == x.columns
+    assert simhash_tiles.near_duplicates(x).count() == x.count() and simhash_tiles.keep_one(x).columns == x.columns
+    assert quality_ledger.keep(x, "base").columns == x.columns and quality_ledger.ledger(x).count() == x.count()
+    assert temperature_mix.realise(x).columns == x.columns
+    assert context_tree.score(x).count() == phrase_parsing.dedup(x).count() == x.count()
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    assert bpe_words.encode(x, {bytes([b]): b for b in range(256)}, public_tokenizers.PATTERN).count() == x.count()
+    assert toxic_sentences.score(x, ({}, -6.0, 1.0, 0.0), locate=True).count() == x.count()
+    for key in ("slot", "shard", "doc_id"):
+        assert slot_sharding.place(x, key, ["a", "b"], 251).count() == x.count()
+    vectors = spark.createDataFrame([(1, [1.0, 0.0], 0, 5, 6), (2, [1.0, 0.0], 0, 5, 6)], "vec_id long, embedding array<double>, label int, id int, row int")
+    assert [r.n_links for r in cross_polytope.near_duplicates(vectors).collect()] == [1, 1]
+
+
+def test_very_long_texts(spark):
+    """Texts of over 4 MB, with a passage in common."""
+    import tiktoken
+    import xxhash
+
+    rnd = random.Random(31)
+    words = [f"w{k}" for k in range(3000)]
+    make = lambda n: " ".join(rnd.choices(words, k=n))
+    first, passage = make(800_000), make(60_000)
+    long = {1: first + "\n" + passage, 2: passage + "\n" + make(20), 3: "kurz"}
+    x = table(spark, [(i, t, "s") for i, t in long.items()])
+    assert len(long[1]) > 4 << 20
+    got = {r.doc_id: r for r in phrase_parsing.dedup(x).collect()}
+    assert got[1].n_removed == 0 and len(passage) <= got[2].n_removed <= len(passage) + 2 and got[2].n_spans == 1
+    lines = {r.doc_id: r["__removed"] for r in line_suffixes.dedup(x).collect()}
+    assert lines == {1: 0, 2: 1, 3: 0}
+    led = {r.doc_id: r for r in quality_ledger.ledger(x).collect()}
+    for i, t in long.items():
+        w = t.split()
+        grams = Counter(zip(w, w[1:], w[2:]))
+        again = {i + k for i, g in enumerate(zip(w, w[1:], w[2:])) if grams[g] > 1 for k in range(3)}
+        assert (led[i].n_words, led[i].n_repeat_words) == (len(w), len(again))
+    prints = {r.doc_id: r.fingerprint for r in simhash_tiles.near_duplicates(x).collect()}
+    w = long[1].encode().split()
+    hashes = np.array([xxhash.xxh64_intdigest(b" ".join(w[i : i + 3]), 42) for i in range(len(w) - 2)], np.uint64)
+    assert prints[1] == f"{sum(1 << k for k in range(64) if 2 * int(((hashes >> np.uint64(k)) & np.uint64(1)).sum()) > len(hashes)):016x}"
+    assert {r.doc_id: r.component_id for r in simhash_tiles.similar_groups(x).collect()} == {1: 1, 2: 2, 3: 3}
+    assert {r.doc_id: r["__tokens"] for r in temperature_mix.plan(x).collect()} == {i: len(t.split()) for i, t in long.items()}
+    ranks = {bytes([b]): b for b in range(256)} | {b"w1": 256}
+    pattern = pytest.importorskip("public_tokenizers").PATTERN
+    enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    coded = {r.doc_id: (r.n_tokens, r.decoded_sha256) for r in bpe_words.encode(x, ranks, pattern).collect()}
+    assert coded == {i: (len(enc.encode_ordinary(t)), hashlib.sha256(t.encode()).hexdigest()) for i, t in long.items()}
+    scored = {r.doc_id: r for r in context_tree.score(x).collect()}
+    assert scored[1].n_tokens == len(long[1].split()) + 1 and scored[1].score < scored[3].score < 0
+    assert {r.doc_id: r.predicted for r in toxic_sentences.score(x, ({b"w7": 20.0}, -6.0, 1.0, 0.0)).collect()} == {1: 1, 2: 1, 3: 0}
+
+
+def test_context_tree_scores(spark):
+    """score, from the contexts of all depths, by the defining recursion."""
+    import zlib
+    from functools import cache
+    from math import exp, lgamma, log, log10, pi
+
+    rows = [(i, t, "s") for i, t in enumerate(["abra cadabra", "abracadabra", "Cad bra", "", None, "zebra abra", "abra abra cad", "xyz", "bracad"])]
+    held = lambda d: zlib.crc32(str(d).encode()) % 5 == 1
+    assert len({held(i) for i, _, _ in rows}) == 2
+    padded = {i: b"\n" * 5 + b" ".join((t or "").lower().encode().split()) + b"\n" for i, t, _ in rows}
+    events = [(raw[k - 5 : k], raw[k]) for i, raw in padded.items() if not held(i) for k in range(5, len(raw))]
+
+    @cache
+    def counts(context, k, prefix):
+        bits = [(s >> (7 - k)) & 1 for c, s in events if c.endswith(context) and s >> (8 - k) == prefix]
+        return len(bits) - sum(bits), sum(bits)
+
+    def kt(a, b):
+        return lgamma(a + 0.5) + lgamma(b + 0.5) - lgamma(a + b + 1) - log(pi)
+
+    @cache
+    def weighted(context, k, prefix):
+        own = kt(*counts(context, k, prefix))
+        if len(context) == 5:
+            return own, 0.0
+        children = {c[4 - len(context) :] for c, s in events if c.endswith(context)}
+        return own, sum(np.logaddexp(log(0.5) + weighted(c, k, prefix)[0], log(0.5) + weighted(c, k, prefix)[1]) if len(c) < 5 else weighted(c, k, prefix)[0] for c in children)
+
+    def score(raw):
+        total = 0.0
+        for at in range(5, len(raw)):
+            for k in range(8):
+                prefix, p, unseen = raw[at] >> (8 - k), None, True
+                for depth in range(5, -1, -1):
+                    context = raw[at - depth : at]
+                    a, b = counts(context, k, prefix)
+                    mine = (b + 0.5) / (a + b + 1)
+                    own, below = weighted(context, k, prefix)
+                    w = exp(own - np.logaddexp(own, below))
+                    p = mine if depth == 5 or unseen else w * mine + (1 - w) * p
+                    unseen = unseen and a + b == 0 if depth < 5 else a + b == 0
+                total += log10(p if (raw[at] >> (7 - k)) & 1 else 1 - p)
+        return total
+
+    got = {r.doc_id: r.score for r in context_tree.score(table(spark, rows)).collect()}
+    for i, raw in padded.items():
+        assert got[i] == pytest.approx(score(raw), abs=1e-7), rows[i]
+
+
+def test_blocks_of_fingerprints(spark, docs):
+    """Groups cut into blocks give the groups that whole ones give."""
+    prints = simhash_tiles.fingerprints(docs)
+    rnd = random.Random(5)
+    near = spark.createDataFrame([(1000 + i, sum(1 << b for b in rnd.sample(range(64), 2)) - (1 << 63)) for i in range(150)], "doc_id long, fp long")
+    x = prints.unionByName(near)
+    key = lambda r: (str(r.doc_id), r.fp, str(r.component_id))
+    whole, cut = (sorted(map(key, simhash_tiles.group(x, 2, block).collect())) for block in (4096, 7))
+    assert whole == cut and len({k[2] for k in whole if int(k[0]) >= 1000} if "None" not in {k[0] for k in whole} else {k[2] for k in whole if k[0] != "None" and int(k[0]) >= 1000}) < 150
+
+
+def test_hot_components(spark):
+    """A hub, a long chain and many pairs."""
+    from cadenza.llm.common import components
+
+    pairs = [(0, k) for k in range(1, 3000)] + [(10_000 + k, 10_001 + k) for k in range(200)] + [(20_000 + 2 * k, 20_001 + 2 * k) for k in range(500)]
+    random.Random(1).shuffle(pairs)
+    got = dict(map(tuple, components(spark.createDataFrame(pairs, "u long, v long").repartition(7)).collect()))
+    assert all(got[k] == 0 for k in range(3000)) and all(got[10_000 + k] == 10_000 for k in range(201)) and all(got[20_001 + 2 * k] == 20_000 + 2 * k for k in range(500))
+
+
+def test_sharding_fill():
+    """The table filled by plain turns over written-out permutations."""
+    shards, size = ["x", "y", "z"], 31
+    order = []
+    for s in shards:
+        d = hashlib.sha256(s.encode()).digest()
+        offset, stride = int.from_bytes(d[:8], "big") % size, int.from_bytes(d[8:16], "big") % (size - 1) + 1
+        order.append([(offset + k * stride) % size for k in range(size)])
+    taken: dict[int, int] = {}
+    turn = 0
+    while len(taken) < size:
+        taken[next(slot for slot in order[turn % 3] if slot not in taken)] = turn % 3
+        turn += 1
+    assert slot_sharding.lookup(shards, size) == [taken[k] for k in range(size)]
+
+
+def test_noisy_or(spark):
+    """Scores and flagged sentences against a plain noisy-or, ties and repeated rows among them."""
+    from math import exp, log
+
+    model = ({b"bad": 5.0, b"^wors": 3.0}, -4.0, 1.5, 0.25)
+    texts = ["bad day. good day", "worst thing\nworse bad thing! fine", "all good", "", None, "bad day. good day", "Bad! bad! BAD?"]
+    x = table(spark, [(i if i != 5 else 0, t, "s") for i, t in enumerate(texts)])
+    rows = sorted(toxic_sentences.score(x, model, locate=True).collect(), key=lambda r: (r.doc_id, r.score))
+    for r in rows:
+        t = texts[r.doc_id] or ""
+        sents = [s for s in __import__("re").split(r"[.!?]+\s+|\n+", t.lower()) if s.strip()] or [""]
+        z = []
+        for s in sents:
+            w = [k.strip(".,;:!?") for k in s.split()]
+            z.append(-4.0 - 1.5 * log(len(sents)) + sum(5.0 * (k == "bad") + 3.0 * (k.startswith("wors") and len(k) > 4) for k in w))
+        none = 1.0
+        for v in z:
+            none *= 1 - 1 / (1 + exp(-v))
+        want = 1 / (1 + exp(-(log((1 - none) / none) - 0.25)))
+        assert r.score == pytest.approx(want, rel=1e-9) and len(r.flagged) == r.n_flagged == sum(v > 0.25 for v in z)
+        assert all("bad" in t.lower()[f.start : f.start + f.length] or "wors" in t.lower()[f.start : f.start + f.length] for f in r.flagged)
+    assert len(rows) == len(texts) and len({r.score for r in rows if r.doc_id == 0}) == 1
+
+
+def test_mixing_ties_and_null_sources(spark):
+    rows = [(1, "a b c", None), (1, "a b c", None), (None, "a b", None), (2, "", "s"), (3, None, "s"), (4, "x " * 50, "s")]
+    got = temperature_mix.plan(table(spark, rows), repeats=2.0, block_tokens=3).collect()
+    assert len(got) == 6 and len({r.copies for r in got if r.doc_id == 1}) == 1 and min(r.copies for r in got) >= 1
+    # any number of blocks: a budget below one pass is met to the token
+    many = temperature_mix.plan(table(spark, [(i, "t", "s") for i in range(6000)]), entropy=0.0, budget=2500, block_tokens=1).collect()
+    assert sum(r.copies for r in many) == 2500 and len({r["__block"] for r in many}) > 3500
+    assert temperature_mix.realise(table(spark, [(i, "t", None) for i in range(60)]), entropy=0.0, budget=25, block_tokens=4).count() == 25
+
+
+def test_empty_pipeline(spark, empty, tmp_path):
+    import corpus_pipeline
+
+    from cadenza.llm.common import _made
+
+    empty.write.parquet(f"{tmp_path}/documents.parquet")
+    before = len(_made(spark))
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert got.count() == 0 and "ids" in got.columns and len(_made(spark)) == before
