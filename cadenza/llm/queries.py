@@ -25,6 +25,24 @@ def op2_line_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_suffixes.dedup(docs).select("doc_id", F.col("__lines").cast("long").alias("n_lines"), F.col("__removed").cast("long").alias("n_removed"), F.col("__longest").cast("long").alias("longest_run"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+OP2_SQL = r"""
+WITH t AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+l AS (SELECT doc_id, pos, words, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS upto
+      FROM (SELECT doc_id, pos, len(list_filter(regexp_split_to_array(l[pos], '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS pos FROM t))),
+b AS (SELECT *, upto - words AS before FROM l),
+x AS (SELECT b.doc_id, b.pos AS lo, e.pos AS hi FROM b ASOF JOIN (SELECT * FROM b WHERE words > 0) e ON b.doc_id = e.doc_id AND b.before + 20 <= e.upto
+      UNION SELECT b.doc_id, s.pos, b.pos FROM b ASOF JOIN (SELECT * FROM b WHERE words > 0) s ON b.doc_id = s.doc_id AND b.upto - 20 >= s.before),
+r AS (SELECT x.doc_id, lo, hi, row_number() OVER (PARTITION BY array_to_string(l[lo:hi], chr(10)) ORDER BY x.doc_id, lo) AS nth FROM x JOIN t ON t.doc_id = x.doc_id),
+g AS (SELECT DISTINCT doc_id, unnest(range(lo, hi + 1)) AS pos FROM r WHERE nth > 1),
+i AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM g) GROUP BY doc_id, k),
+m AS (SELECT doc_id, sum(n)::BIGINT AS n_removed, max(n)::BIGINT AS longest_run FROM i GROUP BY doc_id),
+p AS (SELECT doc_id, list(pos) AS gone FROM g GROUP BY doc_id)
+SELECT t.doc_id, len(l)::BIGINT AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(longest_run, 0) AS longest_run,
+       sha256(CASE WHEN gone IS NULL THEN coalesce(text, '') ELSE coalesce(array_to_string(list_filter(l, lambda y, k: NOT list_contains(gone, k)), chr(10)), '') END) AS kept_sha256
+FROM t LEFT JOIN m ON m.doc_id = t.doc_id LEFT JOIN p ON p.doc_id = t.doc_id
+"""
+
+
 def op3_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_tiles.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -85,10 +103,37 @@ def op6_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_polytope.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+OP6_SQL = """
+WITH RECURSIVE s AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+k AS (SELECT a.vec_id AS u, b.vec_id AS v FROM s a JOIN s b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+c AS (SELECT u, v FROM k UNION SELECT c.u, k.v FROM c JOIN k ON k.u = c.v),
+n AS (SELECT u, count(*) AS n FROM k GROUP BY u),
+m AS (SELECT u, min(v) AS v FROM c GROUP BY u)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(vec_id, coalesce(m.v, vec_id)) AS component_id, least(vec_id, coalesce(m.v, vec_id)) = vec_id AS kept
+FROM embeddings LEFT JOIN n ON n.u = vec_id LEFT JOIN m ON m.u = vec_id
+"""
+
+
 def op7_phrase_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_parsing.dedup(table(spark, sf_dir, "documents"))
 
 
+OP7_SQL = """
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p1 AS (SELECT doc_id, base, substr(h, 2 * base + 1, 2198) AS h FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2, 1000)) AS base FROM t)),
+w AS (SELECT doc_id, base + i AS i, substr(h, 2 * i + 1, 200) AS w FROM (SELECT doc_id, base, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM p1)),
+f AS (SELECT w, min((doc_id, i)) AS first FROM w GROUP BY w HAVING count(*) > 1),
+r AS (SELECT doc_id, i FROM w JOIN f USING (w) WHERE (doc_id, i) <> first),
+j AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM r)),
+s AS (SELECT doc_id, n, min(i) AS lo, max(i) + 100 AS hi FROM j GROUP BY doc_id, n),
+p AS (SELECT doc_id, lo, hi, lag(hi, 1, 0) OVER (PARTITION BY doc_id ORDER BY lo) AS upto FROM s),
+m AS (SELECT p.doc_id, count(*) AS n_spans, sum(hi - lo)::BIGINT AS n_removed, max(hi) AS hi, string_agg(substr(h, 2 * upto + 1, 2 * (lo - upto)), '' ORDER BY lo) AS kept FROM p JOIN t ON t.doc_id = p.doc_id GROUP BY p.doc_id)
+SELECT t.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept || substr(h, 2 * hi + 1), h))) AS kept_sha256
+FROM t LEFT JOIN m ON m.doc_id = t.doc_id
+"""
+
+
 def op8_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
     return slot_sharding.place(docs, "doc_id", SHARDS).select("doc_id", "n_bytes", "slot", "shard")
@@ -112,4 +157,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_context_tree, op2_line_suffixes, op3_simhash_tiles, op4_quality_ledger, op5_temperature_mix, op6_cross_polytope, op7_phrase_parsing, op8_slot_sharding, op9_bpe_words, op10_toxic_sentences, pipeline)}
-ORACLES = {"op4_quality_ledger": OP4_SQL, "op5_temperature_mix": OP5_SQL}
+ORACLES = {"op2_line_suffixes": OP2_SQL, "op4_quality_ledger": OP4_SQL, "op5_temperature_mix": OP5_SQL, "op6_cross_polytope": OP6_SQL, "op7_phrase_parsing": OP7_SQL}

@@ -561,3 +561,29 @@ def test_empty_pipeline(spark, empty, tmp_path):
     before = len(_made(spark))
     got = corpus_pipeline.run(spark, str(tmp_path))
     assert got.count() == 0 and "ids" in got.columns and len(_made(spark)) == before
+
+
+def test_sql_of_runs_vectors_and_strings(spark, tmp_path):
+    """The registered SQL of op2, op6 and op7 on planted runs, links and strings."""
+    duckdb = pytest.importorskip("duckdb")
+    from cadenza.llm import queries
+
+    rnd = random.Random(41)
+    line = lambda: " ".join(f"w{rnd.randrange(500)}é" for _ in range(rnd.choice([0, 1, 6, 25])))
+    shared = [[line() for _ in range(rnd.choice([2, 9]))] for _ in range(6)]
+    texts = ["\n".join(x for part in rnd.choices(shared, k=rnd.randrange(3)) + [[line()], [line(), ""]] for x in part) for _ in range(80)]
+    texts += [texts[3], texts[3] + "\n" + texts[3], "ab" * 300, "", None]
+    table(spark, [(i, t, "s") for i, t in enumerate(texts)]).write.parquet(f"{tmp_path}/documents.parquet")
+    gen = np.random.default_rng(41)
+    base = gen.normal(size=(20, 16)).astype("float32")
+    near = [(base[i % 20] + (i % 3) * 0.04 * gen.normal(size=16)).astype("float32").tolist() for i in range(120)]
+    rows = [(1000 - i, v, i % 20 if i % 7 else None) for i, v in enumerate(near)] + [(1, [0.0] * 16, 1), (2, None, 1), (3, [float("nan")] + [1.0] * 15, 1), (4, [], 1)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    for name, told in (("op2_line_suffixes", "n_removed"), ("op6_cross_polytope", "n_links"), ("op7_phrase_parsing", "n_removed")):
+        got = queries.QUERIES[name](spark, str(tmp_path))
+        found = con.execute(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLES[name]})").fetchall()
+        assert sorted(map(tuple, got.collect())) == sorted(found), name
+        assert sum(r[got.columns.index(told)] for r in found) > 100, name
