@@ -397,7 +397,17 @@ def review_tiers(spark, sf_dir):
     return review.tiers(_pairs(spark, sf_dir), ["can", "qwn"]).select("film_id", "seq", "tier", "n_dissent", "marked")
 
 
-@query()
+# word i of a line opens a sentence that no mark closes before: RE2 has no look-behind, so the word before is looked at instead
+_OPENS = "'^[A-ZÀ-ÂÄ-ÏÑ-ÖÙ-Ý][a-zà-ÿ''’]+'"
+_BOUNDS = (
+    f"bw AS (SELECT film_id, seq, text, regexp_split_to_array(text, '[ \\x09]+') AS w, list_transform(regexp_split_to_array(text, '[ \\x09]+'), lambda x: regexp_replace(x, '{_NB}+$', '')) AS p FROM v_lines), "
+    f"bounds AS (SELECT film_id, seq, text, list_transform(list_filter(range(2, len(w) + 1), lambda i: regexp_matches(w[i], {_OPENS}) AND NOT regexp_full_match(regexp_extract(w[i], {_OPENS}), '[IVXLC]+(er|re|e|ème)?')"
+    f" AND regexp_matches(p[i - 1], '[a-zà-ÿ0-9]$') AND NOT list_contains([{', '.join(chr(39) + x.replace(chr(39), chr(39) * 2) + chr(39) for x in sorted(repair.NON_FINAL))}], lower(regexp_extract(p[i - 1], '[A-ZÀ-ÂÄ-ÏÑ-ÖÙ-Ýa-zà-ÿ''’-]+$')))), lambda i: regexp_extract(w[i], {_OPENS})) AS missing,"
+    f" (len(regexp_extract_all(text, '[.!?]{_NB}+[a-zà-ÿ]')) - len(regexp_extract_all(text, '[.][.]{_NB}+[a-zà-ÿ]')))::INTEGER AS n_spurious FROM bw)"
+)
+
+
+@query("SELECT film_id, seq, array_to_string(missing, ' ') AS missing, len(missing)::INTEGER AS n_missing, n_spurious FROM bounds", _LINES, _BOUNDS)
 def sentence_boundaries(spark, sf_dir):
     return repair.boundary_report(v_lines(spark, sf_dir)).select("film_id", "seq", F.array_join("missing", " ").alias("missing"), "n_missing", "n_spurious")
 
@@ -430,12 +440,20 @@ def repair_lost_stamps(spark, sf_dir):
     return corrections.stamps_survive(x, repair.repaired(x))
 
 
-@query()
+_CALLED = "called AS (SELECT film_id, seq AS cue_id, seq * 10000 AS start_ms, seq * 10000 + 9000 AS end_ms, missing[1] AS word FROM bounds WHERE trim(text) <> '' AND len(missing) > 0)"
+_QUIET = "quiet AS (SELECT film_id, cue_id, gap_ms, end_ms + gap_ms / 2 AS middle_ms FROM (SELECT *, row_number() OVER (PARTITION BY film_id, cue_id ORDER BY gap_ms DESC, start_ms) AS n FROM (SELECT w.film_id, c.cue_id, w.start_ms, w.end_ms, lead(w.start_ms) OVER (PARTITION BY w.film_id, c.cue_id ORDER BY w.start_ms) - w.end_ms AS gap_ms FROM v_words w JOIN called c ON c.film_id = w.film_id AND w.start_ms BETWEEN c.start_ms AND c.end_ms) WHERE gap_ms > 0) WHERE n = 1)"
+
+
+@query("SELECT c.*, gap_ms, middle_ms, CASE WHEN gap_ms >= 350 THEN 'SPLIT' ELSE 'break/punct' END AS plan FROM called c LEFT JOIN quiet q ON q.film_id = c.film_id AND q.cue_id = c.cue_id", _LINES, _WORDS, _BOUNDS, _CALLED, _QUIET)
 def repair_plan(spark, sf_dir):
     return repair.planned(_line_cues(spark, sf_dir), v_words(spark, sf_dir))
 
 
-_WRAP = "wr AS (SELECT film_id, seq, text, list_filter(regexp_split_to_array(text, '[ \\x09-\\x0D]+'), lambda x: x <> '') AS w FROM v_lines), opt AS (SELECT film_id, seq, w, i, length(array_to_string(w[1:i], ' ')) AS a, length(array_to_string(w[i+1:], ' ')) AS b FROM (SELECT *, unnest(range(1, len(w))) AS i FROM wr WHERE length(text) > 42)), costed AS (SELECT *, a <= 42 AND b <= 42 AS fits, abs(a - b) AS d, CASE WHEN regexp_matches(w[i], '[,.!?;:]$') THEN 12 ELSE 0 END AS m, CASE WHEN regexp_matches(w[i+1], '^[A-ZÀ-Ý][a-zà-ÿ]') AND regexp_matches(w[i], '[a-zà-ÿ]$') THEN 20 ELSE 0 END AS t, a <= 45 AND b <= 45 AS fits2 FROM opt)"
+def _wrap_sql(of: str = "v_lines", key: str = "seq") -> str:
+    return f"wr AS (SELECT film_id, {key}, text, list_filter(regexp_split_to_array(text, '[ \\x09-\\x0D]+'), lambda x: x <> '') AS w FROM {of}), opt AS (SELECT film_id, {key}, w, i, length(array_to_string(w[1:i], ' ')) AS a, length(array_to_string(w[i+1:], ' ')) AS b FROM (SELECT *, unnest(range(1, len(w))) AS i FROM wr WHERE length(text) > 42)), costed AS (SELECT *, a <= 42 AND b <= 42 AS fits, abs(a - b) AS d, CASE WHEN regexp_matches(w[i], '[,.!?;:]$') THEN 12 ELSE 0 END AS m, CASE WHEN regexp_matches(w[i+1], '^[A-ZÀ-Ý][a-zà-ÿ]') AND regexp_matches(w[i], '[a-zà-ÿ]$') THEN 20 ELSE 0 END AS t, a <= 45 AND b <= 45 AS fits2 FROM opt)"
+
+
+_WRAP = _wrap_sql()
 
 
 def _short_lines(spark, sf_dir) -> DataFrame:
@@ -457,7 +475,7 @@ def wrap_repaired(spark, sf_dir):
     return _short_lines(spark, sf_dir).select("film_id", "seq", F.md5(repair.cues_wrapped(F.col("text"))).alias("text_md5"))
 
 
-@query()
+@query("SELECT l.film_id, l.cue_id, CASE WHEN length(l.text) <= 42 OR len(l.w) < 2 THEN l.text ELSE array_to_string(l.w[1:i], ' ') || chr(10) || array_to_string(l.w[i+1:], ' ') END AS text FROM wr l LEFT JOIN (SELECT film_id, cue_id, arg_min(i, (NOT fits, CASE WHEN fits THEN d - m - t ELSE d END, i)) AS i FROM costed GROUP BY film_id, cue_id) o ON o.film_id = l.film_id AND o.cue_id = l.cue_id", _WORDS, _NUMBERED, _NEXT, _FIRSTS, _GREEDY, _wrap_sql("greedy", "cue_id"))
 def wrap_two_lines(spark, sf_dir):
     return cues.group_words(v_words(spark, sf_dir)).select("film_id", "cue_id", cues.wrapped(F.col("text")).alias("text"))
 
