@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pack, partitions, ragged, small_batches, steady, unpack
+from .common import pack, partitions, ragged, small_batches, steady, unpack, written
 
 #: Characters of texts that one payload row holds (a longer text has a row of its own).
 PAYLOAD = 4 << 20
@@ -133,8 +133,18 @@ def _blocks(batches, span: int):
         yield block, (row for _, row in group)
 
 
-def _parse(batches, pattern: str, span: int = SPAN):
-    """Blocks of a scan: payloads of word places (kind 0), and the rank of each place (kind 3)."""
+def _by_bucket(block: int, raw: list[bytes], buckets: int):
+    """A block's words and their ranks, by hash (kind 1)."""
+    of = np.fromiter(map(xxhash.xxh64_intdigest, raw), np.uint64, len(raw)) % np.uint64(buckets)
+    order = np.argsort(of, kind="stable")
+    cuts = np.flatnonzero(np.append(True, of[order][1:] != of[order][:-1])) if len(raw) else []
+    for s, e in zip(cuts, np.append(cuts[1:], len(order)) if len(raw) else []):
+        some = order[s:e]
+        yield _row(block, int(of[some[0]]), 1, pack(some.astype(np.int32), *_lists([raw[k] for k in some])))
+
+
+def _parse(batches, pattern: str, span: int = SPAN, buckets: int = 0):
+    """Blocks of a scan: payloads of word places (kind 0), and the rank of each place (kind 3); with `buckets` also what `_words` gives (kind 1)."""
     find = regex.compile(pattern).findall
     for block, rows in _blocks(batches, span):
         pieces = _Pieces(find)
@@ -161,7 +171,10 @@ def _parse(batches, pattern: str, span: int = SPAN):
         if ids:
             yield flush()
         pieces.clear()
-        yield _row(block, -1, 3, pack(_sorted_words(pieces.place)[1]))
+        raw, rank = _sorted_words(pieces.place)
+        yield _row(block, -1, 3, pack(rank))
+        if buckets:
+            yield from _by_bucket(block, raw, buckets)
 
 
 def _words(batches, pattern: str, buckets: int, span: int = SPAN):
@@ -189,13 +202,7 @@ def _words(batches, pattern: str, buckets: int, span: int = SPAN):
                     if len(seen) > _HELD:
                         settle()
         settle()
-        raw, _ = _sorted_words(pieces.place)
-        of = np.fromiter(map(xxhash.xxh64_intdigest, raw), np.uint64, len(raw)) % np.uint64(buckets)
-        order = np.argsort(of, kind="stable")
-        cuts = np.flatnonzero(np.append(True, of[order][1:] != of[order][:-1])) if len(raw) else []
-        for s, e in zip(cuts, np.append(cuts[1:], len(order)) if len(raw) else []):
-            some = order[s:e]
-            yield _row(block, int(of[some[0]]), 1, pack(some.astype(np.int32), *_lists([raw[k] for k in some])))
+        yield from _by_bucket(block, _sorted_words(pieces.place)[0], buckets)
 
 
 def _encode(batches, ranks, pattern: str):
@@ -277,19 +284,26 @@ def _assemble(table: pa.Table, ranks, ids_too: bool) -> pa.Table:
     return pa.Table.from_arrays(cols, names=names)
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: bool = False, span: int = SPAN) -> DataFrame:
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: bool = False, span: int = SPAN, once: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, n_bytes[, ids array<int>]) for every row of `docs`.
 
+    once: the texts are cut in one scan, whose parse is written to the shared folder; otherwise two scans cut them,
+    one for places and one for words, which takes more time and less disk.
     pattern: one of the GPT family, in which a single space between two other characters opens the next pre-token.
     """
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(ranks)
-    slim = steady(docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string").alias("text")))
+    slim = docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string").alias("text"))
     n = partitions(spark)
     buckets = max(n, BUCKETS)
-    parsed = slim.mapInArrow(lambda it: _parse(it, pattern, span), _SCHEMA)
-    words = slim.mapInArrow(lambda it: _words(it, pattern, buckets, span), _SCHEMA)
+    if once:
+        made = written(slim.mapInArrow(lambda it: _parse(it, pattern, span, buckets), _SCHEMA))
+        parsed, words = made.where("kind <> 1"), made.where("kind = 1")
+    else:
+        slim = steady(slim)
+        parsed = slim.mapInArrow(lambda it: _parse(it, pattern, span), _SCHEMA)
+        words = slim.mapInArrow(lambda it: _words(it, pattern, buckets, span), _SCHEMA)
     encoded = words.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _encode(it, shared, pattern), _SCHEMA)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_bytes long" + (", ids array<int>" if ids else "")
     return parsed.unionByName(encoded).groupBy("block").applyInArrow(lambda t: _assemble(t, shared, ids), schema)

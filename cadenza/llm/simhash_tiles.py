@@ -28,17 +28,27 @@ BITS = 64
 _CHUNK = 1 << 17
 
 
+#: A byte's bits as eight bytes of 0 or 1, in one number.
+_LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view("<u8").reshape(-1)
+
+
+def _ones(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """(texts, BITS) numbers of hashes with the bit, of texts with sizes[i] hashes (1 or more) each."""
+    # runs of 255 hashes at most are summed as numbers of eight counts, which then cannot overflow
+    runs = -(-sizes // 255)
+    within = ragged(np.zeros(len(runs), np.int64), runs)
+    lanes = _LANES[hashes.view(np.uint8).reshape(-1, 8)]
+    part = np.add.reduceat(lanes, np.repeat(np.cumsum(sizes) - sizes, runs) + 255 * within, axis=0)
+    return np.add.reduceat(part.view(np.uint8).reshape(-1, BITS), np.cumsum(runs) - runs, axis=0, dtype=np.int32)
+
+
 def _majority(parts: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
     """Per text the fingerprint of its shingle hashes; sizes: shingles of each text."""
     out = np.zeros(len(sizes), np.uint64)
     live = np.flatnonzero(sizes)
     if not len(live):
         return out
-    hashes = np.concatenate(parts)
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    starts = np.cumsum(sizes[live]) - sizes[live]
-    ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
-    over = 2 * ones > sizes[live][:, None]
+    over = 2 * _ones(np.concatenate(parts), sizes[live]) > sizes[live][:, None]
     out[live] = np.packbits(over, axis=1, bitorder="little").view(np.uint64).reshape(-1)
     return out
 
@@ -291,8 +301,13 @@ def _wide_majority(parts: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
 def shingles(raw: bytes, size: int) -> np.ndarray:
     """The sorted distinct hashes of a text's shingles (A-Z lower-cased)."""
     words = raw.lower().split()
-    n = max(1, len(words) - size + 1) if words else 0
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + size])) for i in range(n)), np.uint64, n))
+    n, joined, digest = len(words) - size + 1, b" ".join(words), xxhash.xxh64_intdigest
+    if n < 1:
+        return np.array([digest(joined)] if words else [], np.uint64)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    end = np.cumsum(lengths + 1) - 1
+    start = (end - lengths)[:n].tolist()
+    return np.unique(np.fromiter(map(digest, [joined[a:b] for a, b in zip(start, end[size - 1 :].tolist())]), np.uint64, n))
 
 
 def _set_id(hashes: np.ndarray) -> int:

@@ -35,7 +35,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe_words.encode(docs, bpe_words.read_ranks(public_tokenizers.path(RANKS)), public_tokenizers.PATTERN, ids=True)
+    return bpe_words.encode(docs, bpe_words.read_ranks(public_tokenizers.path(RANKS)), public_tokenizers.PATTERN, ids=True, once=True)
 
 
 STAGES = [("quality rules", quality), ("line dedup", lines), ("SimHash near-dedup", near_copies), ("mixing to target weights", mixture), ("byte-level BPE", encode)]

@@ -587,3 +587,38 @@ def test_sql_of_runs_vectors_and_strings(spark, tmp_path):
         found = con.execute(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLES[name]})").fetchall()
         assert sorted(map(tuple, got.collect())) == sorted(found), name
         assert sum(r[got.columns.index(told)] for r in found) > 100, name
+
+
+def test_pipeline_cuts_texts_once(docs, spark, tmp_path):
+    """The pipeline's encoding reads its input in one scan, and gives what two scans give."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    import corpus_pipeline
+
+    x = docs.unionByName(table(spark, [(500 + i, t, "s") for i, t in enumerate(["  two  spaces ", "\nx", "a \n b", " ", "é\x1f x"])]))
+    x.write.parquet(f"{tmp_path}/documents.parquet")
+    source = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.encode(spark, source, str(tmp_path))
+    assert not [f for f in got.inputFiles() if "documents.parquet" in f]
+    rows = lambda df: Counter((r.doc_id, r.ids_sha256, r.decoded_sha256, r.n_bytes, tuple(r.ids)) for r in df.collect())
+    ranks = bpe_words.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    two = rows(bpe_words.encode(x, ranks, public_tokenizers.PATTERN, ids=True))
+    assert rows(got) == two and sum(two.values()) == x.count()
+    assert rows(bpe_words.encode(source, ranks, public_tokenizers.PATTERN, ids=True, span=100, once=True)) == two
+
+
+def test_bit_counts_and_shingles():
+    """Bits counted eight at a time over long runs, and shingles cut from the joined words, by their definitions."""
+    import xxhash
+
+    gen = np.random.default_rng(8)
+    sizes = np.array([1, 254, 255, 256, 510, 511, 70_000, 2])
+    parts = [gen.integers(0, 2**64, n, np.uint64) for n in sizes]
+    parts[4][:] = 2**64 - 1
+    parts[6][:40_000] |= np.uint64(1 << 63)
+    bits = lambda p: np.unpackbits(p.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    assert (simhash_tiles._ones(np.concatenate(parts), sizes) == np.stack([bits(p) for p in parts])).all()
+    for raw in [b"", b" \n", b"One", b"a b  C\td", b"a b c d E", b"a b c d e f", "é a b c d é a b c d é".encode()]:
+        words = raw.lower().split()
+        want = {xxhash.xxh64_intdigest(b" ".join(words[i : i + 5])) for i in range(max(1, len(words) - 4) if words else 0)}
+        got = simhash_tiles.shingles(raw, 5)
+        assert got.dtype == np.uint64 and got.tolist() == sorted(want)
