@@ -13,7 +13,9 @@ that also occur in another phrase.  For those a suffix array of the dictionary i
 ranks over the phrases' bytes up to LENGTH bytes, trigger by trigger, since equal windows have equal triggers.
 Suffixes of equal rank by LENGTH bytes are equal as bytes; put in corpus order by their phrase's place in the
 parse, all but the first are repeated.  A phrase reaches far enough that no suffix of LENGTH bytes runs over
-its end, so the order among parse suffixes beyond the phrase is never needed.
+its end, so the order among parse suffixes beyond the phrase is never needed.  A trigger with more than 2 * SPAN
+bytes of phrases (one frequent passage, its neighbours ever different) is sorted piece by piece; the firsts of its
+pieces, as far as their 64-bit hash is that of another, are then sorted together.
 
 Edge cases: a null text is empty; a null doc_id sorts first; rows of one doc_id are told apart by their
 text's hash, and rows equal in both are one document (each returned with the same result); texts shorter
@@ -35,7 +37,9 @@ from .common import mix, pack, partitions, ragged, texts, unpack, written
 
 K = 32
 #: Parts that triggers are dealt to, at least (a task holds one at a time), and bytes of dictionary that are sorted at a time.
-BUCKETS, SPAN = 256, 4 << 20
+BUCKETS, SPAN = 256, 1 << 20
+#: Places that a task gathers before it deals them out, and payload rows and bytes of an Arrow batch.
+LOT, _ROWS, _BYTES_OUT = 1 << 20, 256, 2 << 20
 _PIECE = 2 << 20
 _SCHEMA = "bucket int, kind int, payload binary"
 _BASE = np.uint64(0x2545F4914F6CDD1D | 1)
@@ -63,8 +67,22 @@ def _prefix(buf: np.ndarray):
     return out, down
 
 
-def _row(bucket: int, kind: int, payload: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([kind], pa.int32()), pa.array([payload], pa.binary())], names=["bucket", "kind", "payload"])
+def _batched(rows):
+    """Rows (bucket, kind, payload) as Arrow batches of several: parts times blocks are many rows, and a batch costs more than a row."""
+    names, held, size = ["bucket", "kind", "payload"], [], 0
+
+    def batch():
+        columns = zip(zip(*held), (pa.int32(), pa.int32(), pa.binary()))
+        return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in columns], names=names)
+
+    for row in rows:
+        held.append(row)
+        size += len(row[2])
+        if len(held) >= _ROWS or size > _BYTES_OUT:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
 
 
 def pieces(rows: list[bytes], length: int):
@@ -124,12 +142,13 @@ def _parse(batches, length: int, buckets: int):
     def emit():
         ids, tag, at, count, trigger, text = (np.concatenate([g[i] for g in got]) for i in range(6))
         of = (mix(trigger) % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((at, ids, text, trigger, of))
+        # equal phrases side by side, in scan order: they pack well
+        order = np.argsort((of.astype(np.uint64) << np.uint64(40)) | (text >> np.uint64(24)), kind="stable")
         ends = np.cumsum(np.bincount(of, minlength=buckets))
         for b in range(buckets):
             some = order[ends[b - 1] if b else 0 : ends[b]]
             if len(some):
-                yield _row(b, 0, pack(trigger[some], text[some], ids[some], tag[some], at[some].astype(np.int64), count[some].astype(np.uint8)))
+                yield b, 0, pack(trigger[some], text[some], ids[some], tag[some], at[some].astype(np.int64), count[some].astype(np.uint8))
 
     size = 0
     for batch in batches:
@@ -155,7 +174,27 @@ def _deal(kind: int, ids, tags, at, count, blocks: int, *more):
     for b in range(blocks):
         some = order[ends[b - 1] if b else 0 : ends[b]]
         if len(some):
-            yield _row(b, kind, pack(ids[some], tags[some], at[some], count[some], *[x[some] for x in more]))
+            yield b, kind, pack(ids[some], tags[some], at[some], count[some], *[x[some] for x in more])
+
+
+class _Lot:
+    """Places on their way to `_deal`, gathered up to LOT of them."""
+
+    def __init__(self, kind: int, blocks: int):
+        self.kind, self.blocks, self.held, self.size = kind, blocks, [], 0
+
+    def add(self, *cols):
+        if len(cols[0]):
+            self.held.append(cols)
+            self.size += len(cols[0])
+        if self.size > LOT:
+            yield from self.rest()
+
+    def rest(self):
+        if self.held:
+            ids, tags, at, count, *more = (np.concatenate([h[k] for h in self.held]) for k in range(len(self.held[0])))
+            self.held, self.size = [], 0
+            yield from _deal(self.kind, ids, tags, at, count, self.blocks, *more)
 
 
 def _buckets(batches):
@@ -174,6 +213,7 @@ def _buckets(batches):
 
 def _match(batches, blocks: int):
     """Phrases by trigger: repeated ones (kind 1), and firsts that need a look at their windows (kind 2)."""
+    repeated, looked = _Lot(1, blocks), _Lot(2, blocks)
     for blobs in _buckets(batches):
         trigger, text, ids, tags, at, count = (np.concatenate([b[i] for b in blobs]) for i in range(6))
         del blobs
@@ -185,9 +225,11 @@ def _match(batches, blocks: int):
         later = ~first & ~twin
         run = np.cumsum(np.append(True, trigger[1:] != trigger[:-1])) - 1
         several = np.bincount(run, first)[run] > 1
-        yield from _deal(1, ids[later], tags[later], at[later], count[later], blocks)
+        yield from repeated.add(ids[later], tags[later], at[later], count[later])
         look = first & several
-        yield from _deal(2, ids[look], tags[look], at[look], count[look], blocks, trigger[look])
+        yield from looked.add(ids[look], tags[look], at[look], count[look], trigger[look])
+    yield from repeated.rest()
+    yield from looked.rest()
 
 
 def _texts(batches, blocks: int):
@@ -198,7 +240,7 @@ def _texts(batches, blocks: int):
             of = (mix(ids.view(np.uint64) ^ tags) % np.uint64(blocks)).astype(np.int64)
             for b in np.unique(of):
                 some = np.flatnonzero(of == b)
-                yield _row(int(b), 0, pack(ids[some], tags[some], np.fromiter((len(rows[k]) for k in some), np.int64, len(some)), np.frombuffer(b"".join(rows[k] for k in some), np.uint8)))
+                yield int(b), 0, pack(ids[some], tags[some], np.fromiter((len(rows[k]) for k in some), np.int64, len(some)), np.frombuffer(b"".join(rows[k] for k in some), np.uint8))
 
 
 def _split(table: pa.Table):
@@ -245,28 +287,112 @@ def _phrase_texts(table: pa.Table, length: int, buckets: int) -> pa.Table:
         for b in range(buckets):
             some = order[ends[b - 1] if b else 0 : ends[b]]
             if len(some):
-                rows.append(_row(b, 3, pack(*[c[some] for c in cols], np.frombuffer(b"".join(flat[k] for k in some), np.uint8))))
-    return pa.Table.from_batches(rows, schema=pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("payload", pa.binary())]))
+                rows.append((b, 3, pack(*[c[some] for c in cols], np.frombuffer(b"".join(flat[k] for k in some), np.uint8))))
+    return pa.Table.from_batches(_batched(rows), schema=pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("payload", pa.binary())]))
 
 
-def suffix_ranks(buf: np.ndarray, length: int) -> np.ndarray:
-    """Rank of each place's `length` bytes among all places of `buf`, by prefix doubling from 8 bytes (length 8 or more); places nearer to the end than `length` have none that counts."""
-    padded = np.append(buf, np.zeros(length, np.uint8)).astype(np.uint64)
-    n = len(buf)
-    key = np.zeros(n, np.uint64)
+def _dense(keys: np.ndarray) -> tuple[np.ndarray, int]:
+    """The rank of each key among the distinct ones, and the highest rank."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    step = np.zeros(len(keys), np.uint32)
+    np.not_equal(keys[1:], keys[:-1], out=step[1:], casting="unsafe")
+    np.cumsum(step, out=step)
+    ranks = np.empty(len(keys), np.uint32)
+    ranks[order] = step
+    return ranks, int(step[-1]) if len(step) else 0
+
+
+def suffix_ranks(buf: np.ndarray, length: int, spots: np.ndarray) -> np.ndarray:
+    """Numbers in the order of the `length` bytes at each of the `spots` of `buf` (equal for equal bytes), by ranks of prefixes from 8 bytes on (length 8 or more).
+
+    A round puts as many ranks side by side as 64 bits hold, two at least; the last is worked out for `spots` only.
+    """
+    n, key = len(buf), np.zeros(len(buf), np.uint64)
+    padded = np.append(buf, np.zeros(8, np.uint8))
     for k in range(8):
         key = (key << np.uint64(8)) | padded[k : k + n]
-    rank, have = np.unique(key, return_inverse=True)[1].astype(np.uint64), 8
-    while have < length:
-        step = min(have, length - have)
-        ahead = np.append(rank[step:], np.zeros(step, np.uint64))
-        rank = np.unique((rank << np.uint64(32)) | ahead, return_inverse=True)[1].astype(np.uint64)
-        have += step
-    return rank
+    have = 8
+    while True:
+        rank, top = _dense(key)
+        bits = max(1, top.bit_length())
+        times = min(64 // bits, -(-length // have))
+        if times * have >= length:
+            key = rank[spots].astype(np.uint64)
+            for k in range(1, times):
+                key = (key << np.uint64(bits)) | rank[spots + min(k * have, length - have)]
+            return key
+        rank = np.append(rank, np.zeros(have * times, np.uint32))
+        key = rank[:n].astype(np.uint64)
+        for k in range(1, times):
+            key = (key << np.uint64(bits)) | rank[k * have : k * have + n]
+        have *= times
+
+
+def _repeats(buf, start, count, places, length: int):
+    """The windows of phrases buf[start[k]:] of count[k] windows: phrase, offset in it, and which are not the first of their equals in the order of `places` (ids, tags, at)."""
+    size = count + length - 1
+    first = np.cumsum(size) - size
+    spot, phrase = ragged(first, count), np.repeat(np.arange(len(count)), count)
+    rank = suffix_ranks(buf[ragged(start, size)], length, spot)
+    offset = spot - np.repeat(first, count)
+    order = np.argsort(rank)
+    same = rank[order[1:]] == rank[order[:-1]]
+    some = order[np.append(False, same) | np.append(same, False)]  # a suffix whose rank is unique has no equal
+    ids, tags, at = (x[phrase[some]] for x in places)
+    some = some[np.lexsort((at + offset[some], tags, ids, rank[some]))]
+    return phrase, offset, some[1:][rank[some[1:]] == rank[some[:-1]]]
+
+
+def _twins(buf, start, count, offset, length: int):
+    """Hashes of the windows at start + offset .. + count - 1, piece by piece, and the order by hash of those whose hash occurs again."""
+    got = []
+    for cut in np.split(np.arange(len(start)), np.flatnonzero(np.diff(np.cumsum(count + length - 1) // SPAN)) + 1):
+        size = count[cut] + length - 1
+        prefix, down = _prefix(buf[ragged(start[cut] + offset[cut], size)])
+        spot = ragged(np.cumsum(size) - size, count[cut])
+        got.append(mix((prefix[spot + length] - prefix[spot]) * down[spot]))
+    hashes = np.concatenate(got)
+    order = np.argsort(hashes)
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    return hashes, order[np.append(False, same) | np.append(same, False)]
+
+
+def _later_windows(buf, start, count, places, length: int):
+    """Of phrases with equal triggers only among themselves: (phrases, offsets) of the windows that are not the first of their equals."""
+    upto = np.cumsum(count + length - 1)
+    if not len(upto) or upto[-1] <= 2 * SPAN:
+        phrase, offset, later = _repeats(buf, start, count, places, length)
+        yield phrase[later], offset[later]
+        return
+    firsts: list[tuple] = []
+    for cut in np.split(np.arange(len(start)), np.flatnonzero(np.diff(upto // SPAN)) + 1):
+        phrase, offset, later = _repeats(buf, start[cut], count[cut], [x[cut] for x in places], length)
+        yield cut[phrase[later]], offset[later]
+        alone = np.ones(len(phrase), bool)
+        alone[later] = False
+        # runs of windows that are firsts of their piece, as phrases
+        new = alone & np.append(True, ~alone[:-1] | (phrase[1:] != phrase[:-1]))
+        runs = np.bincount(np.cumsum(new)[alone] - 1) if alone.any() else np.zeros(0, np.int64)
+        firsts.append((cut[phrase[new]], offset[new], runs.astype(np.int64)))
+    of, offset, n = (np.concatenate([f[k] for f in firsts]) for k in range(3))
+    hashes, order = _twins(buf, start[of], n, offset, length)
+    hashes, ends = hashes[order], np.cumsum(n)
+    run = np.searchsorted(ends, order, side="right")
+    of, offset = of[run], offset[run] + order - (ends - n)[run]
+    # some SPAN bytes of windows at a time, those of one hash (one of a piece at most) together
+    edges = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, np.int64)
+    cuts = edges[1:][np.diff(edges * length // SPAN) > 0]
+    for part in np.split(np.arange(len(of)), cuts) if len(of) else []:
+        mine, at = of[part], offset[part]
+        ids, tags, base = (x[mine] for x in places)
+        phrase, _, later = _repeats(buf, start[mine] + at, np.ones(len(mine), np.int64), (ids, tags, base + at), length)
+        yield mine[phrase[later]], at[phrase[later]]
 
 
 def _later(batches, blocks: int, length: int):
     """Windows of the dictionary in the order of its suffix array: all but the first of equals in the corpus (kind 1)."""
+    repeated = _Lot(1, blocks)
     for blobs in _buckets(batches):
         trigger, ids, tags, at, count, buf = (np.concatenate([b[i] for b in blobs]) for i in range(6))
         del blobs
@@ -277,15 +403,10 @@ def _later(batches, blocks: int, length: int):
         run = np.cumsum(np.append(True, trigger[order][1:] != trigger[order][:-1])) - 1
         part = (np.cumsum(np.bincount(run, size[order])) // SPAN).astype(np.int64)[run]
         for cut in np.split(order, np.flatnonzero(part[1:] != part[:-1]) + 1):
-            mine = buf[ragged(start[cut], size[cut])]
-            first = np.cumsum(size[cut]) - size[cut]
-            spot, phrase = ragged(first, count[cut]), np.repeat(cut, count[cut])
-            rank = suffix_ranks(mine, length)[spot]
-            i, t, a = ids[phrase], tags[phrase], at[phrase] + spot - np.repeat(first, count[cut])
-            in_order = np.lexsort((a, t, i, rank))
-            rank, i, t, a = (x[in_order] for x in (rank, i, t, a))
-            again = np.append(False, rank[1:] == rank[:-1])
-            yield from _deal(1, i[again], t[again], a[again], np.ones(int(again.sum()), np.uint8), blocks)
+            for phrase, offset in _later_windows(buf, start[cut], count[cut], (ids[cut], tags[cut], at[cut]), length):
+                mine = cut[phrase]
+                yield from repeated.add(ids[mine], tags[mine], at[mine] + offset, np.ones(len(mine), np.uint8))
+    yield from repeated.rest()
 
 
 def _remove(table: pa.Table, length: int, keep_text: bool) -> pa.Table:
@@ -324,10 +445,10 @@ def dedup(docs: DataFrame, length: int = 100, text: str = "text", keep_text: boo
     n = partitions(docs.sparkSession)
     buckets = max(n, BUCKETS)
     slim = docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string").alias("text"))
-    parse = slim.mapInArrow(lambda it: _parse(it, length, buckets), _SCHEMA)
-    matched = written(parse.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _match(it, n), _SCHEMA))
-    packed = slim.mapInArrow(lambda it: _texts(it, n), _SCHEMA)
+    parse = slim.mapInArrow(lambda it: _batched(_parse(it, length, buckets)), _SCHEMA)
+    matched = written(parse.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _batched(_match(it, n)), _SCHEMA))
+    packed = slim.mapInArrow(lambda it: _batched(_texts(it, n)), _SCHEMA)
     looked = packed.unionByName(matched.where("kind = 2")).groupBy("bucket").applyInArrow(lambda t: _phrase_texts(t, length, buckets), _SCHEMA)
-    later = looked.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _later(it, n, length), _SCHEMA)
+    later = looked.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _batched(_later(it, n, length)), _SCHEMA)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if keep_text else "")
     return packed.unionByName(matched.where("kind = 1")).unionByName(later).groupBy("bucket").applyInArrow(lambda t: _remove(t, length, keep_text), schema)

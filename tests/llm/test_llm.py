@@ -622,3 +622,34 @@ def test_bit_counts_and_shingles():
         want = {xxhash.xxh64_intdigest(b" ".join(words[i : i + 5])) for i in range(max(1, len(words) - 4) if words else 0)}
         got = simhash_tiles.shingles(raw, 5)
         assert got.dtype == np.uint64 and got.tolist() == sorted(want)
+
+
+def test_frequent_trigger_is_sorted_in_pieces():
+    """One trigger with 4 MB of distinct phrases: right windows, and memory of a few times the phrases."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from cadenza.llm.common import pack, unpack
+
+    m, gen = 30_000, np.random.default_rng(12)
+    letters = lambda *shape: gen.integers(97, 123, shape).astype(np.uint8)
+    sides = letters(40, 51), letters(3000, 51)
+    text = np.concatenate([sides[0][gen.integers(0, 40, m)], np.repeat(letters(1, 32), m, 0), sides[1][gen.integers(0, 3000, m)]], axis=1)
+    text[::2, 100:] = letters(m // 2, 34)
+    ids, at, none = gen.permutation(m).astype(np.int64), gen.integers(0, 99, m), np.zeros(m, np.uint64)
+    payload = pack(none + np.uint64(7 << 20), ids, none, at, np.full(m, 35), text.reshape(-1))
+    batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), pa.array([3], pa.int32()), pa.array([payload], pa.binary())], names=["bucket", "kind", "payload"])
+    tracemalloc.start()
+    rows = [payload for _, _, payload in phrase_parsing._later([batch], 3, 100)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = Counter((int(i), int(a)) for row in rows for i, a in zip(*(unpack(row)[k] for k in (0, 2))))
+    first, want = {}, Counter()
+    for k in np.argsort(ids).tolist():
+        raw = text[k].tobytes()
+        for o in range(35):
+            if first.setdefault(raw[o : o + 100], (k, o)) != (k, o):
+                want[int(ids[k]), int(at[k]) + o] += 1
+    assert got == want and sum(want.values()) > 30_000
+    assert peak < 45 * text.size
