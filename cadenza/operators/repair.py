@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,15 +13,32 @@ from .cues import inner_silence, wrapped
 
 # Capitals and lower-case letters of sentence starts.
 _CAP, _LOW = "A-ZÀ-ÂÄ-ÏÑ-ÖÙ-Ý", "a-zà-ÿ"
-_OPENING = re.compile(rf"(?<![.!?:;…])[ \t]+([{_CAP}][{_LOW}'’]+)")
+_OPENING = re.compile(rf"(?<![.!?:;… \t])[ \t]+([{_CAP}][{_LOW}'’]+)")
 _NUMERAL = re.compile(r"[IVXLC]+(?:er|re|e|ème)?")
+_ENDS_LOW = re.compile(rf"[{_LOW}0-9]")
 _BEFORE = re.compile(rf"[{_CAP}{_LOW}'’-]+$")
 _MARK = re.compile(rf"(?<!\.)[.!?]\s+([{_LOW}]|[{_CAP}][{_LOW}'’]+)|(?<=\.)[!?]\s+([{_LOW}]|[{_CAP}][{_LOW}'’]+)")
+_MARKS = re.compile(rf"[.!?][.!?\s]*(?:(?<=\s)([{_LOW}]|[{_CAP}][{_LOW}'’]+))?")
 _NAME = re.compile(rf"[{_CAP}][{_LOW}'’-]*$")
 # Words that cannot end a sentence.
 NON_FINAL = frozenset(
     "le la les l' un une des du de au aux ce cet cette ces mon ma mes ton ta tes son sa ses notre nos votre vos leur leurs et ou mais donc or ni car que qu' qui dont où à en dans sur sous par pour avec sans chez vers depuis grand grande petit petite monsieur madame capitaine gouverneur chef général roi reine père mère the a an of to and".split()
 )
+_LONGEST = max(map(len, NON_FINAL))
+
+
+def _missing(text: str, names: frozenset[str]):
+    for hit in _OPENING.finditer(text):
+        end = hit.start()
+        while end and text[end - 1].isspace():
+            end -= 1
+        word = hit.group(1)
+        if not end or not _ENDS_LOW.match(text, end - 1) or word in names or _NUMERAL.fullmatch(word):
+            continue
+        # a longer word than any in the list needs no look at its beginning
+        last = _BEFORE.search(text, max(0, end - _LONGEST - 1), end)
+        if last is None or last.group().lower() not in NON_FINAL:
+            yield hit.start(), word
 
 
 def missing(text: str, names: frozenset[str] = frozenset()) -> list[tuple[int, str]]:
@@ -28,35 +46,45 @@ def missing(text: str, names: frozenset[str] = frozenset()) -> list[tuple[int, s
 
     The word before must end in a lower-case letter or digit and be able to end a sentence, in any case.
     """
-    found = []
-    for hit in _OPENING.finditer(text):
-        word, before = hit.group(1), text[: hit.start()].rstrip()
-        ends_low = bool(before) and re.match(rf"[{_LOW}0-9]", before[-1])
-        if word in names or _NUMERAL.fullmatch(word) or not ends_low:
-            continue
-        last = _BEFORE.search(before)
-        if last is None or last.group().lower() not in NON_FINAL:
-            found.append((hit.start(), word))
-    return found
+    return list(_missing(text, names))
+
+
+def _parts_name(text: str, at: int, word: str, names: frozenset[str], longest: int) -> bool:
+    """Do the word before `at` and `word` make one of the names?  No more of the text is looked at than the longest name."""
+    name = longest and _NAME.search(text, max(0, at - longest), at)
+    return bool(name) and f"{name.group()} {word}" in names
 
 
 def spurious(text: str, names: frozenset[str] = frozenset()) -> list[int]:
     """Offsets of . ! ? before a lower-case letter, or inside a name of several words; the second dot of .. is exempt."""
-    found = []
+    found, longest = [], max(map(len, names), default=0)
     for hit in _MARK.finditer(text):
         word = hit.group(1) or hit.group(2)
-        name = _NAME.search(text[: hit.start()])
-        if word[0].islower() or (name and f"{name.group()} {word}" in names):
+        if word[0].islower() or _parts_name(text, hit.start(), word, names, longest):
             found.append(hit.start())
     return found
 
 
 def without_spurious(text: str, names: frozenset[str] = frozenset()) -> tuple[str, int]:
-    """The text less its spurious marks, until none is left, and how many went."""
-    n = 0
-    while found := spurious(text, names):
-        text, n = text[: found[0]] + text[found[0] + 1 :], n + 1
-    return text, n
+    """The text less its spurious marks, until none is left, and how many went.
+
+    Whether a mark goes depends on what follows it, and what stands before it never changes: of marks with only
+    white space between them the last goes first, and one that stays keeps those before it.  So one pass does.
+    """
+    kept, done, n, longest = [], 0, 0, max(map(len, names), default=0)
+    for hit in _MARKS.finditer(text):
+        word, gone = hit.group(1), []
+        if word is None:
+            continue
+        for at in range(hit.start(1) - 1, hit.start() - 1, -1):
+            if text[at] in ".!?":
+                if text[at] == "." and at and text[at - 1] == "." or not (word[0].islower() or _parts_name(text, at, word, names, longest)):
+                    break
+                gone.append(at)
+        for at in reversed(gone):
+            kept.append(text[done:at])
+            done, n = at + 1, n + 1
+    return "".join([*kept, text[done:]]), n
 
 
 def pieces(text: str, names: frozenset[str] = frozenset()) -> list[tuple[str, bool]]:
@@ -103,19 +131,20 @@ def shares(start: int, end: int, sizes: list[int]) -> list[tuple[int, int]]:
     return out
 
 
-def mended(start: int, end: int, text: str, song: bool, names: frozenset[str]) -> list[dict]:
-    """The cues that one cue becomes.  Without a missing boundary it keeps its lines and times."""
+def mended(start: int, end: int, text: str, song: bool, names: frozenset[str]) -> list[tuple]:
+    """The cues that one cue becomes, as start_ms, end_ms, text, n_stops, n_breaks, n_removed.  Without a missing boundary it keeps its lines and times."""
     clean, marks = without_spurious(text, names)
-    if not missing(clean, names):
-        return [{"start_ms": start, "end_ms": end, "text": clean, "n_stops": 0, "n_breaks": 0, "n_removed": marks}]
+    if next(_missing(clean, names), None) is None:
+        return [(start, end, clean, 0, 0, marks)]
     groups = packed(pieces(clean, names))
     times = shares(start, end, [len(" ".join(p for p, _ in g)) for g in groups]) if len(groups) > 1 else [(start, end)]
     stops = [0 if song else sum(stop for _, stop in g[1:]) for g in groups]
     breaks = len(groups[0]) - 1 if song and len(groups) == 1 else 0
-    return [{"start_ms": a, "end_ms": b, "text": joined(g, song), "n_stops": n, "n_breaks": breaks, "n_removed": 0 if k else marks} for k, ((a, b), g, n) in enumerate(zip(times, groups, stops))]
+    return [(a, b, joined(g, song), n, breaks, 0 if k else marks) for k, ((a, b), g, n) in enumerate(zip(times, groups, stops))]
 
 
 _SCHEMA = "array<struct<start_ms:bigint,end_ms:bigint,text:string,n_stops:int,n_breaks:int,n_removed:int>>"
+_TYPES = {"start_ms": pa.int64(), "end_ms": pa.int64(), "text": pa.string(), "n_stops": pa.int32(), "n_breaks": pa.int32(), "n_removed": pa.int32()}
 
 
 def repaired(cues: DataFrame, names: list[str] = (), songs: str = "false") -> DataFrame:
@@ -127,9 +156,14 @@ def repaired(cues: DataFrame, names: list[str] = (), songs: str = "false") -> Da
     """
     known = frozenset(names)
 
-    @F.pandas_udf(_SCHEMA)
-    def fix(start: pd.Series, end: pd.Series, text: pd.Series, song: pd.Series) -> pd.Series:
-        return pd.Series([mended(int(s), int(e), t or "", bool(is_song), known) for s, e, t, is_song in zip(start, end, text, song)])
+    @F.arrow_udf(_SCHEMA)
+    def fix(start: pa.Array, end: pa.Array, text: pa.Array, song: pa.Array) -> pa.Array:
+        rows, ends = [], [0]
+        for s, e, t, is_song in zip(start.to_pylist(), end.to_pylist(), text.to_pylist(), song.to_pylist()):
+            rows += mended(int(s), int(e), t or "", bool(is_song), known)
+            ends.append(len(rows))
+        columns = zip(*rows) if rows else [()] * len(_TYPES)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES.values())], list(_TYPES)))
 
     x = cues.withColumn("__song", F.expr(songs)).select("*", F.posexplode(fix("start_ms", "end_ms", "text", "__song")).alias("__part", "__new"))
     wrapped = F.when(F.contains("__new.text", F.lit("\n")), F.col("__new.text")).otherwise(cues_wrapped(F.col("__new.text")))

@@ -1,5 +1,7 @@
 """Hand-derived cases and invariants of the engine's operators."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from cadenza.functions import stamps
@@ -113,6 +115,28 @@ def test_repair(spark):
     assert repair.without_spurious("Grand-mère. Feuillage", frozenset(["Grand-mère Feuillage"]))[1] == 1
 
 
+def test_marks_one_pass():
+    # of marks with only white space between them the last goes first; one that stays keeps those before it
+    assert repair.without_spurious("a. ! b") == ("a  b", 2) and repair.without_spurious("a.! b") == ("a b", 2)
+    assert repair.without_spurious("a. .. b") == ("a. .. b", 0) and repair.without_spurious("a? ... b. C. d") == ("a? ... b. C d", 1)
+    names = frozenset(["Grand-mère Feuillage"])
+    assert repair.without_spurious("Grand-mère. ! Feuillage", names) == ("Grand-mère. ! Feuillage", 0)
+    assert repair.without_spurious("Grand-mère\n. Feuillage", names) == ("Grand-mère\n Feuillage", 1)
+    assert [o for o, _ in repair.missing("il va \t Elle.  Oui le gouverneur Tout")] == [5]
+
+
+def test_repair_of_a_long_line():
+    """Work grows with the length of a line, not with the square or cube of it."""
+    start = time.process_time()
+    text = "alors. il vient Mais non " * 800
+    assert repair.without_spurious(text) == (text.replace(".", ""), 800)
+    assert len(repair.missing(text)) == len(repair.spurious(text)) == 800
+    assert len(repair.mended(0, 9000, text, False, frozenset())) == 401
+    for x in (". " * 20_000, "." * 40_000, " " * 40_000, "a " * 20_000, "." * 40_000 + " b"):
+        assert repair.without_spurious(x) == (x, 0) and repair.missing(x) == []
+    assert time.process_time() - start < 2
+
+
 CUE = "film_id int, cue_id int, start_ms long, end_ms long, text string"
 
 
