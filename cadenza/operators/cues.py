@@ -185,37 +185,53 @@ def wrapped(text: Column, limit: int = 42, tolerance: int = 0, marks: str = "[,.
     The cost is the difference of lengths, less 12 after a mark and less 20 before a sentence start.  If no
     split fits: the most balanced one (fallback), or one line.
     """
-    words = F.filter(F.split(text, r"\s+"), lambda x: x != "")
-    total = F.length(F.array_join(words, " "))
-    lengths = F.transform(words, lambda w: F.length(w))
-
-    def option(i):
-        a = F.aggregate(F.slice(lengths, 1, i), F.lit(-1), lambda acc, x: acc + x + 1)
-        b = total - a - 1
-        before, after = F.get(words, i - 1), F.get(words, i)
-        cost = F.abs(a - b)
-        fits = (a <= limit + tolerance) & (b <= limit + tolerance)
-        cheap = cost - F.when(before.rlike(marks), 12).otherwise(0)
-        if starts:
-            cheap = cheap - F.when(T.starts_sentence(before, after), 20).otherwise(0)
-        return F.struct((~fits).cast("int").alias("late"), F.when(fits, cheap).otherwise(cost).alias("cost"), i.alias("i"))
-
-    best = F.array_min(F.transform(F.sequence(F.lit(1), F.size(words) - 1), option))
-    split = F.concat(F.array_join(F.slice(words, 1, best["i"]), " "), F.lit("\n"), F.array_join(F.slice(words, best["i"] + 1, F.size(words)), " "))
-    line = F.array_join(words, " ")
-    # a text too long for any split is cut at the space nearest to its middle, without weighing every split
-    half = F.floor((total - 1) / 2).cast("int")
-    before = half + 2 - F.locate(" ", F.reverse(F.substring(line, 1, half + 1)))
-    after = F.call_function("locate", F.lit(" "), line, half + 2)
-    at = F.when((F.locate(" ", F.substring(line, 1, half + 1)) > 0) & ((after == 0) | (F.abs(2 * (before - 1) - (total - 1)) <= F.abs(2 * (after - 1) - (total - 1)))), before).otherwise(after)
-    balanced = F.concat(F.substring(line, F.lit(1), at - 1), F.lit("\n"), F.substring(line, at + 1, total))
-    short = text if fallback else line
-    return (
-        F.when((F.length(short) <= limit) | (F.size(words) < 2), short)
-        .when(total > 2 * (limit + tolerance) + 1, balanced if fallback else line)
-        .when(F.lit(fallback) | (best["late"] == 0), split)
-        .otherwise(line)
-    )
+    most = limit + tolerance
+    best = "struct<late:int,cost:int,a:int>"
+
+    def split(line, total):
+        """One walk over the words; a and b: lengths of the two lines if the next word opens the second."""
+
+        def step(acc, word):
+            a = acc["a"]
+            b = total - a - 1
+            cost = F.abs(a - b)
+            fits = (a <= most) & (b <= most)
+            cheap = cost - F.when(acc["before"].rlike(marks), 12).otherwise(0)
+            if starts:
+                cheap = cheap - F.when(T.starts_sentence(acc["before"], word), 20).otherwise(0)
+            option = F.struct((~fits).cast("int").alias("late"), F.when(fits, cheap).otherwise(cost).alias("cost"), a.alias("a"))
+            return F.struct((a + 1 + F.length(word)).alias("a"), word.alias("before"), F.when(a >= 0, F.least(acc["best"], option)).alias("best"))
+
+        first = F.struct(F.lit(-1).alias("a"), F.lit("").alias("before"), F.lit(None).cast(best).alias("best"))
+        return F.aggregate(F.split(line, " "), first, step, lambda acc: acc["best"])
+
+    def balanced(line, total):
+        """A text too long for any split is cut at the space nearest to its middle, without weighing every split."""
+        half = F.floor((total - 1) / 2).cast("int")
+        before = half + 2 - F.locate(" ", F.reverse(F.substring(line, 1, half + 1)))
+        after = F.call_function("locate", F.lit(" "), line, half + 2)
+        at = F.when((F.locate(" ", F.substring(line, 1, half + 1)) > 0) & ((after == 0) | (F.abs(2 * (before - 1) - (total - 1)) <= F.abs(2 * (after - 1) - (total - 1)))), before).otherwise(after)
+        return _with(at, lambda at: _cut(line, at - 1, total))
+
+    def weighed(line, total):
+        short = text if fallback else line
+        out = F.when((F.length(short) <= limit) | ~F.contains(line, F.lit(" ")), short).when(total > 2 * most + 1, balanced(line, total) if fallback else line)
+        return out.otherwise(_with(split(line, total), lambda x: _cut(line, x["a"], total) if fallback else F.when(x["late"] == 0, _cut(line, x["a"], total)).otherwise(line)))
+
+    # what is used several times is computed once, also inside a CASE; most cues are short and need none of it
+    line = F.trim(F.regexp_replace(text, r"\s+", " "))
+    long = _with(line, lambda x: _with(F.length(x), lambda total: weighed(x, total)))
+    return F.when(F.length(text) <= limit, text if fallback else line).otherwise(long)
+
+
+def _with(value: Column, f) -> Column:
+    """f of a value that is computed once, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def _cut(line: Column, a: Column, total: Column) -> Column:
+    """The line broken after `a` characters, at a space."""
+    return F.concat(F.substring(line, F.lit(1), a), F.lit("\n"), F.substring(line, a + 2, total))
 
 
 def renumber(cues: DataFrame, keys=KEYS, order=("start_ms", "seq")) -> DataFrame:

@@ -48,6 +48,20 @@ def _words(spark, rows):
     return spark.createDataFrame([(1, i, w, s, e) for i, (w, s, e) in enumerate(rows)], "film_id int, pos int, word string, start_ms long, end_ms long")
 
 
+def test_wrap_of_many_cues(spark):
+    """Words of a cue are split and measured once, not anew for every place it may break at."""
+    text = "Une phrase, puis rien que des mots sans fin ni but et puis encore un de plus"
+    x = spark.range(40_000).select(F.concat(F.lit(text + " "), (F.col("id") % 10).cast("string")).alias("x"))
+    cut = cues.wrapped(F.col("x"))
+    assert [r.y for r in x.where("x like '% 3'").limit(1).select(cut.alias("y")).collect()] == ["Une phrase, puis rien que des mots sans\nfin ni but et puis encore un de plus 3"]
+    start = time.time()
+    assert x.agg(F.count_if(F.length(cut) == F.length("x"))).first()[0] == 40_000
+    assert time.time() - start < 10
+    for line in ("  deux   espaces\tet une tabulation qui font plus de quarante deux  ", "x" * 60, " " * 60, None):
+        got = one(spark, line, cues.wrapped)
+        assert (got or "").split() == (line or "").split() and (line is None) == (got is None)
+
+
 def test_grouping_and_extension(spark):
     made = cues.group_words(_words(spark, [("Bonjour", 0, 400), ("Marie.", 500, 900), ("Oui", 2000, 2300)]))
     assert [(r.text, r.start_ms, r.end_ms) for r in made.orderBy("cue_id").collect()] == [("Bonjour Marie.", 0, 900), ("Oui", 2000, 2300)]
