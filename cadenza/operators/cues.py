@@ -135,7 +135,7 @@ def group_words(words: DataFrame, gap_ms: int = 800, long_ms: int = 6000, chars:
 
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-            for *key, w, s, e in zip(*columns):
+            for key, w, s, e in zip(zip(*columns[:-3]), *columns[-3:]):
                 if key != film:
                     if held:
                         close()

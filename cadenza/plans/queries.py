@@ -34,7 +34,9 @@ def v_cues(spark, sf_dir) -> DataFrame:
 
 def v_words(spark, sf_dir) -> DataFrame:
     """Words of documents on film time, in chunks of 50 (pos: place in the chunk)."""
-    x = _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("film_id"), F.posexplode(F.array_remove(F.split("text", r"[ \x09-\x0D]+"), "")).alias("wn", "word"))
+    # texts are dealt by film before they are cut: a shuffle of words is several times the input
+    x = _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("film_id"), "text").repartition("film_id")
+    x = x.select("film_id", F.posexplode(F.array_remove(F.split("text", r"[ \x09-\x0D]+"), "")).alias("wn", "word"))
     d = (F.length("word") * 60).cast("long")
     gap = F.when(F.substring("word", -1, 1).isin(".", "!", "?"), 900).otherwise(50).cast("long")
     w = Window.partitionBy("film_id").orderBy("wn")

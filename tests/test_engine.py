@@ -186,6 +186,19 @@ def test_repaired_cues(spark):
     assert (r.n_before, r.n_after, r.n_split, r.n_breaks, r.n_stops, r.n_removed) == (2, 3, 1, 0, 1, 1)
 
 
+def test_words_dealt_as_texts(spark):
+    """Whole texts are shuffled, and cut into words afterwards; words are not shuffled again."""
+    from cadenza.plans import queries
+
+    x = spark.createDataFrame([(1, "un deux")], "doc_id long, text string")
+    was, queries._t = queries._t, lambda *a: x
+    try:
+        plan = queries.wrap_two_lines(spark, "")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        queries._t = was
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.index("Generate") < plan.index("Exchange hashpartitioning")
+
+
 def test_repair_plan(spark):
     x = spark.createDataFrame([(1, 1, 0, 4000, "il va Elle vient"), (1, 2, 5000, 9000, "il va Elle vient")], CUE)
     w = spark.createDataFrame([(1, 0, "il", 0, 300), (1, 1, "va", 400, 800), (1, 2, "Elle", 1200, 1500), (1, 3, "il", 5000, 5300), (1, 4, "va", 5400, 5900)], "film_id int, pos int, word string, start_ms long, end_ms long")
