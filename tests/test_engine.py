@@ -186,6 +186,14 @@ def test_repaired_cues(spark):
     assert (r.n_before, r.n_after, r.n_split, r.n_breaks, r.n_stops, r.n_removed) == (2, 3, 1, 0, 1, 1)
 
 
+def test_repair_checks_of_a_long_line(spark):
+    x = spark.createDataFrame([(1, 1, 0, 9000, "alors. il vient Mais non " * 800)], CUE)
+    start = time.time()
+    out = repair.repaired(x)
+    assert out.count() == 401 and corrections.stamps_survive(x, out).count() == 0
+    assert time.time() - start < 30
+
+
 def test_words_dealt_as_texts(spark):
     """Whole texts are shuffled, and cut into words afterwards; words are not shuffled again."""
     from cadenza.plans import queries
