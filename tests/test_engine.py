@@ -195,6 +195,20 @@ def test_repair_checks_of_a_long_line(spark):
     assert time.time() - start < 30
 
 
+def test_lost_stamps_query_of_a_long_line(spark, tmp_path):
+    """The query itself, on a line of 1,600 marks; a cue that goes is reported."""
+    from cadenza.plans import queries
+
+    rows = [(1, "fr", "alors. il vient Mais non " * 1600), (2, "fr", "bien. sûr\n \n\nIl va Elle vient Tout part"), (3, "fr", None)]
+    spark.createDataFrame(rows, "doc_id long, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    start = time.time()
+    assert queries.repair_lost_stamps(spark, str(tmp_path)).count() == 0
+    assert time.time() - start < 30
+    x = queries._line_cues(spark, str(tmp_path))
+    gone = corrections.stamps_survive(x, repair.repaired(x).where("part < 801 and (film_id = 1 or cue_id > 0)"))
+    assert sorted((r.film_id, r.at_ms) for r in gone.collect()) == [(1, 9000), (2, 0), (2, 9000)]
+
+
 def test_words_dealt_as_texts(spark):
     """Whole texts are shuffled, and cut into words afterwards; words are not shuffled again."""
     from cadenza.plans import queries
