@@ -209,6 +209,18 @@ def test_lost_stamps_query_of_a_long_line(spark, tmp_path):
     assert sorted((r.film_id, r.at_ms) for r in gone.collect()) == [(1, 9000), (2, 0), (2, 9000)]
 
 
+def test_summary_query_of_a_long_line(spark, tmp_path):
+    """The query itself, on a line of 1,600 marks; blank lines are no cues, and a film without a text has no row."""
+    from cadenza.plans import queries
+
+    rows = [(1, "fr", "alors. il vient Mais non " * 1600), (2, "fr", "bien. sûr\n \n\nIl va Elle vient Tout part"), (3, "fr", None)]
+    spark.createDataFrame(rows, "doc_id long, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    start = time.time()
+    got = {tuple(r) for r in queries.repair_summary(spark, str(tmp_path)).collect()}
+    assert time.time() - start < 30
+    assert got == {(1, 1, 801, 800, 0, 800, 1600), (2, 2, 3, 1, 0, 1, 1)}
+
+
 def test_words_dealt_as_texts(spark):
     """Whole texts are shuffled, and cut into words afterwards; words are not shuffled again."""
     from cadenza.plans import queries
